@@ -33,18 +33,31 @@ def jdbc_options(kind: str, config: Mapping[str, Any]) -> dict[str, str]:
     return options | {k: str(v) for k, v in (config.get("options") or {}).items()}
 
 
-def _from(source: str) -> str:
-    """The read's table expression with the alias ``t``."""
-    return source if source.endswith(") t") else f"{source} t"
+def table_expression(config: Mapping[str, Any], query: str | None, params: Mapping[str, Any] | None) -> str:
+    """What to read: a query as a sub-query, or a table. No AS before the alias: not every database takes it."""
+    return f"({bind_params(query, params)}) t" if query else f"{config['table']} t"
 
 
-def count_jdbc(
-    spark: SparkSession, kind: str, config: Mapping[str, Any], query: str | None, params: Mapping[str, Any] | None
-) -> int:
-    """The rows of a query or table, counted by the database."""
-    source = f"({bind_params(query, params)}) t" if query else str(config["table"])
-    asked = f"(SELECT COUNT(*) AS n FROM {_from(source)}) c"
-    return int(spark.read.format("jdbc").options(**jdbc_options(kind, config)).option("dbtable", asked).load().first()[0])
+def bounds_question(expression: str, column: str) -> str:
+    """A one-row sub-query for the least and greatest value of the partition column."""
+    return f'(SELECT MIN(t."{column}") AS lo, MAX(t."{column}") AS hi FROM {expression}) b'
+
+
+def count_question(expression: str) -> str:
+    """A one-row sub-query for the number of rows."""
+    return f"(SELECT COUNT(*) AS n FROM {expression}) c"
+
+
+def partition_options(config: Mapping[str, Any], low: Any, high: Any, parts: int) -> dict[str, str]:
+    """How the read is cut into parallel parts; none without a partition column or without rows."""
+    if not config.get("partition_column") or low is None or high is None:
+        return {}
+    return {
+        "partitionColumn": str(config["partition_column"]),
+        "lowerBound": str(low),
+        "upperBound": str(high),
+        "numPartitions": str(config.get("num_partitions") or parts),
+    }
 
 
 def read_jdbc(
@@ -53,31 +66,25 @@ def read_jdbc(
     """A query or table of a database, cut into ``num_partitions`` parallel reads on ``partition_column``.
 
     Without ``lower_bound`` and ``upper_bound`` the database is asked for them. ``predicates`` gives
-    the parts explicitly, one condition each.
+    the parts explicitly, one condition each. Filters and columns chosen later go into the database's
+    own query.
     """
-    options = jdbc_options(kind, config)
-    fetch = {"fetchsize": str(config.get("batch_size") or DEFAULT_FETCH)}
-    # No AS before the alias: not every database takes it.
-    source = f"({bind_params(query, params)}) t" if query else str(config["table"])
-    reader = spark.read.format("jdbc").options(**(fetch | options)).option("dbtable", source)
+    options = {"fetchsize": str(config.get("batch_size") or DEFAULT_FETCH)} | jdbc_options(kind, config)
+    expression = table_expression(config, query, params)
     if config.get("predicates"):
-        properties = {k: v for k, v in (fetch | options).items() if k != "url"}
-        return spark.read.jdbc(options["url"], source, predicates=config["predicates"], properties=properties)
-    column = config.get("partition_column")
-    if not column:
-        return reader.load()
+        properties = {k: v for k, v in options.items() if k != "url"}
+        return spark.read.jdbc(options["url"], expression, predicates=config["predicates"], properties=properties)
+    reader = spark.read.format("jdbc").options(**options)
     low, high = config.get("lower_bound"), config.get("upper_bound")
-    if low is None or high is None:
-        asked = f'(SELECT MIN(t."{column}") AS lo, MAX(t."{column}") AS hi FROM {_from(source)}) b'
-        low, high = reader.option("dbtable", asked).load().first()
-        if low is None:
-            return reader.option("dbtable", source).load()
-    parts = config.get("num_partitions") or spark.conf.get("spark.sql.shuffle.partitions")
-    return (
-        reader.option("dbtable", source)
-        .option("partitionColumn", column)
-        .option("lowerBound", str(low))
-        .option("upperBound", str(high))
-        .option("numPartitions", str(parts))
-        .load()
-    )
+    if config.get("partition_column") and (low is None or high is None):
+        low, high = reader.option("dbtable", bounds_question(expression, config["partition_column"])).load().first()
+    parts = partition_options(config, low, high, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.read.format("jdbc").options(**options, **parts).option("dbtable", expression).load()
+
+
+def count_jdbc(
+    spark: SparkSession, kind: str, config: Mapping[str, Any], query: str | None, params: Mapping[str, Any] | None
+) -> int:
+    """The rows of a query or table, counted by the database."""
+    asked = count_question(table_expression(config, query, params))
+    return int(spark.read.format("jdbc").options(**jdbc_options(kind, config)).option("dbtable", asked).load().first()[0])

@@ -1,0 +1,202 @@
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tablelift.operators.control import ControlTable
+from tablelift.plans.copy import copy_in_chunks
+from tablelift.plans.run import problems, run_config, run_summary
+from tablelift.plans.settings import as_bool, as_size, check_config, expand_settings
+from tablelift.session import new_folder
+from tablelift.sinks import find_target, register_target
+from tablelift.sinks.targets import FileTarget
+
+
+def test_expand_settings():
+    settings = {"a": "h=${A}-${MISSING}-${B}x", "b": ["${A}", 5, None, {"c": "${B}"}]}
+    expanded = expand_settings(settings, {"A": "1", "B": "${A}"})
+    assert expanded == {"a": "h=1-${MISSING}-${A}x", "b": ["1", 5, None, {"c": "${A}"}]}
+    assert settings["a"].startswith("h=${A}")
+
+
+@pytest.mark.parametrize("value, flag", [("false", False), ("True", True), (0, False), (True, True), ("", False), ("ON", True)])
+def test_flags(value, flag):
+    assert as_bool(value) is flag
+
+
+def test_strict_values():
+    with pytest.raises(ValueError):
+        as_bool("perhaps")
+    assert as_size("50000") == 50_000
+    for bad in ("0", -1, "many"):
+        with pytest.raises(ValueError):
+            as_size(bad)
+
+
+def test_check_config():
+    config = {
+        "extractions": [{"name": "a", "source": "ORACLE"}, {"name": "b", "source": "mongo"}, {"name": "a", "source": "view"}],
+        "loads": [{"name": "l", "source": "a", "target": "postgres"}, {"name": "m", "source": "z", "target": "excel"}],
+    }
+    found = dict(check_config(config, {"oracle", "view"}, {"postgres"}))
+    assert found["b"] == "no load uses this extraction"
+    assert found["m"] == "the extraction 'z' does not exist"
+    assert ("a", "the name is used by several extractions") in check_config(config, {"oracle", "view"}, {"postgres"})
+    assert ("b", "unknown source 'mongo'") in check_config(config, {"oracle", "view"}, {"postgres"})
+    assert check_config({}, set(), set()) == []
+
+
+def test_problems_as_rows(spark):
+    assert rows(problems(spark, {"loads": [{"name": "l", "source": "z", "target": "parquet"}]})) == [
+        ("l", "the extraction 'z' does not exist")
+    ]
+
+
+def config_for(small, place, *names, **more):
+    return {
+        "extractions": [{"name": n, "source": "parquet", "config": {"path": f"{small}/{n}.parquet"}} for n in names],
+        "loads": [
+            {"name": f"{n}_load", "source": n, "target": "parquet", "config": {"path": place}, "table": n} for n in names
+        ],
+        **more,
+    }
+
+
+def test_extraction_without_load_is_counted(spark, small):
+    config = config_for(small, new_folder(spark, "r"), "nation")
+    config["loads"] = []
+    assert rows(run_config(spark, config).select("step", "rows", "status")) == [("extract", 25, "OK")]
+
+
+def test_two_loads_for_one_extraction(spark, small):
+    place = new_folder(spark, "r")
+    config = config_for(small, place, "nation")
+    config["loads"].append(config["loads"][0] | {"name": "second", "table": "copy2"})
+    steps = run_config(spark, config)
+    assert rows(steps.select("name", "rows")) == [("nation", 25), ("nation_load", 25), ("second", 25)]
+    assert find_target("parquet").read(spark, {"path": place}, "copy2").count() == 25
+
+
+def test_query_with_parameters_as_source(spark, small):
+    config = config_for(small, new_folder(spark, "r"), "nation")
+    config["extractions"][0] |= {"query": "SELECT * FROM nation WHERE n_nationkey < :top", "params": {"top": 7}}
+    assert [r.rows for r in run_config(spark, config).collect()] == [7, 7]
+
+
+@pytest.mark.parametrize("broken, status", [((), "completed"), (("nation",), "partial"), (("nation", "region"), "failed")])
+def test_run_status(spark, small, broken, status):
+    config = config_for(small, new_folder(spark, "r"), "nation", "region")
+    for extraction in config["extractions"]:
+        if extraction["name"] in broken:
+            extraction["config"] = {"path": "/nowhere/at/all"}
+    assert run_summary(run_config(spark, config)).first().status == status
+
+
+def test_failed_step_keeps_its_error(spark, small):
+    config = config_for(small, new_folder(spark, "r"), "nation")
+    config["loads"][0]["target"] = "excel"
+    steps = {r.step: r for r in run_config(spark, config).collect()}
+    assert steps["load"].status == "FAILED" and "unknown target 'excel'" in steps["load"].error
+    assert (steps["extract"].status, steps["extract"].rows) == ("OK", 25)
+    assert steps["load"].seconds >= 0
+
+
+def test_hook_runs_only_when_enabled(spark, small):
+    hooks = {"nation": lambda df: df.filter(F.col("n_nationkey") < 3)}
+    for enabled, expected in [(False, 25), ("true", 3)]:
+        place = new_folder(spark, "r")
+        run_config(spark, config_for(small, place, "nation", transformations={"enabled": enabled}), transforms=hooks)
+        assert find_target("parquet").read(spark, {"path": place}, "nation").count() == expected
+
+
+def test_nothing_to_do(spark):
+    assert run_config(spark, {}).count() == 0
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError, match="mode"):
+        run_config(spark, {"mode": "streaming"})
+
+
+class Breaking(FileTarget):
+    """Fails at the given append, before or after its rows are written, or half-way."""
+
+    def __init__(self, at, how):
+        super().__init__("parquet")
+        self.at, self.how, self.appends = at, how, 0
+
+    def append(self, df, config, table):
+        self.appends += 1
+        if self.appends != self.at:
+            return super().append(df, config, table)
+        if self.how == "after":
+            super().append(df, config, table)
+        if self.how == "half":
+            super().append(df.filter(F.col("o_orderkey") % 2 == 0), config, table)
+        raise RuntimeError("broken off")
+
+
+@pytest.mark.parametrize("how", ["before", "half", "after"])
+@pytest.mark.parametrize("at", [1, 3])
+def test_resumed_copy_equals_an_unbroken_one(spark, read, at, how):
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    copy = dict(name="orders", table="orders", key=["o_orderkey"], size=200, control=control, config={"path": place}, waves=4)
+    register_target("breaking", Breaking(at, how))
+    with pytest.raises(RuntimeError, match="broken off"):
+        copy_in_chunks(read("orders"), target="breaking", **copy)
+    assert control.last_chunk("orders") == (at - 1) * 2
+    assert control.current().filter("status = 'ERROR'").count() == 2
+    with pytest.raises(ValueError, match="open run"):
+        copy_in_chunks(read("orders"), **(copy | {"size": 100}))
+    done = copy_in_chunks(read("orders"), **copy)
+    assert done.resumed and done.chunks == 8 and done.chunks_done_before == (at - 1) * 2 and done.rows == 1500
+    back = find_target("parquet").read(spark, {"path": place}, "orders")
+    assert rows(back) == rows(read("orders"))
+    assert rows(control.current().select("status").distinct()) == [("OK",)]
+
+
+def test_a_finished_copy_is_closed(spark, read):
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    config = {"path": place, "truncate_before_load": "true"}
+    copy = dict(name="c", table="customer", key=["c_custkey"], size=40, control=control, config=config)
+    first, second = copy_in_chunks(read("customer"), **copy), copy_in_chunks(read("customer"), **copy)
+    assert not second.resumed and first.run_id != second.run_id
+    assert rows(find_target("parquet").read(spark, config, "customer")) == rows(read("customer"))
+    copy_in_chunks(read("customer"), **(copy | {"config": {"path": place}}))
+    assert find_target("parquet").read(spark, config, "customer").count() == 300
+
+
+def test_resume_does_not_truncate(spark, read):
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    config = {"path": place, "truncate_before_load": True}
+    copy = dict(name="o", table="orders", key=["o_orderkey"], size=500, control=control, config=config, waves=3)
+    register_target("breaking", Breaking(2, "before"))
+    with pytest.raises(RuntimeError):
+        copy_in_chunks(read("orders"), target="breaking", **copy)
+    copy_in_chunks(read("orders"), **copy)
+    assert rows(find_target("parquet").read(spark, config, "orders")) == rows(read("orders"))
+
+
+def test_copy_with_clean_names_map_and_text(spark, read):
+    place = new_folder(spark, "copy")
+    config = {"path": place, "column_mapping": {"O_ORDERKEY": "Clave"}, "types": "text"}
+    copy_in_chunks(
+        read("orders").toDF(*[c.upper() for c in read("orders").columns]), "o", "orders", ["clave"], 300,
+        ControlTable(spark, f"{place}/control"), config=config,
+    )
+    back = find_target("parquet").read(spark, config, "orders")
+    assert back.columns[0] == "clave" and {t for _, t in back.dtypes} == {"string"}
+    assert back.select("clave").distinct().count() == 1500
+
+
+def test_chunked_load_wants_a_key(spark, small):
+    steps = run_config(spark, config_for(small, new_folder(spark, "r"), "nation", mode="chunked")).collect()
+    assert "chunk_key" in [r.error for r in steps if r.step == "load"][0]
+
+
+def test_copy_of_an_empty_table(spark):
+    place = new_folder(spark, "copy")
+    done = copy_in_chunks(spark.range(0), "e", "t", ["id"], 10, ControlTable(spark, f"{place}/control"), config={"path": place})
+    assert (done.chunks, done.rows) == (0, 0)

@@ -1,0 +1,119 @@
+import datetime
+import decimal
+
+import pytest
+
+from conftest import rows
+from tablelift.session import build_session, new_folder, shared_folder
+from tablelift.sources import (
+    column_names,
+    count_frame,
+    read_source,
+    register_source,
+    row_count,
+    run_query,
+    supported_sources,
+)
+from tablelift.sources.jdbc import bounds_question, count_question, jdbc_options, partition_options, table_expression
+from tablelift.sources.params import bind_params, sql_literal
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc", "csv", "json"])
+def test_files(spark, read, kind):
+    place = new_folder(spark, "in")
+    read("nation").write.format(kind).save(place)
+    config = {"path": place, "schema": "n_nationkey int, n_name string, n_regionkey int"}
+    assert rows(read_source(spark, kind.upper(), config)) == rows(read("nation"))
+    assert row_count(spark, kind, config) == 25
+
+
+def test_query_over_a_file(spark, small):
+    got = read_source(
+        spark, "parquet", {"path": f"{small}/nation.parquet"},
+        "SELECT n_regionkey, count(*) AS n FROM nation WHERE n_name <> :name GROUP BY n_regionkey", {"name": "NATION_0"},
+    )
+    assert sum(r.n for r in got.collect()) == 24
+
+
+def test_unknown_source_names_the_valid_ones(spark):
+    with pytest.raises(ValueError, match="oracle.*parquet"):
+        read_source(spark, "mongo")
+
+
+def test_register_source(spark):
+    register_source("Numbers", lambda spark, config, query, params: spark.range(int(config["n"])))
+    assert "numbers" in supported_sources()
+    assert read_source(spark, "NUMBERS", {"n": "4"}).count() == 4
+
+
+def test_probe_and_count(spark, read):
+    assert column_names(read("region")) == ["r_regionkey", "r_name"]
+    assert count_frame(read("region")).first()[0] == 5
+
+
+def test_parameters_are_bound_not_spliced(spark, read):
+    read("nation").createOrReplaceTempView("nation_p")
+    hostile = "x' OR '1'='1"
+    assert run_query(spark, "SELECT * FROM nation_p WHERE n_name = :n", {"n": hostile}).count() == 0
+
+
+@pytest.mark.parametrize(
+    "value, text",
+    [
+        (None, "NULL"),
+        (True, "TRUE"),
+        (5, "5"),
+        (decimal.Decimal("1.50"), "1.50"),
+        ("it's", "'it''s'"),
+        (datetime.date(2024, 1, 2), "DATE '2024-01-02'"),
+        (datetime.datetime(2024, 1, 2, 3, 4, 5), "TIMESTAMP '2024-01-02 03:04:05'"),
+    ],
+)
+def test_literals(value, text):
+    assert sql_literal(value) == text
+
+
+def test_bind_params():
+    query = "SELECT ':a', \":a\", x::int, :a -- :a\n/* :a */ FROM t WHERE b = :B"
+    bound = bind_params(query, {"A": "o'x", "b": 3})
+    assert bound == "SELECT ':a', \":a\", x::int, 'o''x' -- :a\n/* :a */ FROM t WHERE b = 3"
+    assert bind_params(query, {}) == query
+    with pytest.raises(ValueError, match=":b"):
+        bind_params("SELECT :b", {"a": 1})
+    with pytest.raises(TypeError):
+        sql_literal([1])
+
+
+def test_connection_urls():
+    oracle = jdbc_options("oracle", {"host": "h", "service": "s", "user": "u", "password": "p"})
+    assert oracle == {"url": "jdbc:oracle:thin:@//h:1521/s", "user": "u", "password": "p"}
+    postgres = jdbc_options("postgresql", {"host": "h", "port": 6000, "database": "d", "options": {"ssl": True}})
+    assert postgres == {"url": "jdbc:postgresql://h:6000/d", "ssl": "True"}
+    with pytest.raises(ValueError, match="url"):
+        jdbc_options("jdbc", {"host": "h"})
+
+
+def test_shared_folder_follows_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    assert folder == (named.rstrip("/") if named else shared_folder(build_session()))
+    assert new_folder(spark, "x") != new_folder(spark, "x")
+
+
+def test_database_questions():
+    """The text sent to a database; nothing is connected here."""
+    read = table_expression({}, "SELECT * FROM A.B WHERE d > :d", {"d": datetime.date(2024, 1, 2)})
+    assert read == "(SELECT * FROM A.B WHERE d > DATE '2024-01-02') t"
+    assert table_expression({"table": "A.B"}, None, None) == "A.B t"
+    assert bounds_question(read, "ID") == f'(SELECT MIN(t."ID") AS lo, MAX(t."ID") AS hi FROM {read}) b'
+    assert count_question("A.B t") == "(SELECT COUNT(*) AS n FROM A.B t) c"
+
+
+def test_parallel_read_options():
+    config = {"partition_column": "ID"}
+    assert partition_options(config, 0, 99, 8) == {
+        "partitionColumn": "ID", "lowerBound": "0", "upperBound": "99", "numPartitions": "8",
+    }
+    assert partition_options(config | {"num_partitions": 3}, 0, 99, 8)["numPartitions"] == "3"
+    assert partition_options({}, None, None, 8) == {}
+    assert partition_options(config, None, None, 8) == {}
