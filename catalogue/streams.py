@@ -34,12 +34,12 @@ def stream_resume(spark, folder):
             raise RuntimeError("broken off")
 
     try:
-        stream_copy(spark, *paths, before_write=break_off)
+        stream_copy(spark, *paths, files_per_batch=1, before_write=break_off)
     except Exception as error:
         if "broken off" not in str(error):
             raise
     for _ in range(2):
-        stream_copy(spark, *paths)
+        stream_copy(spark, *paths, files_per_batch=1)
     return copied_rows(spark, f"{place}/out")
 
 
@@ -61,6 +61,6 @@ def stream_control(spark, folder):
     control = ControlTable(spark, f"{place}/control")
     stream_copy(
         spark, f"{place}/in", events.schema, f"{place}/out", f"{place}/checkpoint",
-        control=control, name="events", chunk=with_group,
+        files_per_batch=1, control=control, name="events", chunk=with_group,
     )
     return control.current().select("chunk_number", "rows_loaded", "status")

@@ -13,6 +13,7 @@ ACCENTED = "ñÑáÁéÉíÍóÓúÚ"
 PLAIN = "nnaaeeiioouu"
 BROKEN = "\ufffd"
 NOT_ASCII = r"[^\x00-\x7F]"
+SPACE_RUN = r"(?U)[\s\x1C-\x1F]+"
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
@@ -30,5 +31,5 @@ def standardize_name(name: Column) -> Column:
     """:func:`clean_name` as a column expression, without a Python worker."""
     trimmed = F.btrim(name, F.lit(SPACES))
     mended = F.replace(F.replace(trimmed, F.lit(BROKEN * 2), F.lit("n")), F.lit(BROKEN), F.lit("n"))
-    joined = F.regexp_replace(F.translate(mended, ACCENTED, PLAIN), f"[{SPACES}]+", "_")
+    joined = F.regexp_replace(F.translate(mended, ACCENTED, PLAIN), SPACE_RUN, "_")
     return F.lower(F.regexp_replace(joined, NOT_ASCII, ""))

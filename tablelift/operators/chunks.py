@@ -118,6 +118,9 @@ class ChunkLimits:
     def chunks(self) -> int:
         return chunk_count(self.total, self.size)
 
+    def rows_in(self, chunk: int) -> int:
+        return min(self.size, self.total - (chunk - 1) * self.size)
+
     def number(self, df: DataFrame, name: str = "chunk_number") -> DataFrame:
         """Add the chunk number by a search in the limits; no row moves."""
         return self.key.position(df, self.starts, name).withColumn(name, (F.col(name) + 1).cast("bigint"))
@@ -130,15 +133,10 @@ class ChunkLimits:
         )
 
 
-def find_chunk_limits(df: DataFrame, order_by: Sequence[str], size: int) -> ChunkLimits | None:
-    """The chunk limits of ``df``, from passes over its key columns only; None if there would be too many."""
-    ranges = find_ranges(df, order_by)
-    chunks = chunk_count(ranges.total, size)
-    if chunks - 1 > MAX_CHUNK_LIMITS:
-        return None
-    key = ranges.key
-    starts: list[tuple] = []
-    if chunks > 1:
+def chunk_limits(df: DataFrame, ranges: KeyRanges, size: int) -> ChunkLimits:
+    """The chunk limits of ``df``; its key columns are sorted once, and only the limits are collected."""
+    key, starts = ranges.key, []
+    if chunk_count(ranges.total, size) > 1:
         indexed = _index_unique(df.select(*key.columns), ranges, "_index")
         openers = indexed.filter((F.col("_index") > 0) & (F.col("_index") % size == 0))
         rows = sorted(openers.select("_index", *key.parts()).collect(), key=lambda row: row["_index"])
@@ -146,6 +144,13 @@ def find_chunk_limits(df: DataFrame, order_by: Sequence[str], size: int) -> Chun
     return ChunkLimits(key, size, ranges.total, starts)
 
 
+def find_chunk_limits(df: DataFrame, order_by: Sequence[str], size: int) -> ChunkLimits | None:
+    """The chunk limits of ``df``, from passes over its key columns only; None if there would be too many."""
+    ranges = find_ranges(df, order_by)
+    too_many = chunk_count(ranges.total, size) - 1 > MAX_CHUNK_LIMITS
+    return None if too_many else chunk_limits(df, ranges, size)
+
+
 def assign_chunks(
     df: DataFrame, order_by: Sequence[str], size: int, ties: str = "reject", name: str = "chunk_number"
 ) -> DataFrame:

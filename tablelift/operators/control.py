@@ -104,7 +104,7 @@ class ControlTable:
         now = F.current_timestamp()
         stamped = chunks.withColumn("created_at", now).withColumn("updated_at", now)
         fitted = stamped.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
-        fitted.coalesce(1).write.mode("append").parquet(self.path)
+        fitted.write.mode("append").parquet(self.path)
 
     def save_chunk(
         self, run_id: str, extraction: str, table: str, chunk: int, size: int, rows: int, status: str = OK

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablelift.session import stage
+
 CHUNKS_PER_BLOCK = 10_000
 # Seconds are summed as decimals, so the result does not depend on the order of the rows.
 EXACT_SECONDS = "decimal(20,6)"
@@ -45,7 +47,11 @@ def chunk_counts(df: DataFrame, time: str | None = None) -> DataFrame:
 
 
 def chunk_report(counts: DataFrame, size: int) -> DataFrame:
-    """Per chunk: rows, chunk size, offset, running total and percent of all rows."""
+    """Per chunk: rows, chunk size, offset, running total and percent of all rows.
+
+    The counts are written down first: they are small, and what they come from is read only once.
+    """
+    counts = stage(counts, "counts")
     total = counts.agg(F.sum("rows")).scalar()
     return running_total(counts, "rows", "cumulative").select(
         *[c for c in counts.columns],

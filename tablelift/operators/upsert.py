@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
@@ -20,7 +21,19 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], latest_by: str | None = No
 
 
 def upsert(existing: DataFrame, changes: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
-    """``existing`` with ``changes`` applied: new keys are added and for known keys the new row wins."""
+    """``existing`` with ``changes`` applied: new keys are added and for known keys the new row wins.
+
+    A key with a null equals no other, so such rows stay and are added. They are spread by their
+    other values, not sent to one task.
+    """
+    keys = list(keys)
     new = one_per_key(changes, keys, latest_by)
-    kept = existing.join(new.select(*keys), list(keys), "left_anti")
+    incomplete = F.lit(False)
+    for k in keys:
+        incomplete = incomplete | F.col(f"`{k}`").isNull()
+    hashable = [f for f in existing.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    plain = [F.col(f"`{f.name}`") for f in hashable if not isinstance(f.dataType, T.VariantType)]
+    spread = F.when(incomplete, F.xxhash64(*plain)).otherwise(F.lit(0))
+    known = new.select(*[F.col(f"`{k}`") for k in keys], F.lit(0).cast("bigint").alias("_spread"))
+    kept = existing.withColumn("_spread", spread).join(known, [*keys, "_spread"], "left_anti")
     return kept.select(*existing.columns).unionByName(new.select(*existing.columns))

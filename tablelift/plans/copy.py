@@ -7,15 +7,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.chunks import ChunkLimits, find_chunk_limits
+from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits
 from tablelift.operators.control import ERROR, OK, ControlTable
+from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
 from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
 
 WAVES = 8
+STATES_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -29,6 +31,32 @@ class CopyResult:
     rows: int
 
 
+@dataclass(frozen=True)
+class _Waves:
+    """Neighbouring chunks taken together; a wave is itself a chunk of the table, only larger."""
+
+    limits: ChunkLimits
+    size: int
+    per_wave: int
+
+    @property
+    def chunks(self) -> int:
+        return chunk_count(self.limits.total, self.size)
+
+    def chunks_of(self, wave: int) -> tuple[int, int]:
+        first = (wave - 1) * self.per_wave + 1
+        return first, min(first + self.per_wave - 1, self.chunks)
+
+    def states(self, spark: SparkSession, wave: int) -> DataFrame:
+        """Number, size and rows of the wave's chunks; all but the last chunk of a table are full."""
+        first, last = self.chunks_of(wave)
+        number, size = F.col("id"), F.lit(self.size).cast("bigint")
+        left = F.lit(self.limits.total).cast("bigint") - (number - 1) * size
+        return spark.range(first, last + 1, 1, 1 + (last - first) // STATES_PER_FILE).select(
+            number.alias("chunk_number"), size.alias("chunk_size"), F.least(size, left).alias("rows_loaded")
+        )
+
+
 def copy_in_chunks(
     df: DataFrame,
     name: str,
@@ -44,9 +72,13 @@ def copy_in_chunks(
 
     Chunks are key ranges. A wave of neighbouring chunks is one Spark job: its key limits go down to
     the scan, its rows go straight to the target without a shuffle, and then its chunks are marked OK.
-    An open run of the same name is taken up again: chunks that are OK are left out, and the others
-    are checked against the target's keys, since rows may have arrived before the copy broke. The target is emptied only when a run starts afresh. A finished run is closed; the next
-    call starts a new one. The chunk size of an open run cannot change.
+    However many chunks there are, only the limits of the waves are held.
+
+    An open run of the same name is taken up again. Waves whose chunks are OK and whose rows are all
+    in the target are left out; in the others, rows that arrived before the copy broke are found by
+    their key and not copied again. The target is emptied only when a run starts afresh, and a fresh
+    run refuses a target that already has some of its keys. A finished run is closed; the next call
+    starts a new one. The chunk size of an open run cannot change.
     """
     config = config or {}
     place, spark = find_target(target), df.sparkSession
@@ -54,82 +86,74 @@ def copy_in_chunks(
     shaped = shape_for_load(df, config)
     if there:
         shaped = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
-    limits = find_chunk_limits(shaped, key, size)
-    if limits is None:
-        raise ValueError(f"a chunk size of {size} gives too many chunks to keep a state for each; use larger chunks")
-    run_id, done = _open_run(control, name, size, limits.chunks)
-    resumed = run_id is not None
-    run_id = run_id or uuid.uuid4().hex
-    if there and not resumed and as_bool(config.get("truncate_before_load", False)):
-        place.refill(shaped.limit(0), config, table)
-    for first, last in _open_waves(limits.chunks, done, waves):
-        wave = shaped.filter(limits.within(first, last))
-        arrived = place.read(spark, config, table).filter(limits.within(first, last)) if resumed and there else None
-        states = _wave_states(limits, first, last, spark).select(
+    plan = _plan_waves(shaped, key, size, waves)
+    run_id, done = _open_run(control, name, plan)
+    resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
+    arrived: dict[int, int] = {}
+    if there and resumed:
+        arrived = _rows_per_wave(place.read(spark, config, table), plan)
+    elif there:
+        _make_room(shaped, key, place, config, table)
+    skipped = 0
+    for wave in range(1, plan.limits.chunks + 1):
+        rows, expected = shaped.filter(plan.limits.within(wave, wave)), plan.limits.rows_in(wave)
+        if wave in done and arrived.get(wave, 0) == expected:
+            skipped += len(range(*plan.chunks_of(wave))) + 1
+            continue
+        states = plan.states(spark, wave).select(
             F.lit(run_id).alias("run_id"), F.lit(name).alias("extraction_name"), F.lit(table).alias("table_name"), "*"
         )
         try:
-            _append_wave(wave, arrived, limits, first, last, lambda rows: place.append(rows, config, table))
+            if arrived.get(wave):
+                there_now = place.read(spark, config, table).filter(plan.limits.within(wave, wave)).select(*key)
+                rows = rows.join(there_now, list(key), "left_anti").select(*shaped.columns)
+                expected -= arrived[wave]
+            appended = counted_write(rows, lambda wave_rows: place.append(wave_rows, config, table))
+            if appended != expected:
+                raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
         except Exception:
             control.save(states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(ERROR)}))
             raise
         control.save(states.withColumn("status", F.lit(OK)))
-    return CopyResult(run_id, resumed, limits.chunks, len(done), limits.total)
-
-
-def _append_wave(
-    wave: DataFrame, arrived: DataFrame | None, limits: ChunkLimits, first: int, last: int, append
-) -> None:
-    """Append a wave's rows; in a resumed run, only those that did not arrive before the copy broke."""
-    expected = min(last * limits.size, limits.total) - (first - 1) * limits.size
-    if arrived is not None and not arrived.isEmpty():
-        keys = arrived.select(*limits.key.names)
-        expected -= keys.count()
-        wave = wave.join(keys, limits.key.names, "left_anti").select(*wave.columns)
-    appended = counted_write(wave, append)
-    if appended != expected:
-        raise RuntimeError(
-            f"chunks {first} to {last} gave {appended} rows instead of {expected}: the source changed during the copy"
-        )
+    return CopyResult(run_id, resumed, plan.chunks, skipped, plan.limits.total)
+
 
+def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int) -> _Waves:
+    ranges = find_ranges(df, key)
+    per_wave = max(1, -(-chunk_count(ranges.total, size) // waves))
+    return _Waves(chunk_limits(df, ranges, size * per_wave), size, per_wave)
 
-def _open_run(control: ControlTable, name: str, size: int, chunks: int) -> tuple[str | None, set[int]]:
-    """The latest run of this name if it is unfinished, with its OK chunks."""
+
+def _make_room(shaped: DataFrame, key: Sequence[str], place, config: Mapping[str, Any], table: str) -> None:
+    """Empty the target for a fresh run if asked to; otherwise see that none of the keys is there yet."""
+    if as_bool(config.get("truncate_before_load", False)):
+        place.refill(shaped.limit(0), config, table)
+        return
+    old = place.read(shaped.sparkSession, config, table).select(*key)
+    if not old.join(shaped.select(*key), list(key), "left_semi").isEmpty():
+        raise ValueError(f"{table} already has rows with these keys; set truncate_before_load to copy afresh")
+
+
+def _rows_per_wave(target: DataFrame, plan: _Waves) -> dict[int, int]:
+    counts = plan.limits.number(target, "wave").groupBy("wave").agg(F.count(F.lit(1)).alias("rows"))
+    return {row["wave"]: row["rows"] for row in counts.collect()}
+
+
+def _open_run(control: ControlTable, name: str, plan: _Waves) -> tuple[str | None, set[int]]:
+    """The latest run of this name if it is unfinished, with the waves whose chunks are all OK."""
     of_name = control.current().filter(F.col("extraction_name") == name)
+    good = F.count_if(F.col("status") == OK)
     runs = of_name.groupBy("run_id").agg(
-        F.min("created_at").alias("started"),
-        F.first("chunk_size").alias("chunk_size"),
-        F.collect_set(F.when(F.col("status") == OK, F.col("chunk_number"))).alias("done"),
+        F.min("created_at").alias("started"), F.first("chunk_size").alias("chunk_size"), good.alias("good")
     )
     latest = runs.orderBy(F.col("started").desc()).first()
-    if latest is None:
-        return None, set()
-    done = set(latest["done"])
-    if done >= set(range(1, chunks + 1)):
+    if latest is None or latest["good"] == plan.chunks:
         return None, set()
-    if latest["chunk_size"] != size:
-        raise ValueError(f"{name} has an open run with chunks of {latest['chunk_size']} rows; it cannot go on with {size}")
+    if latest["chunk_size"] != plan.size:
+        raise ValueError(
+            f"{name} has an open run with chunks of {latest['chunk_size']} rows; it cannot go on with {plan.size}"
+        )
+    wave = (F.floor((F.col("chunk_number") - 1) / plan.per_wave) + 1).alias("wave")
+    counts = of_name.filter(F.col("run_id") == latest["run_id"]).groupBy(wave).agg(good.alias("good")).collect()
+    done = {row["wave"] for row in counts if row["good"] == len(range(*plan.chunks_of(row["wave"]))) + 1}
     return latest["run_id"], done
-
-
-def _open_waves(chunks: int, done: set[int], waves: int) -> list[tuple[int, int]]:
-    """Runs of neighbouring open chunks, at most ``chunks / waves`` (rounded up) long."""
-    longest = max(1, -(-chunks // waves))
-    found: list[tuple[int, int]] = []
-    for chunk in range(1, chunks + 1):
-        if chunk in done:
-            continue
-        if found and found[-1][1] == chunk - 1 and chunk - found[-1][0] < longest:
-            found[-1] = (found[-1][0], chunk)
-        else:
-            found.append((chunk, chunk))
-    return found
-
-
-def _wave_states(limits: ChunkLimits, first: int, last: int, spark) -> DataFrame:
-    """Number, size and rows of the wave's chunks; all but the last chunk of a table are full."""
-    number, size = F.col("id"), F.lit(limits.size).cast("bigint")
-    left = F.lit(limits.total).cast("bigint") - (number - 1) * size
-    return spark.range(first, last + 1).select(
-        number.alias("chunk_number"), size.alias("chunk_size"), F.least(size, left).alias("rows_loaded")
-    )

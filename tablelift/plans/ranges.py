@@ -2,8 +2,8 @@
 
 They let a global order be worked on in parallel. A range is a function of the key alone, so it
 does not change when a task is retried or partitions are merged, and rows move only for the
-ranges a result needs. Split points and row counts per range are all that reaches the driver,
-at most ``MAX_RANGES`` of each.
+ranges a result needs. A sample of the keys and the row counts per range are all that reaches the
+driver, both bounded by ``MAX_RANGES``.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-MAX_RANGES = 10_000
+MAX_RANGES = 50_000
 SAMPLE_PER_RANGE = 20
 RANGES_PER_SHUFFLE_PARTITION = 4
+ROWS_PER_RANGE = 4_000_000
 RANGE = "_range"
 
 
@@ -163,23 +164,33 @@ class KeyRanges:
         )
 
 
-def range_count(spark: SparkSession) -> int:
-    """How many ranges to cut, following the session's shuffle width."""
-    wanted = RANGES_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, wanted))
+def range_count(spark: SparkSession, total: int) -> int:
+    """How many ranges to cut: enough for the session's shuffle width and for the rows."""
+    wide = RANGES_PER_SHUFFLE_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(MAX_RANGES, max(wide, total // ROWS_PER_RANGE)))
+
+
+def key_sample(keys: DataFrame, total: int, wanted: int) -> DataFrame:
+    """About ``wanted`` different keys: those whose hash falls in the lowest part of the hash values.
+
+    The choice depends on the keys, not on partitioning, so a repeated task makes the same one.
+    """
+    if total > wanted:
+        lowest = -(2**63) + int(2**64 * (wanted / total))
+        keys = keys.filter(F.xxhash64(*keys.columns) < F.lit(lowest))
+    return keys.distinct()
 
 
 def find_ranges(df: DataFrame, order_by: Sequence[str], weight: str | None = None) -> KeyRanges:
-    """Cut ``df`` into key ranges with two passes over the order columns only.
+    """Cut ``df`` into key ranges, from a count, a sample and a count per range over the order columns only.
 
-    The split points come from the rows with the smallest hashes: a sample that depends on the data,
-    not on partitioning. ``weight`` names a column to sum instead of counting rows.
+    ``weight`` names a column to sum instead of counting rows.
     """
     spark, key = df.sparkSession, OrderKey(df.schema, order_by)
-    wanted = range_count(spark)
     keys = df.select(*key.parts())
-    names = keys.columns
-    sample = keys.orderBy(F.xxhash64(*names)).limit(wanted * SAMPLE_PER_RANGE).orderBy(*names).collect()
+    total = keys.count()
+    wanted = range_count(spark, total)
+    sample = key_sample(keys, total, wanted * SAMPLE_PER_RANGE).orderBy(*keys.columns).collect()
     step = max(1, -(-len(sample) // wanted))
     splits = key.collected(sample[step::step])
     counted = F.sum(weight) if weight else F.count(F.lit(1))

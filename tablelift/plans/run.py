@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import os
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,8 @@ STEP_SCHEMA = (
     "step string, name string, source string, table_name string, rows long, status string, error string, "
     "started_at timestamp, ended_at timestamp, seconds double"
 )
+# Fixed value: extractions that run side by side.
+PARALLEL = 4
 DONE, FAILED, SKIPPED = "OK", "FAILED", "SKIPPED"
 
 
@@ -65,7 +68,8 @@ def run_config(
     ``config`` holds ``extractions`` (name, source, config, query, params), ``loads`` (name, source,
     target, config, table, mode), ``transformations`` (enabled) and ``mode``: ``batch`` loads each
     table in one job, ``chunked`` copies it by :func:`copy_in_chunks` and can be resumed.
-    ``${NAME}`` is filled from ``values``, by default the environment.
+    ``parallel`` (default true) submits the jobs of several extractions at the same time, so that a
+    small table does not wait for the last task of a large one. ``${NAME}`` is filled from ``values``, by default the environment.
     """
     config = expand_settings(dict(config), os.environ if values is None else values)
     mode = config.get("mode", "batch")
@@ -81,8 +85,15 @@ def run_config(
         if entry.get("source") not in names:
             steps.skip("load", entry.get("name", "unnamed"), entry.get("source"), entry.get("table"),
                        f"the extraction {entry.get('source')!r} does not exist")
-    for extraction in extractions:
-        _run_extraction(spark, config, mode, extraction, loads, hooks, steps)
+
+    def work(extraction) -> list[dict[str, Any]]:
+        own = _Steps()
+        _run_extraction(spark, config, mode, extraction, loads, hooks, own)
+        return own.rows
+
+    with ThreadPoolExecutor(PARALLEL if as_bool(config.get("parallel", True)) else 1) as pool:
+        for rows in pool.map(work, extractions):
+            steps.rows += rows
     return spark.createDataFrame(steps.rows, STEP_SCHEMA)
 
 

@@ -18,6 +18,7 @@ from tablelift.operators.control import OK, ControlTable
 from tablelift.sinks import shape_for_load
 
 BATCH = "copy_batch"
+FILES_PER_BATCH = 1_000
 
 
 def stream_copy(
@@ -27,7 +28,7 @@ def stream_copy(
     target: str,
     checkpoint: str,
     config: Mapping[str, Any] | None = None,
-    files_per_batch: int = 1,
+    files_per_batch: int = FILES_PER_BATCH,
     control: ControlTable | None = None,
     name: str = "stream",
     chunk: Callable[[DataFrame], DataFrame] | None = None,

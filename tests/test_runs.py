@@ -163,10 +163,28 @@ def test_a_finished_copy_is_closed(spark, read):
     first, second = copy_in_chunks(read("customer"), **copy), copy_in_chunks(read("customer"), **copy)
     assert not second.resumed and first.run_id != second.run_id
     assert rows(find_target("parquet").read(spark, config, "customer")) == rows(read("customer"))
-    copy_in_chunks(read("customer"), **(copy | {"config": {"path": place}}))
+    with pytest.raises(ValueError, match="already has rows"):
+        copy_in_chunks(read("customer"), **(copy | {"config": {"path": place}}))
+    later = read("customer").withColumn("c_custkey", F.col("c_custkey") + 1_000)
+    copy_in_chunks(later, **(copy | {"config": {"path": place}}))
     assert find_target("parquet").read(spark, config, "customer").count() == 300
 
 
+def test_rows_that_are_gone_or_new_are_copied_on_resume(spark, read):
+    """A wave marked OK is believed only if its rows are in the target."""
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    config = {"path": place}
+    copy = dict(name="o", table="orders", key=["o_orderkey"], size=100, control=control, config=config, waves=5)
+    register_target("breaking", Breaking(4, "half"))
+    grown = read("orders")
+    with pytest.raises(RuntimeError):
+        copy_in_chunks(grown.filter(F.col("o_orderkey") % 7 != 0), target="breaking", **copy)
+    done = copy_in_chunks(grown, **(copy | {"waves": 3}))
+    assert done.resumed
+    assert rows(find_target("parquet").read(spark, config, "orders")) == rows(grown)
+
+
 def test_resume_does_not_truncate(spark, read):
     place = new_folder(spark, "copy")
     control = ControlTable(spark, f"{place}/control")

@@ -19,7 +19,7 @@ def paths(place, schema):
 
 def test_each_file_is_a_batch(spark, read, events):
     control = ControlTable(spark, f"{events}/control")
-    stream_copy(spark, *paths(events, read("events").schema), control=control, name="e")
+    stream_copy(spark, *paths(events, read("events").schema), files_per_batch=1, control=control, name="e")
     assert rows(copied_rows(spark, f"{events}/out")) == rows(read("events"))
     states = control.current().collect()
     assert sorted(r.chunk_number for r in states) == [1, 2, 3, 4, 5]
@@ -35,9 +35,9 @@ def test_broken_off_and_resumed(spark, read, events, at):
             raise RuntimeError("broken off")
 
     with pytest.raises(Exception, match="broken off"):
-        stream_copy(spark, *paths(events, schema), before_write=break_off)
+        stream_copy(spark, *paths(events, schema), files_per_batch=1, before_write=break_off)
     for _ in range(2):
-        stream_copy(spark, *paths(events, schema))
+        stream_copy(spark, *paths(events, schema), files_per_batch=1)
     assert rows(copied_rows(spark, f"{events}/out")) == rows(read("events"))
 
 
@@ -50,14 +50,14 @@ def test_broken_between_write_and_commit(spark, read, events):
 
     control = ControlTable(spark, f"{events}/control")
     with pytest.raises(Exception, match="no state"):
-        stream_copy(spark, *paths(events, schema), control=control, chunk=fail)
-    stream_copy(spark, *paths(events, schema), control=control)
+        stream_copy(spark, *paths(events, schema), files_per_batch=1, control=control, chunk=fail)
+    stream_copy(spark, *paths(events, schema), files_per_batch=1, control=control)
     assert rows(copied_rows(spark, f"{events}/out")) == rows(read("events"))
 
 
 def test_new_files_only(spark, read, events):
     schema = read("events").schema
-    stream_copy(spark, *paths(events, schema))
+    stream_copy(spark, *paths(events, schema), files_per_batch=1)
     read("events").limit(10).write.mode("append").parquet(f"{events}/in")
-    stream_copy(spark, *paths(events, schema), config={"column_mapping": {}})
+    stream_copy(spark, *paths(events, schema), files_per_batch=1, config={"column_mapping": {}})
     assert copied_rows(spark, f"{events}/out").count() == read("events").count() + 10
