@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from catalogue.base import query, table
-from tablelift.operators.chunks import chunk_plan
+from tablelift.operators.chunks import chunk_plan, whole_part
 from tablelift.operators.control import current_status, last_chunk, remaining_chunks, upsert_control
 
 CHUNK = 1000
@@ -32,7 +32,7 @@ MERGED = f"""
 
 
 def states(spark, folder):
-    number = (F.floor(F.col("event_id") / CHUNK) + 1).alias("chunk_number")
+    number = (whole_part(F.col("event_id"), CHUNK) + 1).alias("chunk_number")
     loaded = F.when(F.second(F.max("ts")) < 30, "OK").otherwise("ERROR")
     return (
         table(spark, folder, "events")

@@ -177,7 +177,8 @@ def broken_and_resumed(spark, folder):
     control = ControlTable(spark, f"{place}/control")
     register_target("breaks_once", BreaksOnce())
     copy = dict(
-        name="orders", table="orders", key=["o_orderkey"], size=COPY_CHUNK, control=control, config={"path": place}
+        name="orders", table="orders", key=["o_orderkey"], size=COPY_CHUNK, control=control, config={"path": place},
+        waves=5,
     )
     orders = table(spark, folder, "orders")
     try:

@@ -3,9 +3,12 @@
 from pyspark.sql import functions as F
 
 from catalogue.base import query, table
+from tablelift.operators.chunks import whole_part
 from tablelift.operators.control import ControlTable
 from tablelift.session import new_folder
-from tablelift.streaming import copied_rows, stream_copy
+from tablelift.sinks import find_target, register_target
+from tablelift.sinks.targets import FileTarget
+from tablelift.streaming import copied_rows, stream_copy, stream_load
 
 GROUP = 2000
 
@@ -43,6 +46,40 @@ def stream_resume(spark, folder):
     return copied_rows(spark, f"{place}/out")
 
 
+class BreaksInStream(FileTarget):
+    """A file target whose second append fails after its rows were written."""
+
+    def __init__(self):
+        super().__init__("parquet")
+        self.appends = 0
+
+    def append(self, df, config, table):
+        super().append(df, config, table)
+        self.appends += 1
+        if self.appends == 2:
+            raise RuntimeError("broken off")
+
+
+@query("stream_load", "SELECT * FROM events")
+def stream_load_query(spark, folder):
+    place, schema = event_files(spark, folder), table(spark, folder, "events").schema
+    config, control = {"path": f"{place}/out"}, ControlTable(spark, f"{place}/control")
+    register_target("breaks_in_stream", BreaksInStream())
+
+    def run(target):
+        stream_load(
+            spark, f"{place}/in", schema, target, "events", f"{place}/checkpoint", control, ["event_id"], config, 2
+        )
+
+    try:
+        run("breaks_in_stream")
+    except Exception as error:
+        if "broken off" not in str(error):
+            raise
+    run("parquet")
+    return find_target("parquet").read(spark, config, "events")
+
+
 @query(
     "stream_control",
     f"""
@@ -54,7 +91,7 @@ def stream_control(spark, folder):
     place, events = new_folder(spark, "events"), table(spark, folder, "events")
 
     def with_group(rows):
-        return rows.withColumn("chunk_number", F.floor(F.col("event_id") / GROUP) + 1)
+        return rows.withColumn("chunk_number", whole_part(F.col("event_id"), GROUP) + 1)
 
     # Every group of keys lies in one file, so a batch holds whole chunks.
     with_group(events).repartition("chunk_number").drop("chunk_number").write.parquet(f"{place}/in")

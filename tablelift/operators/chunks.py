@@ -21,6 +21,11 @@ SMALL_PAGE_END = 10_000
 COPIES_PER_RUN = 1_000_000
 
 
+def whole_part(value: Column, size: int) -> Column:
+    """``value`` divided by ``size`` in whole numbers, exact for any size of table."""
+    return F.call_function("div", value, F.lit(size).cast("bigint"))
+
+
 def chunk_count(total: int, size: int) -> int:
     """Chunks needed for ``total`` rows."""
     if size < 1:
@@ -165,7 +170,7 @@ def assign_chunks(
             return limits.number(df, name)
     chunk_count(0, size)
     indexed = with_row_index(df, order_by, ties, "_index")
-    return indexed.withColumn(name, F.floor(F.col("_index") / F.lit(size)) + 1).drop("_index")
+    return indexed.withColumn(name, whole_part(F.col("_index"), size) + 1).drop("_index")
 
 
 def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-OK, ERROR = "OK", "ERROR"
+OK, ERROR, STARTED = "OK", "ERROR", "STARTED"
 CHUNK_KEY = ["run_id", "extraction_name", "chunk_number"]
 # The columns of the control table, with the run and the chunk size besides.
 CONTROL_SCHEMA = T.StructType(
@@ -96,6 +96,11 @@ class ControlTable:
         """The chunks of one run; the filter is on the fold's keys, so it reaches the scan."""
         return self.current().filter((F.col("run_id") == run_id) & (F.col("extraction_name") == extraction))
 
+    def status_of(self, run_id: str, extraction: str, chunk: int) -> str | None:
+        """The state of one chunk, or None if it was never seen."""
+        found = self.of_run(run_id, extraction).filter(F.col("chunk_number") == chunk).first()
+        return found["status"] if found else None
+
     def last_chunk(self, extraction: str) -> int:
         return last_chunk(self.current(), extraction).first()[0]
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tablelift.operators.chunks import whole_part
 from tablelift.session import stage
 
 CHUNKS_PER_BLOCK = 10_000
@@ -20,7 +21,7 @@ def running_total(df: DataFrame, value: str, name: str, order: str = "chunk_numb
     Blocks of the order column are summed first and only the block sums, one per ten thousand chunks,
     are put in one sequence; inside a block the totals run in parallel.
     """
-    block = F.floor(F.col(order) / CHUNKS_PER_BLOCK).alias("_block")
+    block = whole_part(F.col(order), CHUNKS_PER_BLOCK).alias("_block")
     sums = df.groupBy(block).agg(F.sum(value).alias("_sum"))
     so_far = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select("_block", F.coalesce(F.sum("_sum").over(so_far), F.lit(0)).alias("_before"))

@@ -10,13 +10,15 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits
+from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits, whole_part
 from tablelift.operators.control import ERROR, OK, ControlTable
 from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
 from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
 
-WAVES = 8
+# A copy is cut into at most this many waves, unless told otherwise, of at least so many rows.
+MOST_WAVES = 8
+ROWS_PER_WAVE = 1_000_000
 STATES_PER_FILE = 1_000_000
 
 
@@ -66,7 +68,7 @@ def copy_in_chunks(
     control: ControlTable,
     target: str = "parquet",
     config: Mapping[str, Any] | None = None,
-    waves: int = WAVES,
+    waves: int | None = None,
 ) -> CopyResult:
     """Copy ``df`` to ``table`` as chunks of ``size`` rows in the order of its unique ``key``.
 
@@ -118,8 +120,9 @@ def copy_in_chunks(
     return CopyResult(run_id, resumed, plan.chunks, skipped, plan.limits.total)
 
 
-def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int) -> _Waves:
+def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int | None) -> _Waves:
     ranges = find_ranges(df, key)
+    waves = waves or max(1, min(MOST_WAVES, -(-ranges.total // ROWS_PER_WAVE)))
     per_wave = max(1, -(-chunk_count(ranges.total, size) // waves))
     return _Waves(chunk_limits(df, ranges, size * per_wave), size, per_wave)
 
@@ -153,7 +156,7 @@ def _open_run(control: ControlTable, name: str, plan: _Waves) -> tuple[str | Non
         raise ValueError(
             f"{name} has an open run with chunks of {latest['chunk_size']} rows; it cannot go on with {plan.size}"
         )
-    wave = (F.floor((F.col("chunk_number") - 1) / plan.per_wave) + 1).alias("wave")
+    wave = (whole_part(F.col("chunk_number") - 1, plan.per_wave) + 1).alias("wave")
     counts = of_name.filter(F.col("run_id") == latest["run_id"]).groupBy(wave).agg(good.alias("good")).collect()
     done = {row["wave"] for row in counts if row["good"] == len(range(*plan.chunks_of(row["wave"]))) + 1}
     return latest["run_id"], done

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.operators.control import ControlTable
-from tablelift.plans.copy import WAVES, copy_in_chunks
+from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.settings import as_bool, as_size, check_config, expand_settings
 from tablelift.session import shared_folder, stage
 from tablelift.sinks import load, supported_targets
@@ -151,7 +151,7 @@ def _load_chunked(config, extraction, entry, rows: DataFrame) -> int:
     folder = config.get("control_path") or f"{shared_folder(spark)}/tablelift/control"
     done = copy_in_chunks(
         rows, entry.get("name", "unnamed"), entry["table"], key if isinstance(key, list) else [key], size,
-        ControlTable(spark, folder), entry.get("target"), settings, as_size(settings.get("waves", WAVES), "waves"),
+        ControlTable(spark, folder), entry.get("target"), settings, as_size(settings["waves"], "waves") if settings.get("waves") else None,
     )
     return done.rows
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folders: dict[str, str] = {}
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def build_session(
+    master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g", java_options: str = ""
+) -> SparkSession:
     """A single-machine session for tests and benchmarks; on a cluster the job brings its own."""
     return (
         SparkSession.builder.master(master)
@@ -20,6 +22,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, memory:
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", memory)
+        .config("spark.driver.extraJavaOptions", java_options)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

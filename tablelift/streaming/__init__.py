@@ -1,3 +1,3 @@
-from tablelift.streaming.copy import copied_rows, stream_copy
+from tablelift.streaming.copy import copied_rows, stream_copy, stream_load
 
-__all__ = ["copied_rows", "stream_copy"]
+__all__ = ["copied_rows", "stream_copy", "stream_load"]

@@ -1,21 +1,22 @@
 """Copying a folder of files as a stream of micro-batches.
 
 The checkpoint remembers which files are done, so every file is read once however often the copy is
-broken off and started again. Each micro-batch fills a folder of its own; a batch that is repeated
-after a failure fills the same folder again, so its rows are in the target exactly once.
+broken off and started again. The last batch before a failure may be repeated; its rows are still in
+the target exactly once. :func:`stream_copy` gives each batch a folder of its own, which a repeated
+batch fills again. :func:`stream_load` writes to any target and knows its rows by a key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.operators.control import OK, ControlTable
-from tablelift.sinks import shape_for_load
+from tablelift.operators.control import OK, STARTED, ControlTable
+from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
 
 BATCH = "copy_batch"
 FILES_PER_BATCH = 1_000
@@ -41,10 +42,7 @@ def stream_copy(
     function that adds ``chunk_number``, sees in it. ``before_write`` is called with the batch number
     before a batch is written.
     """
-    files = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    )
-    shaped = shape_for_load(files, config or {})
+    shaped = shape_for_load(_new_files(spark, source, schema, files_per_batch), config or {})
 
     def write(batch: DataFrame, number: int) -> None:
         if before_write:
@@ -55,8 +53,60 @@ def stream_copy(
             written = batch.sparkSession.read.schema(batch.schema).parquet(folder)
             _save_state(control, written, name, target, number, chunk)
 
+    return _run_to_end(shaped, write, checkpoint)
+
+
+def stream_load(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | str,
+    target: str,
+    table: str,
+    checkpoint: str,
+    control: ControlTable,
+    key: Sequence[str],
+    config: Mapping[str, Any] | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
+    name: str = "stream",
+) -> int:
+    """Load all files that are new in ``source`` into a table of any target and stop; returns the batches.
+
+    Each batch is a chunk of the control table. It is STARTED before its rows are written and OK
+    afterwards; a batch that is repeated is left out if it is OK, and if it only STARTED, the rows
+    that arrived are found by their unique ``key`` and not written again.
+    """
+    config = config or {}
+    place = find_target(target)
+    shaped = shape_for_load(_new_files(spark, source, schema, files_per_batch), config)
+
+    def write(batch: DataFrame, number: int) -> None:
+        session, chunk = batch.sparkSession, number + 1
+        state = control.status_of(checkpoint, name, chunk)
+        if state == OK:
+            return
+        if state is None:
+            control.save_chunk(checkpoint, name, table, chunk, 0, 0, STARTED)
+        there = place.exists(session, config, table)
+        rows = fit_to(batch, place.read(session, config, table), cast=not place.casts_itself) if there else batch
+        arrived = 0
+        if there and state is not None:
+            keys = place.read(session, config, table).select(*key).join(batch.select(*key), list(key), "left_semi")
+            arrived = keys.count()
+            rows = rows.join(keys, list(key), "left_anti").select(*rows.columns) if arrived else rows
+        put = place.append if there else place.create
+        size = arrived + counted_write(rows, lambda batch_rows: put(batch_rows, config, table))
+        control.save_chunk(checkpoint, name, table, chunk, size, size)
+
+    return _run_to_end(shaped, write, checkpoint)
+
+
+def _new_files(spark: SparkSession, source: str, schema: T.StructType | str, files_per_batch: int) -> DataFrame:
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+
+
+def _run_to_end(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> int:
     query = (
-        shaped.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -12,7 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[8]", memory="6g")
+    # Many small jobs: a quick compiler matters more than fast code.
+    session = build_session("local[8]", shuffle_partitions=4, memory="6g", java_options="-XX:TieredStopAtLevel=1")
     session.sparkContext.setLogLevel("FATAL")
     return session
 

@@ -3,7 +3,9 @@ import pytest
 from conftest import rows
 from tablelift.operators.control import ControlTable
 from tablelift.session import new_folder
-from tablelift.streaming import copied_rows, stream_copy
+from tablelift.sinks import find_target, register_target
+from tablelift.sinks.targets import FileTarget
+from tablelift.streaming import copied_rows, stream_copy, stream_load
 
 
 @pytest.fixture
@@ -61,3 +63,48 @@ def test_new_files_only(spark, read, events):
     read("events").limit(10).write.mode("append").parquet(f"{events}/in")
     stream_copy(spark, *paths(events, schema), files_per_batch=1, config={"column_mapping": {}})
     assert copied_rows(spark, f"{events}/out").count() == read("events").count() + 10
+
+
+class BreaksHalfway(FileTarget):
+    """Writes half of the rows of the given batch and fails."""
+
+    def __init__(self, at, step):
+        super().__init__("parquet")
+        self.at, self.step, self.calls = at, step, 0
+
+    def _put(self, df, config, table, put):
+        self.calls += 1
+        if self.calls != self.at:
+            return put(df, config, table)
+        if self.step == "half":
+            put(df.filter("event_id % 2 = 0"), config, table)
+        elif self.step == "after":
+            put(df, config, table)
+        raise RuntimeError("broken off")
+
+    def create(self, df, config, table):
+        self._put(df, config, table, super().create)
+
+    def append(self, df, config, table):
+        self._put(df, config, table, super().append)
+
+
+@pytest.mark.parametrize("at, step", [(1, "half"), (3, "before"), (3, "half"), (3, "after")])
+def test_stream_into_a_table(spark, read, events, at, step):
+    control, config = ControlTable(spark, f"{events}/control"), {"path": f"{events}/out"}
+    register_target("halfway", BreaksHalfway(at, step))
+
+    def run(target):
+        stream_load(
+            spark, f"{events}/in", read("events").schema, target, "e", f"{events}/checkpoint", control, ["event_id"],
+            config, files_per_batch=1,
+        )
+
+    with pytest.raises(Exception, match="broken off"):
+        run("halfway")
+    assert control.last_chunk("stream") == at - 1
+    run("parquet")
+    run("parquet")
+    assert rows(find_target("parquet").read(spark, config, "e")) == rows(read("events"))
+    states = control.current().collect()
+    assert {r.status for r in states} == {"OK"} and sum(r.rows_loaded for r in states) == read("events").count()
