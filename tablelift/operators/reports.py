@@ -35,8 +35,8 @@ def running_total(df: DataFrame, value: str, name: str, order: str = "chunk_numb
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Elapsed seconds between two timestamps."""
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
+    """Elapsed seconds between two timestamps of one kind, whatever the session's time zone."""
+    return (end - start).cast("interval second").cast(EXACT_SECONDS).cast("double")
 
 
 def chunk_counts(df: DataFrame, time: str | None = None) -> DataFrame:

@@ -16,7 +16,7 @@ from tablelift.operators.columns import (
     project_columns,
     standardize_columns,
 )
-from tablelift.operators.upsert import upsert
+from tablelift.operators.upsert import one_per_key, upsert
 from tablelift.plans.settings import as_bool
 from tablelift.session import stage
 from tablelift.sinks.targets import CatalogTarget, FileTarget, JdbcTarget, Target, ViewTarget
@@ -102,13 +102,13 @@ def load(
     place = find_target(target)
     spark = df.sparkSession
     shaped = shape_for_load(df, config)
+    if mode == "upsert":
+        return _load_upsert(shaped, place, config, table)
     emptying = mode == "replace" or as_bool(config.get("truncate_before_load", False))
     if emptying and not as_bool(config.get("allow_empty", False)) and df.isEmpty():
         return 0
     if mode == "replace" or not place.exists(spark, config, table):
         return counted_write(shaped, lambda rows: place.create(rows, config, table))
-    if mode == "upsert":
-        return _load_upsert(shaped, place, config, table)
     fitted = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
     if emptying:
         return counted_write(fitted, lambda rows: place.refill(rows, config, table))
@@ -124,8 +124,12 @@ def _load_upsert(shaped: DataFrame, place: Target, config: Mapping[str, Any], ta
     keys: Sequence[str] = [clean_name(k) for k in config.get("keys") or ()]
     if not keys:
         raise ValueError("an upsert needs 'keys' in the load's config")
-    existing = place.read(shaped.sparkSession, config, table)
+    spark, latest_by = shaped.sparkSession, config.get("latest_by")
+    if not place.exists(spark, config, table):
+        return counted_write(one_per_key(shaped, keys, latest_by), lambda rows: place.create(rows, config, table))
+    existing = place.read(spark, config, table)
     changes = fit_to(shaped, existing)
-    merged = stage(upsert(existing, changes, keys, config.get("latest_by")), "upsert")
-    place.refill(merged, config, table)
-    return changes.count()
+    rows = changes.count()
+    if rows:
+        place.refill(stage(upsert(existing, changes, keys, latest_by), "upsert"), config, table)
+    return rows

@@ -129,6 +129,18 @@ def test_upsert_wants_keys(spark):
         load(spark.range(2), "parquet", "t", config, mode="upsert")
 
 
+def test_upsert_into_a_missing_table(spark):
+    config = {"path": new_folder(spark, "t"), "keys": ["k"]}
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
+    with pytest.raises(Exception, match="several new rows"):
+        load(twice, "parquet", "t", config, mode="upsert")
+    config = {"path": new_folder(spark, "t"), "keys": ["k"], "latest_by": "v"}
+    assert load(twice, "parquet", "t", config, mode="upsert") == 1
+    assert rows(find_target("parquet").read(spark, config, "t")) == [(1, "b")]
+    assert load(twice.limit(0), "parquet", "t", config, mode="upsert") == 0
+    assert rows(find_target("parquet").read(spark, config, "t")) == [(1, "b")]
+
+
 def test_upsert_against_brute_force(spark):
     old = [(i % 50, i // 50, f"o{i}") for i in range(100)]
     new = [(i % 30 + 30, i // 30, f"n{i}") for i in range(60)]

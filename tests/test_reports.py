@@ -1,0 +1,72 @@
+import math
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from tablelift.operators import reports
+from tablelift.operators.chunks import assign_chunks
+from tablelift.operators.reports import (
+    chunk_counts,
+    chunk_eta,
+    chunk_report,
+    reconcile_counts,
+    running_total,
+    seconds_between,
+    throughput,
+)
+
+
+def test_one_chunk_of_a_small_table(spark):
+    """101 rows in chunks of 80,000: one chunk, all of it done."""
+    counts = chunk_counts(assign_chunks(spark.range(101), ["id"], 80_000))
+    assert chunk_report(counts, 80_000).first().asDict() == {
+        "chunk_number": 1, "rows": 101, "chunk_size": 80_000, "chunk_offset": 0, "cumulative": 101,
+        "total_rows": 101, "percent": 100.0,
+    }
+
+
+def test_running_total_over_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(reports, "CHUNKS_PER_BLOCK", 7)
+    frame = spark.range(1, 101).select(F.col("id").alias("chunk_number"), (F.col("id") * 3).alias("rows"))
+    got = running_total(frame, "rows", "total").collect()
+    assert {r.chunk_number: r.total for r in got} == {n: 3 * n * (n + 1) // 2 for n in range(1, 101)}
+
+
+def test_rate_and_time_left(spark):
+    frame = spark.createDataFrame([(1, 100, 2.0), (2, 100, 6.0), (3, 50, 0.5)], "chunk_number long, rows long, seconds double")
+    got = {r.chunk_number: r for r in chunk_eta(chunk_report(frame, 100)).collect()}
+    assert [got[n].elapsed for n in (1, 2, 3)] == [2.0, 8.0, 8.5]
+    assert [got[n].eta_seconds for n in (1, 2, 3)] == [150 / (100 / 2), 50 / (200 / 8), 0.0]
+    assert [got[n].percent for n in (1, 2, 3)] == [40.0, 80.0, 100.0]
+    assert tuple(throughput(frame).first()) == (250, 8.5, 250 / 8.5)
+
+
+def test_no_time_has_passed(spark):
+    frame = spark.createDataFrame([(1, 5, 0.0)], "chunk_number long, rows long, seconds double")
+    assert throughput(frame).first().rows_per_second is None
+    assert chunk_eta(chunk_report(frame, 5)).first().eta_seconds == 0.0
+
+
+def test_empty_report(spark):
+    assert chunk_report(chunk_counts(assign_chunks(spark.range(0), ["id"], 5)), 5).count() == 0
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_seconds_do_not_depend_on_the_zone(spark, zone):
+    start = datetime(2024, 3, 9, 12)
+    end = start + timedelta(days=2, microseconds=1)
+    frame = spark.createDataFrame([(start, end)], "a timestamp_ntz, b timestamp_ntz")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert math.isclose(frame.select(seconds_between(F.col("a"), F.col("b"))).first()[0], 172800.000001)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_reconcile_both_sides(spark):
+    left = spark.createDataFrame([(1,), (1,), (2,), (4,)], "chunk_number long")
+    right = spark.createDataFrame([(1,), (1,), (3,), (4,), (4,)], "chunk_number long")
+    assert rows(reconcile_counts(left, right)) == [(1, 2, 2, True), (2, 1, 0, False), (3, 0, 1, False), (4, 1, 2, False)]
