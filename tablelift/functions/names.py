@@ -31,5 +31,11 @@ def standardize_name(name: Column) -> Column:
     """:func:`clean_name` as a column expression, without a Python worker."""
     trimmed = F.btrim(name, F.lit(SPACES))
     mended = F.replace(F.replace(trimmed, F.lit(BROKEN * 2), F.lit("n")), F.lit(BROKEN), F.lit("n"))
-    joined = F.regexp_replace(F.translate(mended, ACCENTED, PLAIN), SPACE_RUN, "_")
-    return F.lower(F.regexp_replace(joined, NOT_ASCII, ""))
+    folded = _join_words(F.translate(mended, ACCENTED, PLAIN))
+    # Most names are plain ASCII and skip the folding.
+    plain = F.octet_length(trimmed) == F.char_length(trimmed)
+    return F.lower(F.when(plain, _join_words(trimmed)).otherwise(F.regexp_replace(folded, NOT_ASCII, "")))
+
+
+def _join_words(text: Column) -> Column:
+    return F.regexp_replace(text, SPACE_RUN, "_")

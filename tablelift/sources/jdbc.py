@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import decimal
+import math
+from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,15 +50,27 @@ def count_question(expression: str) -> str:
     return f"(SELECT COUNT(*) AS n FROM {expression}) c"
 
 
-def partition_options(config: Mapping[str, Any], low: Any, high: Any, parts: int) -> dict[str, str]:
-    """How the read is cut into parallel parts; none without a partition column or without rows."""
-    if not config.get("partition_column") or low is None or high is None:
+def actual_name(columns: Sequence[str], wanted: str) -> str:
+    """A column as the database spells it; names are looked up without regard to case."""
+    if wanted in columns:
+        return wanted
+    found = [name for name in columns if name.lower() == wanted.lower()]
+    if len(found) != 1:
+        raise ValueError(f"the partition column {wanted!r} is not one of {list(columns)}")
+    return found[0]
+
+
+def partition_options(column: str, low: Any, high: Any, parts: int) -> dict[str, str]:
+    """How the read is cut into parallel parts; none if the table has no rows. Number bounds are whole."""
+    if low is None or high is None:
         return {}
+    if isinstance(low, (decimal.Decimal, float)):
+        low, high = math.floor(low), math.ceil(high)
     return {
-        "partitionColumn": str(config["partition_column"]),
+        "partitionColumn": column,
         "lowerBound": str(low),
         "upperBound": str(high),
-        "numPartitions": str(config.get("num_partitions") or parts),
+        "numPartitions": str(parts),
     }
 
 
@@ -75,11 +89,15 @@ def read_jdbc(
         properties = {k: v for k, v in options.items() if k != "url"}
         return spark.read.jdbc(options["url"], expression, predicates=config["predicates"], properties=properties)
     reader = spark.read.format("jdbc").options(**options)
+    whole = reader.option("dbtable", expression).load()
+    if not config.get("partition_column"):
+        return whole
+    column = actual_name(whole.columns, config["partition_column"])
     low, high = config.get("lower_bound"), config.get("upper_bound")
-    if config.get("partition_column") and (low is None or high is None):
-        low, high = reader.option("dbtable", bounds_question(expression, config["partition_column"])).load().first()
-    parts = partition_options(config, low, high, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return spark.read.format("jdbc").options(**options, **parts).option("dbtable", expression).load()
+    if low is None or high is None:
+        low, high = reader.option("dbtable", bounds_question(expression, column)).load().first()
+    count = int(config.get("num_partitions") or spark.conf.get("spark.sql.shuffle.partitions"))
+    return reader.option("dbtable", expression).options(**partition_options(column, low, high, count)).load()
 
 
 def count_jdbc(

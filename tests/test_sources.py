@@ -14,7 +14,7 @@ from tablelift.sources import (
     run_query,
     supported_sources,
 )
-from tablelift.sources.jdbc import bounds_question, count_question, jdbc_options, partition_options, table_expression
+from tablelift.sources.jdbc import actual_name, bounds_question, count_question, jdbc_options, partition_options, table_expression
 from tablelift.sources.params import bind_params, sql_literal
 
 
@@ -110,10 +110,16 @@ def test_database_questions():
 
 
 def test_parallel_read_options():
-    config = {"partition_column": "ID"}
-    assert partition_options(config, 0, 99, 8) == {
-        "partitionColumn": "ID", "lowerBound": "0", "upperBound": "99", "numPartitions": "8",
-    }
-    assert partition_options(config | {"num_partitions": 3}, 0, 99, 8)["numPartitions"] == "3"
-    assert partition_options({}, None, None, 8) == {}
-    assert partition_options(config, None, None, 8) == {}
+    whole = {"partitionColumn": "ID", "lowerBound": "0", "upperBound": "99", "numPartitions": "8"}
+    assert partition_options("ID", 0, 99, 8) == whole
+    assert partition_options("ID", decimal.Decimal("0.0000000000"), decimal.Decimal("98.5000000000"), 8) == whole
+    days = partition_options("D", datetime.date(2024, 1, 1), datetime.date(2024, 2, 1), 2)
+    assert (days["lowerBound"], days["upperBound"]) == ("2024-01-01", "2024-02-01")
+    assert partition_options("ID", None, None, 8) == {}
+
+
+def test_column_as_the_database_spells_it():
+    assert actual_name(["ID", "NAME"], "id") == "ID"
+    assert actual_name(["ID", "id"], "id") == "id"
+    with pytest.raises(ValueError, match="not one of"):
+        actual_name(["NAME"], "id")
