@@ -132,6 +132,36 @@ def chunk_eta_query(spark, folder):
     return chunk_eta(chunk_report(event_counts(spark, folder), EVENT_CHUNK))
 
 
+TABLE_KEYS = {"orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey"}
+TABLE_CHUNK = 400
+TABLE_ROWS = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, (row_number() OVER (ORDER BY {key}) - 1) // {TABLE_CHUNK} + 1 AS chunk_number FROM {name}"
+    for name, key in TABLE_KEYS.items()
+)
+
+
+@query(
+    "chunk_report_tables",
+    f"""
+    SELECT table_name, chunk_number, rows, {TABLE_CHUNK}::BIGINT AS chunk_size,
+           (chunk_number - 1) * {TABLE_CHUNK} AS chunk_offset,
+           (sum(rows) OVER (PARTITION BY table_name ORDER BY chunk_number))::BIGINT AS cumulative,
+           (sum(rows) OVER (PARTITION BY table_name))::BIGINT AS total_rows,
+           round(sum(rows) OVER (PARTITION BY table_name ORDER BY chunk_number) * 100
+                 / sum(rows) OVER (PARTITION BY table_name), 1) AS percent
+    FROM (SELECT table_name, chunk_number, count(*) AS rows FROM ({TABLE_ROWS}) GROUP BY table_name, chunk_number)
+    """,
+)
+def chunk_report_tables(spark, folder):
+    chunked = union_chunks(
+        assign_chunks(table(spark, folder, name), [key], TABLE_CHUNK).select(
+            F.lit(name).alias("table_name"), "chunk_number"
+        )
+        for name, key in TABLE_KEYS.items()
+    )
+    return chunk_report(chunk_counts(chunked, by=["table_name"]), TABLE_CHUNK, by=["table_name"])
+
+
 @query(
     "throughput",
     f"""

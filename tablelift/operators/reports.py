@@ -15,20 +15,23 @@ CHUNKS_PER_BLOCK = 10_000
 EXACT_SECONDS = "decimal(20,6)"
 
 
-def running_total(df: DataFrame, value: str, name: str, order: str = "chunk_number") -> DataFrame:
-    """Add the running total of ``value`` over a whole-number order column.
+def running_total(
+    df: DataFrame, value: str, name: str, order: str = "chunk_number", by: Sequence[str] = ()
+) -> DataFrame:
+    """Add the running total of ``value`` over a whole-number order column, for each of ``by`` if given.
 
     Blocks of the order column are summed first and only the block sums, one per ten thousand chunks,
     are put in one sequence; inside a block the totals run in parallel.
     """
+    parts = [*by, "_block"]
     block = whole_part(F.col(order), CHUNKS_PER_BLOCK).alias("_block")
-    sums = df.groupBy(block).agg(F.sum(value).alias("_sum"))
-    so_far = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select("_block", F.coalesce(F.sum("_sum").over(so_far), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    sums = df.groupBy(*by, block).agg(F.sum(value).alias("_sum"))
+    so_far = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*parts, F.coalesce(F.sum("_sum").over(so_far), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         df.withColumn("_block", block)
-        .join(before, "_block")
+        .join(before, parts)
         .withColumn(name, F.col("_before") + F.sum(value).over(inside))
         .drop("_block", "_before")
     )
@@ -39,23 +42,28 @@ def seconds_between(start: Column, end: Column) -> Column:
     return (end - start).cast("interval second").cast(EXACT_SECONDS).cast("double")
 
 
-def chunk_counts(df: DataFrame, time: str | None = None) -> DataFrame:
-    """Rows per chunk and, with a time column, the seconds the chunk spans."""
+def chunk_counts(df: DataFrame, time: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Rows per chunk (of each of ``by``) and, with a time column, the seconds the chunk spans."""
     measures = [F.count(F.lit(1)).alias("rows")]
     if time:
         measures.append(seconds_between(F.min(time), F.max(time)).alias("seconds"))
-    return df.groupBy("chunk_number").agg(*measures)
+    return df.groupBy(*by, "chunk_number").agg(*measures)
 
 
-def chunk_report(counts: DataFrame, size: int) -> DataFrame:
-    """Per chunk: rows, chunk size, offset, running total and percent of all rows.
+def chunk_report(counts: DataFrame, size: int, by: Sequence[str] = ()) -> DataFrame:
+    """Per chunk: rows, chunk size, offset, running total and percent of all rows; ``by`` names the table's columns.
 
     The counts are written down first: they are small, and what they come from is read only once.
     """
     counts = stage(counts, "counts")
-    total = counts.agg(F.sum("rows")).scalar()
-    return running_total(counts, "rows", "cumulative").select(
-        *[c for c in counts.columns],
+    columns = counts.columns
+    if by:
+        totals = counts.groupBy(*by).agg(F.sum("rows").alias("total_rows"))
+        counts, total = counts.join(totals, list(by)), F.col("total_rows")
+    else:
+        total = counts.agg(F.sum("rows")).scalar()
+    return running_total(counts, "rows", "cumulative", by=by).select(
+        *columns,
         F.lit(size).cast("bigint").alias("chunk_size"),
         ((F.col("chunk_number") - 1) * size).alias("chunk_offset"),
         "cumulative",
@@ -64,10 +72,10 @@ def chunk_report(counts: DataFrame, size: int) -> DataFrame:
     )
 
 
-def chunk_eta(report: DataFrame) -> DataFrame:
+def chunk_eta(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Seconds left after each chunk, at the rate of all chunks so far (0 when no time has passed)."""
     exact = report.withColumn("_exact", F.col("seconds").cast(EXACT_SECONDS))
-    timed = running_total(exact, "_exact", "elapsed").drop("_exact")
+    timed = running_total(exact, "_exact", "elapsed", by=by).drop("_exact")
     timed = timed.withColumn("elapsed", F.col("elapsed").cast("double"))
     left = F.col("total_rows") - F.col("cumulative")
     rate = F.try_divide(F.col("cumulative").cast("double"), F.col("elapsed"))

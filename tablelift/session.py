@@ -14,7 +14,7 @@ def build_session(
     master: str = "local[*]", shuffle_partitions: int = 8, memory: str = "8g", java_options: str = ""
 ) -> SparkSession:
     """A single-machine session for tests and benchmarks; on a cluster the job brings its own."""
-    return (
+    builder = (
         SparkSession.builder.master(master)
         .appName("tablelift")
         .config("spark.ui.enabled", "false")
@@ -22,12 +22,13 @@ def build_session(
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", memory)
-        .config("spark.driver.extraJavaOptions", java_options)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    if java_options:
+        builder = builder.config("spark.driver.extraJavaOptions", java_options)
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

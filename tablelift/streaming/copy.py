@@ -105,14 +105,21 @@ def _new_files(spark: SparkSession, source: str, schema: T.StructType | str, fil
 
 
 def _run_to_end(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> int:
+    """Work through everything that is there now and return the number of batches."""
+    finished: list[int] = []
+
+    def counted(batch: DataFrame, number: int) -> None:
+        write(batch, number)
+        finished.append(number)
+
     query = (
-        stream.writeStream.foreachBatch(write)
+        stream.writeStream.foreachBatch(counted)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return len(query.recentProgress)
+    return len(finished)
 
 
 def _save_state(control: ControlTable, written: DataFrame, name: str, target: str, number: int, chunk) -> None:

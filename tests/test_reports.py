@@ -34,6 +34,14 @@ def test_running_total_over_many_blocks(spark, monkeypatch):
     assert {r.chunk_number: r.total for r in got} == {n: 3 * n * (n + 1) // 2 for n in range(1, 101)}
 
 
+def test_tables_are_reported_apart(spark):
+    frame = spark.createDataFrame(
+        [("a", 1, 10, 1.0), ("a", 2, 5, 4.0), ("b", 1, 7, 2.0)], "t string, chunk_number long, rows long, seconds double"
+    )
+    got = chunk_eta(chunk_report(frame, 10, by=["t"]), by=["t"]).select("t", "cumulative", "total_rows", "elapsed", "eta_seconds")
+    assert rows(got) == [("a", 10, 15, 1.0, 0.5), ("a", 15, 15, 5.0, 0.0), ("b", 7, 7, 2.0, 0.0)]
+
+
 def test_rate_and_time_left(spark):
     frame = spark.createDataFrame([(1, 100, 2.0), (2, 100, 6.0), (3, 50, 0.5)], "chunk_number long, rows long, seconds double")
     got = {r.chunk_number: r for r in chunk_eta(chunk_report(frame, 100)).collect()}

@@ -21,7 +21,8 @@ def paths(place, schema):
 
 def test_each_file_is_a_batch(spark, read, events):
     control = ControlTable(spark, f"{events}/control")
-    stream_copy(spark, *paths(events, read("events").schema), files_per_batch=1, control=control, name="e")
+    done = stream_copy(spark, *paths(events, read("events").schema), files_per_batch=1, control=control, name="e")
+    assert done == 5
     assert rows(copied_rows(spark, f"{events}/out")) == rows(read("events"))
     states = control.current().collect()
     assert sorted(r.chunk_number for r in states) == [1, 2, 3, 4, 5]
