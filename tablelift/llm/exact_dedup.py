@@ -35,16 +35,16 @@ def slot_of(key: Column, bits: int = DEEPEST) -> Column:
 def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES, deepest: int = DEEPEST) -> DataFrame:
     """``slot, depth, bucket``: for each slot of ``deepest`` bits in use, the local depth and number of its bucket.
 
-    A bucket is a key prefix of ``depth`` bits, the shortest with no more than ``capacity`` entries. Numbers follow the key order, so
-    a run of neighbouring buckets is a range of keys. The table has at most ``2^deepest`` rows.
+    A bucket is a key prefix of ``depth`` bits, the shortest with no more than ``capacity`` entries. Numbers follow the
+    key order, so a run of neighbouring buckets is a range of keys. The table has at most ``2^deepest`` rows.
     """
     counts = entries.groupBy(slot_of(F.col("key"), deepest).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(deepest))))
-    prefix = F.shiftright("slot", F.lit(deepest) - F.col("depth"))
+    prefix = F.expr(f"shiftright(slot, {deepest} - depth)")
     sized = levels.withColumn("size", F.sum("n").over(Window.partitionBy("depth", prefix)))
     fits = (F.col("size") <= capacity) | (F.col("depth") == deepest)
     depths = sized.where(fits).groupBy("slot").agg(F.min("depth").alias("depth"), F.first("n").alias("n"))
-    bucket = F.shiftleft(F.shiftright(F.col("slot"), F.lit(deepest) - F.col("depth")), F.lit(deepest) - F.col("depth"))
+    bucket = F.expr(f"shiftleft(shiftright(slot, {deepest} - depth), {deepest} - depth)")
     return depths.select("slot", "depth", bucket.alias("bucket"))
 
 
