@@ -5,9 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tablelift.llm import language_id, quality
+from tablelift.llm.encode import encode
 from tablelift.llm.exact_dedup import exact_duplicates
+from tablelift.llm.fingerprints import edited_fingerprints
+from tablelift.llm.mixing import MIX_SQL, mix
 from tablelift.llm.ngram_join import ngram_components
+from tablelift.llm.packing import cut, pack
+from tablelift.llm.substring_dedup import remove_repeated
+from tablelift.llm.text import whole_text, word_count
+from tablelift.llm.token_files import read_tokens, with_crc32, write_tokens
+from tablelift.llm.token_rollup import TokenRollup
+from tablelift.session import new_folder, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -48,3 +59,105 @@ def ngram_join_query(spark, folder):
 )
 def exact_dedup_query(spark, folder):
     return exact_duplicates(table(spark, folder, "documents"))
+
+
+@query("op8_fingerprints")
+def fingerprints_query(spark, folder):
+    found = edited_fingerprints(table(spark, folder, "documents"))
+    return found.withColumn("edited_text", F.sha2("edited_text", 256)).withColumnRenamed("edited_text", "edited_sha256")
+
+
+ROLLUP_SQL = r"""
+WITH counted AS (
+    SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+           octet_length(encode(coalesce(text, ''))) AS bytes
+    FROM documents
+),
+rows AS (
+    SELECT source, lang, 'words-1' AS version, words AS tokens FROM counted WHERE doc_id % 10 <> 3
+    UNION ALL
+    SELECT source, lang, 'bytes-4' AS version, (bytes + 3) // 4 AS tokens FROM counted
+)
+SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL
+"""
+
+
+@query("op7_token_counts", ROLLUP_SQL)
+def token_counts_query(spark, folder):
+    """Four batches over all documents: counts of two tokenizer versions, a revision of one, a removal; one sent twice.
+
+    The first counts of ``bytes-4`` are those of characters; the revision replaces them. The removal takes every tenth document out of ``words-1``.
+    """
+    docs = table(spark, folder, "documents")
+    words = word_count()
+    by_four = lambda n: F.floor((n + 3) / 4).cast("bigint")
+    counted = stage(
+        docs.select(
+            "doc_id",
+            "source",
+            "lang",
+            words.alias("words"),
+            by_four(F.length(whole_text())).alias("rough"),
+            by_four(F.octet_length(whole_text())).alias("fine"),
+        ),
+        "counted",
+    )
+
+    def change(kind, version, tokens, old=None):
+        old = F.col(old) if old else F.lit(None).cast("bigint")
+        return ["source", "lang", F.lit(kind).alias("change"), F.lit(version).alias("version"), F.col(tokens).alias("tokens"), old.alias("old_tokens")]
+
+    rollup = TokenRollup(spark, new_folder(spark, "rollup"))
+    revision = counted.select(*change("revise", "bytes-4", "fine", "rough"))
+    rollup.apply("1-words", counted.select(*change("insert", "words-1", "words")))
+    rollup.apply("2-bytes", counted.select(*change("insert", "bytes-4", "rough")))
+    rollup.apply("3-revised", revision)
+    rollup.apply("4-removed", counted.where("doc_id % 10 = 3").select(*change("delete", "words-1", "words")))
+    rollup.apply("3-revised", revision)
+    return rollup.totals()
+
+
+@query("op3_packing")
+def packing_query(spark, folder):
+    tokens = stage(encode(table(spark, folder, "documents")), "tokens")
+    pieces = cut(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(pieces)
+
+
+@query("op4_token_files")
+def token_files_query(spark, folder):
+    files = new_folder(spark, "token_files")
+    write_tokens(table(spark, folder, "documents"), files)
+    return with_crc32(read_tokens(spark, files))
+
+
+@query("op5_substring_dedup")
+def substring_dedup_query(spark, folder):
+    found = remove_repeated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def remainder(n: int):
+    """crc32 of the doc_id as text, modulo n."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+@query("op6_language_id")
+def language_id_query(spark, folder):
+    docs = table(spark, folder, "documents")
+    model = language_id.learn(docs, remainder(4) != 2)
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_mixing", MIX_SQL)
+def mixing_query(spark, folder):
+    return mix(table(spark, folder, "documents")).drop("source")
+
+
+@query("op10_quality")
+def quality_query(spark, folder):
+    stats = stage(quality.document_statistics(table(spark, folder, "documents")), "statistics")
+    model = quality.learn(stats, table(spark, folder, "labels"), remainder(3) != 1)
+    found = quality.score(stats, model)
+    return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")

@@ -6,6 +6,8 @@ task spends nanoseconds per byte and never builds a Python string per word.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,3 +160,11 @@ def whole(hashes: np.ndarray) -> int:
         for h in hashes:
             out = (out ^ (out >> np.uint64(29))) * ODD + h
         return int(mix(np.array([out], np.uint64))[0])
+
+
+def once(name: str, make):
+    """``make()``, kept for all later tasks of this Python worker."""
+    kept = sys.modules.setdefault("tablelift_worker_cache", types.ModuleType("tablelift_worker_cache")).__dict__
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
