@@ -8,10 +8,12 @@ one in ``CALIBRATE`` of the sample is kept out to set the temperature. Predictio
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,10 +192,10 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     ``und`` with score 0 where the text is null or has no letter, or nothing was learnt; otherwise one of the learnt languages
     with its probability. Equal probabilities go to the first language in order of code points.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches):
-        model = shared.value
+        model = pickle.loads(shared.value)
         for batch in batches:
             found = [model.predict(text.as_py() or "") for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(

@@ -9,10 +9,12 @@ gets one row a class.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -194,12 +196,13 @@ def learn(stats: DataFrame, labels: DataFrame, train: Column) -> Discriminant |
 
 def score(stats: DataFrame, model: Discriminant | None) -> DataFrame:
     """``doc_id, score, predicted``: 0.5 and 1 for every row if there is no model."""
-    shared = stats.sparkSession.sparkContext.broadcast(model)
+    shared = stats.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def run(batches):
+        model = pickle.loads(shared.value)
         for batch in batches:
             x = batch.column(1).flatten().to_numpy().reshape(-1, len(FEATURES))
-            found = shared.value.score(x) if shared.value else np.full(len(x), 0.5)
+            found = model.score(x) if model else np.full(len(x), 0.5)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found), pa.array((found >= 0.5).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],
