@@ -209,3 +209,17 @@ def score(stats: DataFrame, model: Discriminant | None) -> DataFrame:
             )
 
     return stats.select("doc_id", "x").mapInArrow(run, "doc_id bigint, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, model: Discriminant | None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores 0.5 or more; all rows if there is no model."""
+    shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        model = pickle.loads(shared.value)
+        for batch in batches:
+            good = model.score(statistics(batch.column(at))) >= 0.5 if model else np.ones(batch.num_rows, bool)
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -1,0 +1,70 @@
+import hashlib
+import random
+import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablelift.llm.exact_dedup import directory, exact_duplicates
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def plain(rows):
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[norm(text)].append(doc)
+    out = []
+    for doc, text in rows:
+        ids = groups[norm(text)]
+        known = [d for d in ids if d is not None]
+        keep = min(known) if known else None
+        out.append((doc, keep, len(ids), doc == keep, hashlib.sha256(norm(text).encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df, **options):
+    return sorted((tuple(r) for r in exact_duplicates(df, **options).collect()), key=repr)
+
+
+def test_odd_rows(odd):
+    assert result(odd) == plain([(r.doc_id, r.text) for r in odd.collect()])
+
+
+def test_empty(none):
+    assert result(none) == []
+
+
+def test_a_hot_text(docs_of):
+    rows = [(k, "same  text" if k % 3 else f"text {k}") for k in range(600)]
+    assert result(docs_of(rows), capacity=10) == plain(rows)
+
+
+@pytest.mark.parametrize("weak", ["key", "both"])
+def test_chains_of_one_key_are_told_apart_by_their_bytes(docs_of, weak):
+    draw = random.Random(3)
+    rows = [(k, f"text {draw.randrange(40)}") for k in range(200)]
+    options = {"key": F.length("norm").cast("bigint") * 2**60}
+    if weak == "both":
+        options["digest"] = F.unhex(F.lit("00"))
+    got = [r[:4] for r in result(docs_of(rows), **options)]
+    assert sorted(got, key=repr) == sorted((r[:4] for r in plain(rows)), key=repr)
+
+
+def test_buckets_split_until_they_fit(spark):
+    entries = spark.range(4000).select(F.xxhash64("id").alias("key")).union(spark.createDataFrame([(0,)] * 50, "key bigint"))
+    table = directory(entries, capacity=100, deepest=10).toPandas()
+    assert table.slot.is_unique and len(table) <= 1 << 10
+    slot = {r.slot: (r.depth, r.bucket) for r in table.itertuples()}
+    counts = defaultdict(int)
+    for r in entries.select(F.shiftrightunsigned("key", 54).cast("int").alias("s")).collect():
+        counts[slot[r.s]] += 1
+    assert all(n <= 100 or depth == 10 for (depth, _), n in counts.items())
+    for s, (depth, bucket) in slot.items():
+        assert bucket == s >> (10 - depth) << (10 - depth)
+        if depth:  # its parent would not have fitted
+            top = bucket >> (11 - depth)
+            assert sum(n for (d, b), n in counts.items() if b >> (11 - depth) == top) > 100

@@ -1,0 +1,73 @@
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from tablelift.llm import substring_dedup
+from tablelift.llm.substring_dedup import remove_repeated
+
+
+def plain(rows, size):
+    every = Counter()
+    texts = [re.findall(r"[^\x20\x09-\x0D]+", text or "") for _, text in rows]
+    for words in texts:
+        every.update(tuple(words[k : k + size]) for k in range(len(words) - size + 1))
+    out = []
+    for (doc, _), words in zip(rows, texts, strict=True):
+        gone = set()
+        for k in range(len(words) - size + 1):
+            if every[tuple(words[k : k + size])] > 1:
+                gone.update(range(k, k + size))
+        kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+        out.append((doc, len(words), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def result(df, **options):
+    found = remove_repeated(df, **options).collect()
+    return sorted(
+        ((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.kept_text.encode()).hexdigest()) for r in found), key=repr
+    )
+
+
+def passages(seed, docs=120, size=12):
+    draw = random.Random(seed)
+    shared = [[f"s{p}_{k}" for k in range(draw.choice([size - 1, size, 2 * size]))] for p in range(5)]
+    rows = []
+    for doc in range(docs):
+        words = [f"w{draw.randrange(50)}" for _ in range(draw.randrange(60))]
+        for _ in range(draw.randrange(3)):
+            at = draw.randrange(len(words) + 1)
+            words[at:at] = draw.choice(shared)
+        rows.append((doc, draw.choice([" ", "\n", " \t"]).join(words)))
+    return rows + [(docs + k, rows[k][1]) for k in range(3)] + [(docs + 9, "ha " * 90)]
+
+
+@pytest.mark.parametrize("seed", [1, 4, 12])
+def test_agrees_with_counting_all_windows(docs_of, seed):
+    rows = passages(seed)
+    assert result(docs_of(rows), size=12, seed=seed) == plain(rows, 12)
+
+
+@pytest.mark.parametrize("part", [1, 7, 60])
+def test_salted_buckets_give_the_same(docs_of, part, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "MOST_WINDOWS", 5)
+    rows = passages(9)
+    assert result(docs_of(rows), size=12, seed=4, part=part) == plain(rows, 12)
+
+
+def test_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    assert result(docs) == plain([(r.doc_id, r.text) for r in docs.collect()], 35)
+
+
+def test_odd_rows(odd):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    assert result(odd, size=5) == plain(rows, 5)
+
+
+def test_empty(none, docs_of):
+    assert result(none) == []
+    assert [r[1:3] for r in result(docs_of([None, "", "a b"]))] == [(0, 0), (0, 0), (2, 0)]
