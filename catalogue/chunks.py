@@ -62,6 +62,22 @@ def chunk_assign_ties(spark, folder):
     )
 
 
+FILTER_CHUNK, FILTERED = 2, 1234
+
+
+@query(
+    "chunk_filter",
+    f"""
+    SELECT * FROM (SELECT *, (row_number() OVER (ORDER BY event_id) - 1) // {FILTER_CHUNK} + 1 AS chunk_number FROM events)
+    WHERE chunk_number = {FILTERED}
+    """,
+)
+def chunk_filter(spark, folder):
+    """One of very many chunks, by a filter on the assigned number."""
+    chunked = assign_chunks(table(spark, folder, "events"), ["event_id"], FILTER_CHUNK)
+    return chunked.filter(F.col("chunk_number") == FILTERED)
+
+
 @query(
     "chunk_plan",
     f"""

@@ -95,3 +95,46 @@ def load_upsert(spark, folder):
     )
     changes = moved.unionByName(added)
     return loaded(spark, (customer, {}), (changes, {"mode": "upsert", "keys": ["C_CUSTKEY"]}))
+
+
+# The account balances of each nation fall into groups of equal latest_by, and of none.
+LATEST = """
+    SELECT c_custkey % 100 AS k, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey % 4 END AS version, c_custkey AS v
+    FROM customer
+"""
+
+
+@query(
+    "load_upsert_latest",
+    f"""
+    WITH old AS (SELECT c_custkey AS k, 0 AS version, c_custkey AS v FROM customer WHERE c_custkey % 2 = 0),
+    new AS (
+      SELECT k, version, v FROM (
+        SELECT *, row_number() OVER (PARTITION BY k ORDER BY version DESC NULLS LAST, v DESC) AS n FROM ({LATEST}))
+      WHERE n = 1
+    )
+    SELECT * FROM old WHERE k NOT IN (SELECT k FROM new) UNION ALL SELECT * FROM new
+    """,
+)
+def load_upsert_latest(spark, folder):
+    customer, key = table(spark, folder, "customer"), F.col("c_custkey")
+    old = customer.filter(key % 2 == 0).select(key.alias("k"), F.lit(0).alias("version"), key.alias("v"))
+    version = F.when(key % 3 != 0, F.col("c_nationkey") % 4)
+    new = customer.select((key % 100).alias("k"), version.alias("version"), key.alias("v"))
+    return loaded(spark, (old, {}), (new, {"mode": "upsert", "keys": ["k"], "latest_by": "version"}))
+
+
+@query(
+    "load_named_columns",
+    """
+    SELECT * FROM customer
+    UNION ALL
+    SELECT s_suppkey, s_name, NULL, s_acctbal, NULL FROM supplier
+    """,
+)
+def load_named_columns(spark, folder):
+    """Rows that name some of the target's columns, in another order."""
+    named = table(spark, folder, "supplier").select(
+        F.col("s_acctbal").alias("c_acctbal"), F.col("s_name").alias("c_name"), F.col("s_suppkey").alias("c_custkey")
+    )
+    return loaded(spark, (table(spark, folder, "customer"), {}), (named, {}))

@@ -4,11 +4,12 @@ from pyspark.sql import functions as F
 
 from catalogue.base import query, table
 from tablelift.operators.control import ControlTable
-from tablelift.operators.reports import step_summary
+from tablelift.operators.chunks import assign_chunks
+from tablelift.operators.reports import chunk_eta, chunk_report, copy_counts, step_summary
 from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.run import run_config, run_summary
 from tablelift.session import new_folder
-from tablelift.sinks import find_target, register_target
+from tablelift.sinks import find_target, load, register_target
 from tablelift.sinks.targets import FileTarget
 
 COPIED = ["customer", "orders", "part"]
@@ -206,3 +207,106 @@ def copy_resume(spark, folder):
 def copy_control(spark, folder):
     _, control = broken_and_resumed(spark, folder)
     return control.current().select("extraction_name", "chunk_number", "chunk_size", "rows_loaded", "status")
+
+
+CHUNKED = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey"}
+CHUNKED_SIZE = 300
+CHUNKED_SQL = "\nUNION ALL\n".join(
+    f"""
+    SELECT '{kind}' AS target, '{name}' AS table_name, chunk_number, count(*) AS rows_loaded, 'OK' AS status,
+           CAST(sum({key}) AS BIGINT) AS keys_in_target
+    FROM (SELECT *, (row_number() OVER (ORDER BY {key}) - 1) // {CHUNKED_SIZE} + 1 AS chunk_number FROM {name})
+    GROUP BY chunk_number
+    """
+    for kind in ("parquet", "table")
+    for name, key in CHUNKED.items()
+)
+
+
+@query("run_chunked_tables", CHUNKED_SQL)
+def run_chunked_tables(spark, folder):
+    """Four tables copied side by side under one control path, to files and to catalog tables that are not there yet."""
+    found = None
+    for kind in ("parquet", "table"):
+        place = new_folder(spark, "chunked")
+        copied = {name: f"copy_{name}_{place[-32:]}" if kind == "table" else name for name in CHUNKED}
+        config = {
+            "mode": "chunked",
+            "control_path": f"{place}/control",
+            "extractions": [
+                extraction(folder, name) | {"config": {"path": f"{folder}/{name}.parquet", "batch_size": CHUNKED_SIZE}}
+                for name in CHUNKED
+            ],
+            "loads": [
+                copy_load(name, place, copied[name], chunk_key=key, commit_rows=15 * CHUNKED_SIZE) | {"target": kind}
+                for name, key in CHUNKED.items()
+            ],
+        }
+        run_config(spark, config)
+        states = ControlTable(spark, f"{place}/control").current()
+        for name, key in CHUNKED.items():
+            rows = find_target(kind).read(spark, {"path": place}, copied[name])
+            numbered = assign_chunks(rows, [key], CHUNKED_SIZE).groupBy("chunk_number")
+            keys = numbered.agg(F.sum(key).alias("keys_in_target"))
+            own = states.filter(F.col("table_name") == copied[name]).join(keys, "chunk_number", "full")
+            own = own.select(
+                F.lit(kind).alias("target"), F.lit(name).alias("table_name"), "chunk_number", "rows_loaded", "status",
+                "keys_in_target",
+            )
+            found = own if found is None else found.unionByName(own)
+    return found
+
+
+@query("run_same_stem", "SELECT 'orders' AS of, * FROM orders WHERE o_orderkey < 100 UNION ALL SELECT 'half', * FROM orders WHERE o_orderkey < 100 AND o_orderkey % 2 = 0")
+def run_same_stem(spark, folder):
+    """Queries over two folders of one name, side by side."""
+    place = new_folder(spark, "stem")
+    orders = table(spark, folder, "orders")
+    orders.filter(F.col("o_orderkey") % 2 == 0).write.parquet(f"{place}/orders.parquet")
+    config = {
+        "extractions": [
+            {"name": name, "source": "parquet", "config": {"path": f"{where}/orders.parquet"},
+             "query": "SELECT * FROM orders WHERE o_orderkey < :top", "params": {"top": 100}}
+            for name, where in [("orders", folder), ("half", place)]
+        ],
+        "loads": [copy_load(name, f"{place}/out") for name in ("orders", "half")],
+    }
+    run_config(spark, config)
+    return written(spark, f"{place}/out", "orders").withColumn("of", F.lit("orders")).unionByName(
+        written(spark, f"{place}/out", "half").withColumn("of", F.lit("half"))
+    )
+
+
+@query("copy_resume_appended", "SELECT * FROM orders")
+def copy_resume_appended(spark, folder):
+    """The odd keys copied onto the even ones, broken off and resumed."""
+    place = new_folder(spark, "resume")
+    control = ControlTable(spark, f"{place}/control")
+    orders = table(spark, folder, "orders")
+    odd = orders.filter(F.col("o_orderkey") % 2 == 1)
+    load(orders.filter(F.col("o_orderkey") % 2 == 0), "parquet", "orders", {"path": place})
+    register_target("breaks_once", BreaksOnce())
+    copy = dict(name="odd", table="orders", key=["o_orderkey"], size=700, control=control, config={"path": place}, waves=5)
+    try:
+        copy_in_chunks(odd, target="breaks_once", **copy)
+    except RuntimeError:
+        copy_in_chunks(odd, target="parquet", **copy)
+    return written(spark, place, "orders")
+
+
+@query(
+    "copy_report",
+    f"""
+    SELECT chunk_number, rows, {COPY_CHUNK}::BIGINT AS chunk_size, (chunk_number - 1) * {COPY_CHUNK} AS chunk_offset,
+           (sum(rows) OVER (ORDER BY chunk_number))::BIGINT AS cumulative, (sum(rows) OVER ())::BIGINT AS total_rows,
+           round(sum(rows) OVER (ORDER BY chunk_number) * 100 / sum(rows) OVER (), 1) AS percent
+    FROM (SELECT row_index // {COPY_CHUNK} + 1 AS chunk_number, count(*) AS rows
+          FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders)
+          GROUP BY row_index // {COPY_CHUNK})
+    """,
+)
+def copy_report(spark, folder):
+    """The report of a copy from its control table; the times of the run itself differ from run to run."""
+    _, control = broken_and_resumed(spark, folder)
+    report = chunk_report(copy_counts(control, "orders"), COPY_CHUNK)
+    return chunk_eta(report).drop("seconds", "elapsed", "eta_seconds")

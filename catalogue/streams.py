@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 from catalogue.base import query, table
 from tablelift.operators.chunks import whole_part
 from tablelift.operators.control import ControlTable
+from tablelift.plans.run import run_config
 from tablelift.session import new_folder
 from tablelift.sinks import find_target, register_target
 from tablelift.sinks.targets import FileTarget
-from tablelift.streaming import copied_rows, stream_copy, stream_load
+from tablelift.streaming import copied_rows, stream_chunks, stream_copy, stream_load
 
 GROUP = 2000
 
@@ -93,11 +94,48 @@ def stream_control(spark, folder):
     def with_group(rows):
         return rows.withColumn("chunk_number", whole_part(F.col("event_id"), GROUP) + 1)
 
-    # Every group of keys lies in one file, so a batch holds whole chunks.
-    with_group(events).repartition("chunk_number").drop("chunk_number").write.parquet(f"{place}/in")
+    # Every group of keys lies in several files, so its rows come in several batches.
+    events.repartition(4, F.pmod(F.hash("event_id"), F.lit(4))).write.parquet(f"{place}/in")
     control = ControlTable(spark, f"{place}/control")
     stream_copy(
         spark, f"{place}/in", events.schema, f"{place}/out", f"{place}/checkpoint",
         files_per_batch=1, control=control, name="events", chunk=with_group,
     )
-    return control.current().select("chunk_number", "rows_loaded", "status")
+    return stream_chunks(control, "events")
+
+
+@query("stream_two_sources", "SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_id % 2 = 0")
+def stream_two_sources(spark, folder):
+    """Two streams, each with its own checkpoint, into one target."""
+    place, events = event_files(spark, folder), table(spark, folder, "events")
+    events.filter(F.col("event_id") % 2 == 0).write.parquet(f"{place}/second")
+    stream_copy(spark, f"{place}/in", events.schema, f"{place}/out", f"{place}/checkpoint")
+    stream_copy(spark, f"{place}/second", events.schema, f"{place}/out", f"{place}/checkpoint2")
+    return copied_rows(spark, f"{place}/out")
+
+
+@query(
+    "run_stream",
+    """
+    SELECT 'extract' AS step, 'events' AS name, count(*) AS rows, 'OK' AS status FROM events
+    UNION ALL SELECT 'load', 'events_load', count(*), 'OK' FROM events
+    UNION ALL SELECT 'extract', 'events', 0, 'OK'
+    UNION ALL SELECT 'load', 'events_load', 0, 'OK'
+    """,
+)
+def run_stream(spark, folder):
+    """A configured stream, run again when nothing new has come."""
+    place = event_files(spark, folder)
+    config = {
+        "mode": "stream",
+        "control_path": f"{place}/control",
+        "extractions": [{"name": "events", "source": "parquet", "config": {"path": f"{place}/in"}}],
+        "loads": [
+            {
+                "name": "events_load", "source": "events", "target": "parquet", "table": "events",
+                "config": {"path": f"{place}/out", "checkpoint": f"{place}/checkpoint", "key": "event_id"},
+            }
+        ],
+    }
+    steps = [run_config(spark, config).select("step", "name", "rows", "status") for _ in range(2)]
+    return steps[0].unionByName(steps[1])

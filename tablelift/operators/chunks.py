@@ -10,13 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.plans.ranges import RANGE, KeyRanges, OrderKey, array_value, find_ranges
+from tablelift.plans.ranges import RANGE, KeyRanges, OrderKey, array_value, find_ranges, not_above
 from tablelift.session import stage
 
-# Chunk limits are kept on the driver up to this many; beyond it rows get their chunk from their index.
-MAX_CHUNK_LIMITS = 100_000
-# A page that ends below this many rows is a plain top-k.
-SMALL_PAGE_END = 10_000
 # Copies of one row are written out in runs of at most this many per task.
 COPIES_PER_RUN = 1_000_000
 
@@ -69,13 +65,14 @@ def _start_of_range(spark: SparkSession, ranges: KeyRanges) -> Column:
     return F.element_at(array_value(spark, ranges.first_index, T.LongType()), F.col(RANGE) + 1)
 
 
-def _index_unique(df: DataFrame, ranges: KeyRanges, name: str) -> DataFrame:
+def _index_unique(df: DataFrame, ranges: KeyRanges, name: str, keep_range: bool = False) -> DataFrame:
     window = Window.partitionBy(RANGE).orderBy(*ranges.key.columns)
     repeated = F.raise_error(F.lit(f"the order columns {ranges.key.names} are not unique"))
     index = F.when(ranges.key.same_as_previous(window), repeated).otherwise(
         _start_of_range(df.sparkSession, ranges) + F.row_number().over(window) - 1
     )
-    return ranges.assign(df).withColumn(name, index.cast("bigint")).drop(RANGE)
+    indexed = ranges.assign(df).withColumn(name, index.cast("bigint"))
+    return indexed if keep_range else indexed.drop(RANGE)
 
 
 def _index_copies(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -84,30 +81,22 @@ def _index_copies(df: DataFrame, order: list[str], name: str) -> DataFrame:
     window = Window.partitionBy(RANGE).orderBy(*ranges.key.columns)
     before = F.sum("_copies").over(window.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies")
     first = ranges.assign(distinct).withColumn("_first", _start_of_range(df.sparkSession, ranges) + before)
-    most = distinct.agg(F.max("_copies")).first()[0] or 0
-    if most <= COPIES_PER_RUN:
-        runs = first.withColumn("_until", F.col("_first") + F.col("_copies") - 1)
-    else:
-        runs = _split_runs(stage(first.drop(RANGE)))
-    indexed = runs.withColumn(name, F.explode(F.sequence("_first", "_until")))
+    indexed = _split_runs(first.drop(RANGE)).withColumn(name, F.explode(F.sequence("_first", "_until")))
     return indexed.select(*df.columns, name)
 
 
 def _split_runs(first: DataFrame) -> DataFrame:
-    """Cut the rows with very many copies into runs and spread the runs over the tasks."""
+    """Cut the copies of each row into runs and spread the runs over the tasks."""
     end = F.col("_first") + F.col("_copies") - 1
-    short = first.filter(F.col("_copies") <= COPIES_PER_RUN).withColumn("_until", end)
-    starts = F.sequence(F.col("_first"), end, F.lit(COPIES_PER_RUN))
+    starts = F.sequence(F.col("_first"), end, F.lit(COPIES_PER_RUN).cast("bigint"))
     width = int(first.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    long = (
-        first.filter(F.col("_copies") > COPIES_PER_RUN)
-        .withColumn("_end", end)
+    return (
+        first.withColumn("_end", end)
         .withColumn("_first", F.explode(starts))
         .repartition(width, "_first")
         .withColumn("_until", F.least(F.col("_first") + COPIES_PER_RUN - 1, F.col("_end")))
         .drop("_end")
     )
-    return short.unionByName(long)
 
 
 @dataclass(frozen=True)
@@ -149,11 +138,30 @@ def chunk_limits(df: DataFrame, ranges: KeyRanges, size: int) -> ChunkLimits:
     return ChunkLimits(key, size, ranges.total, starts)
 
 
-def find_chunk_limits(df: DataFrame, order_by: Sequence[str], size: int) -> ChunkLimits | None:
-    """The chunk limits of ``df``, from passes over its key columns only; None if there would be too many."""
-    ranges = find_ranges(df, order_by)
-    too_many = chunk_count(ranges.total, size) - 1 > MAX_CHUNK_LIMITS
-    return None if too_many else chunk_limits(df, ranges, size)
+def find_chunk_limits(df: DataFrame, order_by: Sequence[str], size: int) -> ChunkLimits:
+    """The chunk limits of ``df``, from passes over its key columns only.
+
+    The driver holds one key for each chunk: choose a size that leaves no more than some hundred thousand. To number
+    rows by chunks of any size, use :func:`assign_chunks`, which holds none.
+    """
+    return chunk_limits(df, find_ranges(df, order_by), size)
+
+
+def _number_by_range(df: DataFrame, ranges: KeyRanges, size: int, name: str) -> DataFrame:
+    """Add the chunk number: rows search the chunk openers of their own key range.
+
+    The openers of a range come as one array, at most a range's rows divided by ``size``, by a join on the range.
+    """
+    key = ranges.key
+    indexed = _index_unique(df.select(*key.columns), ranges, "_index", keep_range=True)
+    openers = indexed.filter((F.col("_index") > 0) & (F.col("_index") % size == 0))
+    by_range = openers.groupBy(RANGE).agg(F.sort_array(F.collect_list(key.value())).alias("_openers"))
+    starts = [max(0, first - 1) // size for first in ranges.first_index]
+    before = F.element_at(array_value(df.sparkSession, starts, T.LongType()), F.col(RANGE) + 1)
+    found = ranges.assign(df).withColumns({"_before": before, "_key": key.value()}).join(by_range, RANGE, "left")
+    reached = not_above("_openers", "_key", max(ranges.rows, default=0) // size + 1)
+    number = (F.col("_before") + reached + 1).cast("bigint")
+    return found.withColumn(name, number).select(*df.columns, name)
 
 
 def assign_chunks(
@@ -161,14 +169,12 @@ def assign_chunks(
 ) -> DataFrame:
     """Add the 1-based chunk number: row index divided by ``size``.
 
-    With a unique key only the key columns are sorted, and the rows find their chunk by a search in
-    the chunk limits. Otherwise the number follows from the row index.
+    With a unique key only the key columns are sorted, and the rows search the first keys of the chunks in their
+    key range. Otherwise the number follows from the row index.
     """
-    if ties == "reject":
-        limits = find_chunk_limits(df, order_by, size)
-        if limits is not None:
-            return limits.number(df, name)
     chunk_count(0, size)
+    if ties == "reject":
+        return _number_by_range(df, find_ranges(df, order_by), size, name)
     indexed = with_row_index(df, order_by, ties, "_index")
     return indexed.withColumn(name, whole_part(F.col("_index"), size) + 1).drop("_index")
 
@@ -176,13 +182,11 @@ def assign_chunks(
 def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of a unique key.
 
-    An early page is a top-k. A later one reads only the key ranges that hold it, so neither the
-    driver nor one task sees the rows before it.
+    A page reads only the key ranges that hold it, so neither the driver nor one task sees the rows before it. Equal
+    keys in these ranges are an error, whatever the offset.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    if offset + limit <= SMALL_PAGE_END:
-        return df.orderBy(*OrderKey(df.schema, order_by).columns).offset(offset).limit(limit)
     return _indexed_page(df, order_by, offset, offset + limit).drop("row_index")
 
 

@@ -7,10 +7,15 @@ half-way leaves the earlier states readable.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablelift.session import make_folder
+
 OK, ERROR, STARTED = "OK", "ERROR", "STARTED"
 CHUNK_KEY = ["run_id", "extraction_name", "chunk_number"]
 # The columns of the control table, with the run and the chunk size besides.
@@ -61,6 +66,14 @@ def current_status(history: DataFrame, keys: list[str] | None = None) -> DataFra
     )
 
 
+def latest_run(control: DataFrame, extraction: str) -> DataFrame:
+    """The chunks of an extraction's run that was started last."""
+    own = control.filter(F.col("extraction_name") == extraction)
+    started = own.groupBy("run_id").agg(F.min("created_at").alias("_started"))
+    latest = started.agg(F.max_by("run_id", F.struct("_started", "run_id")).alias("run_id"))
+    return own.join(latest, "run_id", "left_semi")
+
+
 def last_chunk(control: DataFrame, extraction: str | None = None) -> DataFrame:
     """The highest chunk in state OK (0 if there is none): of one extraction, or one row for each."""
     finished = F.coalesce(F.max(F.when(F.col("status") == OK, F.col("chunk_number"))), F.lit(0).cast("bigint"))
@@ -76,25 +89,35 @@ def remaining_chunks(plan: DataFrame, control: DataFrame) -> DataFrame:
 
 
 class ControlTable:
-    """Control rows kept in a Parquet folder."""
+    """Control rows kept as Parquet files below a folder.
+
+    Every save writes a folder of its own below that of its run, so that jobs which save at the same time do not
+    meet, and the states of one run are found without listing those of others.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
-        self.path = path
-        self._create_if_absent()
+        self.path = path.rstrip("/")
+        make_folder(spark, self.path)
+
+    def _run_folder(self, run_id: str) -> str:
+        return f"{self.path}/run={hashlib.md5(run_id.encode(), usedforsecurity=False).hexdigest()}"
 
-    def _create_if_absent(self) -> None:
-        self.spark.createDataFrame([], CONTROL_SCHEMA).write.mode("ignore").parquet(self.path)
+    def _read(self, folder: str) -> DataFrame:
+        return self.spark.read.schema(CONTROL_SCHEMA).option("recursiveFileLookup", "true").parquet(folder)
 
     def history(self) -> DataFrame:
-        return self.spark.read.schema(CONTROL_SCHEMA).parquet(self.path)
+        return self._read(self.path)
 
     def current(self) -> DataFrame:
         return current_status(self.history())
 
     def of_run(self, run_id: str, extraction: str) -> DataFrame:
-        """The chunks of one run; the filter is on the fold's keys, so it reaches the scan."""
-        return self.current().filter((F.col("run_id") == run_id) & (F.col("extraction_name") == extraction))
+        """The chunks of one run; only its folder is read, and the filter reaches the scan."""
+        folder = self._run_folder(run_id)
+        make_folder(self.spark, folder)
+        own = current_status(self._read(folder))
+        return own.filter((F.col("run_id") == run_id) & (F.col("extraction_name") == extraction))
 
     def status_of(self, run_id: str, extraction: str, chunk: int) -> str | None:
         """The state of one chunk, or None if it was never seen."""
@@ -102,22 +125,21 @@ class ControlTable:
         return found["status"] if found else None
 
     def last_chunk(self, extraction: str) -> int:
-        return last_chunk(self.current(), extraction).first()[0]
+        """The highest chunk in state OK of the extraction's latest run; 0 if there is none."""
+        return last_chunk(latest_run(self.current(), extraction), extraction).first()[0]
 
-    def save(self, chunks: DataFrame) -> None:
-        """Append states: ``chunks`` has every control column but the two times."""
+    def save(self, run_id: str, chunks: DataFrame) -> None:
+        """Append states of one run: ``chunks`` has the control columns but ``run_id`` and the two times."""
         now = F.current_timestamp()
-        stamped = chunks.withColumn("created_at", now).withColumn("updated_at", now)
+        stamped = chunks.withColumns({"run_id": F.lit(run_id), "created_at": now, "updated_at": now})
         fitted = stamped.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
-        fitted.write.mode("append").parquet(self.path)
+        fitted.write.parquet(f"{self._run_folder(run_id)}/{uuid.uuid4().hex}")
 
     def save_chunk(
         self, run_id: str, extraction: str, table: str, chunk: int, size: int, rows: int, status: str = OK
     ) -> None:
-        self.save(
-            self.spark.createDataFrame(
-                [(run_id, extraction, table, chunk, size, rows, status)],
-                "run_id string, extraction_name string, table_name string, chunk_number long, "
-                "chunk_size long, rows_loaded long, status string",
-            )
+        state = self.spark.createDataFrame(
+            [(extraction, table, chunk, size, rows, status)],
+            "extraction_name string, table_name string, chunk_number long, chunk_size long, rows_loaded long, status string",
         )
+        self.save(run_id, state)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablelift.operators.chunks import whole_part
+from tablelift.operators.control import OK, STARTED, ControlTable, latest_run
 from tablelift.session import stage
 
 CHUNKS_PER_BLOCK = 10_000
@@ -50,6 +51,26 @@ def chunk_counts(df: DataFrame, time: str | None = None, by: Sequence[str] = ())
     return df.groupBy(*by, "chunk_number").agg(*measures)
 
 
+def copy_counts(control: ControlTable, name: str) -> DataFrame:
+    """Rows and seconds of each finished chunk of the latest copy of that name, for :func:`chunk_report`.
+
+    Chunks of one wave are written side by side; each is given its share, by rows, of the wave's seconds from STARTED to
+    OK of the attempt that worked.
+    """
+    own = latest_run(control.history(), name)
+    when = F.struct("updated_at", "status")
+    ends = own.groupBy("chunk_number").agg(
+        F.max_by("status", when).alias("status"),
+        F.max_by("rows_loaded", when).alias("rows"),
+        F.max("updated_at").alias("ended"),
+        F.max(F.when(F.col("status") == STARTED, F.col("updated_at"))).alias("began"),
+    )
+    done = ends.filter(F.col("status") == OK)
+    waves = done.groupBy("began", "ended").agg(F.sum("rows").alias("_rows"))
+    share = seconds_between(F.col("began"), F.col("ended")) * F.try_divide(F.col("rows"), F.col("_rows"))
+    return done.join(waves, ["began", "ended"]).select("chunk_number", "rows", share.alias("seconds"))
+
+
 def chunk_report(counts: DataFrame, size: int, by: Sequence[str] = ()) -> DataFrame:
     """Per chunk: rows, chunk size, offset, running total and percent of all rows; ``by`` names the table's columns.
 

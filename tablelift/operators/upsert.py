@@ -10,9 +10,15 @@ from pyspark.sql import types as T
 
 
 def one_per_key(rows: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
-    """One row per key: the one with the greatest ``latest_by``; without it a repeated key is an error."""
+    """One row per key: the one with the greatest ``latest_by``; without it a repeated key is an error.
+
+    A null ``latest_by`` comes before all values. Equal ones are told apart by the remaining columns, in their
+    order, so the choice is the same in every run.
+    """
     whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
-    chosen = F.max_by(whole, latest_by) if latest_by else F.any_value(whole)
+    sortable = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType) and not isinstance(f.dataType, T.VariantType)]
+    order = F.struct(*[F.col(f"`{c}`") for c in [latest_by, *sortable] if c])
+    chosen = F.max_by(whole, order) if latest_by else F.any_value(whole)
     picked = rows.groupBy(*keys).agg(chosen.alias("_row"), F.count(F.lit(1)).alias("_times"))
     if latest_by is None:
         repeated = F.raise_error(F.lit(f"a key of {list(keys)} has several new rows"))

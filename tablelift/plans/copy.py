@@ -11,14 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits, whole_part
-from tablelift.operators.control import ERROR, OK, ControlTable
+from tablelift.operators.control import ERROR, OK, STARTED, ControlTable
 from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
 from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
 
-# A copy is cut into at most this many waves, unless told otherwise, of at least so many rows.
-MOST_WAVES = 8
-ROWS_PER_WAVE = 1_000_000
+# Rows that are committed together, unless told otherwise.
+COMMIT_ROWS = 10_000_000
 STATES_PER_FILE = 1_000_000
 
 
@@ -69,16 +68,19 @@ def copy_in_chunks(
     target: str = "parquet",
     config: Mapping[str, Any] | None = None,
     waves: int | None = None,
+    commit_rows: int = COMMIT_ROWS,
 ) -> CopyResult:
     """Copy ``df`` to ``table`` as chunks of ``size`` rows in the order of its unique ``key``.
 
-    Chunks are key ranges. A wave of neighbouring chunks is one Spark job: its key limits go down to
-    the scan, its rows go straight to the target without a shuffle, and then its chunks are marked OK.
-    However many chunks there are, only the limits of the waves are held.
+    Chunks are key ranges. A wave of neighbouring chunks is one Spark job: its chunks are marked STARTED, its key
+    limits go down to the scan, its rows go straight to the target without a shuffle, and then its chunks are marked
+    OK. A wave is what is committed, and what is in question after a break: as many whole chunks as hold
+    ``commit_rows`` rows (one at least), or, with ``waves``, an equal share of the chunks. The driver holds the limits
+    of the waves.
 
     An open run of the same name is taken up again. Waves whose chunks are OK and whose rows are all
     in the target are left out; in the others, rows that arrived before the copy broke are found by
-    their key and not copied again. The target is emptied only when a run starts afresh, and a fresh
+    their key and not copied again. Rows of the target that are not in ``df`` do not count. The target is emptied only when a run starts afresh, and a fresh
     run refuses a target that already has some of its keys. A finished run is closed; the next call
     starts a new one. The chunk size of an open run cannot change.
     """
@@ -88,23 +90,24 @@ def copy_in_chunks(
     shaped = shape_for_load(df, config)
     if there:
         shaped = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
-    plan = _plan_waves(shaped, key, size, waves)
+    plan = _plan_waves(shaped, key, size, waves, commit_rows)
     run_id, done = _open_run(control, name, plan)
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
     arrived: dict[int, int] = {}
     if there and resumed:
-        arrived = _rows_per_wave(place.read(spark, config, table), plan)
+        arrived = _rows_per_wave(shaped, place.read(spark, config, table), plan)
     elif there:
         _make_room(shaped, key, place, config, table)
+    if not there:
+        place.create(shaped.limit(0), config, table)
     skipped = 0
     for wave in range(1, plan.limits.chunks + 1):
         rows, expected = shaped.filter(plan.limits.within(wave, wave)), plan.limits.rows_in(wave)
         if wave in done and arrived.get(wave, 0) == expected:
             skipped += len(range(*plan.chunks_of(wave))) + 1
             continue
-        states = plan.states(spark, wave).select(
-            F.lit(run_id).alias("run_id"), F.lit(name).alias("extraction_name"), F.lit(table).alias("table_name"), "*"
-        )
+        states = plan.states(spark, wave).withColumns({"extraction_name": F.lit(name), "table_name": F.lit(table)})
+        control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(STARTED)}))
         try:
             if arrived.get(wave):
                 there_now = place.read(spark, config, table).filter(plan.limits.within(wave, wave)).select(*key)
@@ -114,16 +117,16 @@ def copy_in_chunks(
             if appended != expected:
                 raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
         except Exception:
-            control.save(states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(ERROR)}))
+            control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(ERROR)}))
             raise
-        control.save(states.withColumn("status", F.lit(OK)))
+        control.save(run_id, states.withColumn("status", F.lit(OK)))
     return CopyResult(run_id, resumed, plan.chunks, skipped, plan.limits.total)
 
 
-def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int | None) -> _Waves:
+def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int | None, commit_rows: int) -> _Waves:
     ranges = find_ranges(df, key)
-    waves = waves or max(1, min(MOST_WAVES, -(-ranges.total // ROWS_PER_WAVE)))
-    per_wave = max(1, -(-chunk_count(ranges.total, size) // waves))
+    chunks = chunk_count(ranges.total, size)
+    per_wave = max(1, -(-chunks // waves) if waves else commit_rows // size)
     return _Waves(chunk_limits(df, ranges, size * per_wave), size, per_wave)
 
 
@@ -137,8 +140,11 @@ def _make_room(shaped: DataFrame, key: Sequence[str], place, config: Mapping[str
         raise ValueError(f"{table} already has rows with these keys; set truncate_before_load to copy afresh")
 
 
-def _rows_per_wave(target: DataFrame, plan: _Waves) -> dict[int, int]:
-    counts = plan.limits.number(target, "wave").groupBy("wave").agg(F.count(F.lit(1)).alias("rows"))
+def _rows_per_wave(source: DataFrame, target: DataFrame, plan: _Waves) -> dict[int, int]:
+    """How many of the source's rows the target has, by their keys, for each wave."""
+    key = plan.limits.key.names
+    arrived = source.select(*key).join(target.select(*key), key, "left_semi")
+    counts = plan.limits.number(arrived, "wave").groupBy("wave").agg(F.count(F.lit(1)).alias("rows"))
     return {row["wave"]: row["rows"] for row in counts.collect()}
 
 

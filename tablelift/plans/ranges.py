@@ -33,6 +33,17 @@ def array_value(spark: SparkSession, values: list, element: T.DataType) -> Colum
     return spark.createDataFrame(table).select("held").scalar()
 
 
+def not_above(bounds: str, key: str, most: int) -> Column:
+    """How many of an ascending array column, of at most ``most`` values, are not above the key column."""
+    steps = F.array(*[F.lit(2**level) for level in reversed(range(max(1, most.bit_length())))])
+
+    def step_up(at: Column, step: Column) -> Column:
+        reached = F.try_element_at(F.col(bounds), at + step) <= F.col(key)
+        return at + F.when(reached, step).otherwise(0)
+
+    return F.aggregate(steps, F.lit(0), step_up)
+
+
 class OrderKey:
     """The order columns of a table in a form that can be compared, collected and turned into literals.
 
@@ -120,14 +131,15 @@ class OrderKey:
         return everything
 
     def position(self, df: DataFrame, keys: Sequence[tuple], name: str) -> DataFrame:
-        """Add the number of ``keys`` that are not above the row's key, by a binary search in generated code."""
-        bounds = self.array(df.sparkSession, keys)
-        out = df.withColumn(name, F.lit(0))
-        for level in reversed(range(len(keys).bit_length())):
-            step = 2**level
-            reached = F.try_element_at(bounds, F.col(name) + step) <= self.value()
-            out = out.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
-        return out
+        """Add the number of ``keys`` that are not above the row's key, by a binary search.
+
+        The search is one expression of fixed size, however many keys there are, so that filters on the result
+        can be pushed through it. The keys are a column of their own first: a subquery cannot stand in a lambda.
+        """
+        if not keys:
+            return df.withColumn(name, F.lit(0))
+        searched = df.withColumns({"_bounds": self.array(df.sparkSession, keys), "_key": self.value()})
+        return searched.withColumn(name, not_above("_bounds", "_key", len(keys))).drop("_bounds", "_key")
 
 
 @dataclass(frozen=True)

@@ -11,20 +11,22 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.control import ControlTable
+from tablelift.operators.control import OK, ControlTable
 from tablelift.plans.copy import copy_in_chunks
-from tablelift.plans.settings import as_bool, as_size, check_config, expand_settings
+from tablelift.plans.settings import REPEATED, as_bool, as_size, check_config, expand_settings
 from tablelift.session import shared_folder, stage
 from tablelift.sinks import load, supported_targets
 from tablelift.sources import DATABASES, read_source, row_count, supported_sources
+from tablelift.streaming import stream_load
 
 Transform = Callable[[DataFrame], DataFrame]
 STEP_SCHEMA = (
     "step string, name string, source string, table_name string, rows long, status string, error string, "
     "started_at timestamp, ended_at timestamp, seconds double"
 )
-# Fixed value: extractions that run side by side.
+# Extractions that run side by side, unless the configuration says otherwise.
 PARALLEL = 4
+MODES = ("batch", "chunked", "stream")
 DONE, FAILED, SKIPPED = "OK", "FAILED", "SKIPPED"
 
 
@@ -67,14 +69,22 @@ def run_config(
 
     ``config`` holds ``extractions`` (name, source, config, query, params), ``loads`` (name, source,
     target, config, table, mode), ``transformations`` (enabled) and ``mode``: ``batch`` loads each
-    table in one job, ``chunked`` copies it by :func:`copy_in_chunks` and can be resumed.
-    ``parallel`` (default true) submits the jobs of several extractions at the same time, so that a
-    small table does not wait for the last task of a large one. ``${NAME}`` is filled from ``values``, by default the environment.
+    table in one job, ``chunked`` copies it by :func:`copy_in_chunks` and can be resumed, ``stream`` loads the files of
+    a ``parquet`` source that are new by :func:`stream_load`. ``parallel`` (default true) submits the jobs of several
+    extractions at the same time, so that a small table does not wait for the last task of a large one; a number says
+    how many. ``${NAME}`` is filled from ``values``, by default the environment.
+
+    Two extractions of one name are an error before anything runs; all other problems that ``problems`` would list
+    fail or skip their own step.
     """
     config = expand_settings(dict(config), os.environ if values is None else values)
     mode = config.get("mode", "batch")
-    if mode not in ("batch", "chunked"):
-        raise ValueError(f"mode must be 'batch' or 'chunked', not {mode!r}")
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {', '.join(MODES)}, not {mode!r}")
+    found = check_config(config, supported_sources(), supported_targets())
+    repeated = [name for name, problem in found if problem == REPEATED]
+    if repeated:
+        raise ValueError(f"extractions with the same name: {', '.join(repeated)}")
     loads = config.get("loads") or []
     extractions = config.get("extractions") or []
     names = {e.get("name", "unnamed") for e in extractions}
@@ -91,12 +101,19 @@ def run_config(
         _run_extraction(spark, config, mode, extraction, loads, hooks, own)
         return own.rows
 
-    with ThreadPoolExecutor(PARALLEL if as_bool(config.get("parallel", True)) else 1) as pool:
+    with ThreadPoolExecutor(_side_by_side(config.get("parallel", True))) as pool:
         for rows in pool.map(work, extractions):
             steps.rows += rows
     return spark.createDataFrame(steps.rows, STEP_SCHEMA)
 
 
+def _side_by_side(parallel: Any) -> int:
+    """A flag, or a number of extractions."""
+    if not isinstance(parallel, bool) and str(parallel).strip().isdigit() and int(parallel) > 1:
+        return int(parallel)
+    return PARALLEL if as_bool(parallel) else 1
+
+
 def _run_extraction(spark, config, mode, extraction, loads, hooks, steps) -> None:
     """Build the extraction's frame and run its loads.
 
@@ -106,11 +123,14 @@ def _run_extraction(spark, config, mode, extraction, loads, hooks, steps) -> Non
     wanted = [entry for entry in loads if entry.get("source") == name]
     told_by_load = len(wanted) == 1 and name not in hooks
     frames: list[DataFrame] = []
+    if mode == "stream":
+        _run_streams(spark, config, extraction, wanted, steps)
+        return
 
     def extract() -> int:
         rows = read_source(spark, kind, extraction.get("config"), extraction.get("query"), extraction.get("params"))
-        if len(wanted) > 1 and str(kind).lower() in DATABASES:
-            # Several loads must see the same rows, and the database is read once.
+        if len(wanted) > 1 and (extraction.get("query") or str(kind).lower() in DATABASES):
+            # Several loads must see the same rows, and a query or a database is worked through once.
             rows = stage(rows, "extract")
         found = 0 if told_by_load else rows.count()
         frames.append(hooks[name](rows) if name in hooks else rows)
@@ -127,6 +147,55 @@ def _run_extraction(spark, config, mode, extraction, loads, hooks, steps) -> Non
             extracted["rows"] = outcome["rows"] if outcome["status"] == DONE else _counted(spark, extraction)
 
 
+def _run_streams(spark, config, extraction, wanted, steps) -> None:
+    """Load the new files of an extraction into each of its targets; the extraction's rows are those of its first load.
+
+    A load needs a ``checkpoint`` and a unique ``key`` in its config.
+    """
+    name, kind = extraction.get("name", "unnamed"), extraction.get("source")
+    settings = extraction.get("config") or {}
+    schemas: list[Any] = []
+
+    def look() -> int:
+        if str(kind).lower() != "parquet" or extraction.get("query"):
+            raise ValueError("a stream reads new files of a parquet source, without a query")
+        schemas.append(settings.get("schema") or spark.read.parquet(settings["path"]).schema)
+        return 0
+
+    extracted = steps.run("extract", name, kind, None, look)
+
+    def loaded(entry) -> int:
+        own = entry.get("config") or {}
+        for needed in ("checkpoint", "key"):
+            if not own.get(needed):
+                raise ValueError(f"a streamed load needs {needed!r} in its config")
+        label, key = entry.get("name", "unnamed"), own["key"]
+        control = ControlTable(spark, _control_path(spark, config))
+        before = _stream_rows(control, label)
+        stream_load(
+            spark, settings["path"], schemas[0], entry.get("target"), entry["table"], own["checkpoint"], control,
+            key if isinstance(key, list) else [key], own, name=label,
+        )
+        return _stream_rows(control, label) - before
+
+    for number, entry in enumerate(wanted):
+        if not schemas:
+            steps.skip("load", entry.get("name", "unnamed"), name, entry.get("table"), "the extraction failed")
+            continue
+        outcome = steps.run("load", entry.get("name", "unnamed"), name, entry.get("table"), lambda e=entry: loaded(e))
+        if number == 0:
+            extracted["rows"] = outcome["rows"]
+
+
+def _stream_rows(control: ControlTable, name: str) -> int:
+    own = control.current().filter((F.col("extraction_name") == name) & (F.col("status") == OK))
+    return own.agg(F.coalesce(F.sum("rows_loaded"), F.lit(0))).first()[0]
+
+
+def _control_path(spark, config) -> str:
+    return config.get("control_path") or f"{shared_folder(spark)}/tablelift/control"
+
+
 def _counted(spark, extraction) -> int:
     """Rows of a source whose load failed; 0 if the source cannot be read either."""
     query, params = extraction.get("query"), extraction.get("params")
@@ -148,10 +217,10 @@ def _load_chunked(config, extraction, entry, rows: DataFrame) -> int:
     if not key:
         raise ValueError("a chunked load needs a unique 'chunk_key' in its config")
     size = as_size((extraction.get("config") or {}).get("batch_size", 100_000), "batch_size")
-    folder = config.get("control_path") or f"{shared_folder(spark)}/tablelift/control"
+    more = {n: as_size(settings[n], n) for n in ("waves", "commit_rows") if settings.get(n)}
     done = copy_in_chunks(
         rows, entry.get("name", "unnamed"), entry["table"], key if isinstance(key, list) else [key], size,
-        ControlTable(spark, folder), entry.get("target"), settings, as_size(settings["waves"], "waves") if settings.get("waves") else None,
+        ControlTable(spark, _control_path(spark, config)), entry.get("target"), settings, **more,
     )
     return done.rows
 

@@ -9,6 +9,7 @@ from typing import Any
 # Fixed value: how a variable is written.
 VARIABLE = re.compile(r"\$\{(\w+)\}")
 TRUE_WORDS = {"true", "yes", "on", "1"}
+REPEATED = "the name is used by several extractions"
 FALSE_WORDS = {"false", "no", "off", "0", ""}
 
 
@@ -50,7 +51,7 @@ def check_config(
     extractions, loads = config.get("extractions") or [], config.get("loads") or []
     names = [e.get("name", "unnamed") for e in extractions]
     fed = {load.get("source") for load in loads}
-    found = [(n, "the name is used by several extractions") for n in sorted({n for n in names if names.count(n) > 1})]
+    found = [(n, REPEATED) for n in sorted({n for n in names if names.count(n) > 1})]
     for extraction in extractions:
         name = extraction.get("name", "unnamed")
         if str(extraction.get("source")).lower() not in sources:

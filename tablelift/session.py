@@ -63,6 +63,12 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def make_folder(spark: SparkSession, folder: str) -> None:
+    """Make ``folder`` unless it is there; safe from several threads and jobs."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+
+
 def has_files(spark: SparkSession, folder: str) -> bool:
     """Whether ``folder`` is there and holds anything but hidden and marker files."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

@@ -65,15 +65,25 @@ def shape_for_load(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     return cast_all_text(df) if policy == "text" else cast_for_target(df)
 
 
-def fit_to(df: DataFrame, existing: DataFrame, cast: bool = True) -> DataFrame:
-    """Columns in the target's order and types; a column on one side only is an error."""
-    missing, extra = set(existing.columns) - set(df.columns), set(df.columns) - set(existing.columns)
-    if missing or extra:
+def fit_to(df: DataFrame, existing: DataFrame, cast: bool = True, fill: bool = True) -> DataFrame:
+    """Columns in the target's order and types; a column that the target does not know is an error.
+
+    With ``fill``, columns of the target that ``df`` lacks become null if they may be; a target that casts itself
+    (``cast`` false) is given the named columns only and fills the others by its own defaults. Otherwise a missing
+    column is an error.
+    """
+    extra = set(df.columns) - set(existing.columns)
+    missing = {f.name for f in existing.schema.fields if f.name not in df.columns}
+    fillable = missing if not cast else {f.name for f in existing.schema.fields if f.name in missing and f.nullable}
+    if extra or missing - (fillable if fill else set()):
         raise ValueError(f"columns do not fit the target: missing {sorted(missing)}, unknown {sorted(extra)}")
-    ordered = project_columns(df, existing.columns)
     if not cast:
-        return ordered
-    return ordered.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in existing.schema.fields])
+        return project_columns(df, [c for c in existing.columns if c not in missing])
+
+    def value(field):
+        return (F.lit(None) if field.name in missing else F.col(f"`{field.name}`")).cast(field.dataType).alias(field.name)
+
+    return df.select(*[value(f) for f in existing.schema.fields])
 
 
 def counted_write(df: DataFrame, write) -> int:
@@ -107,7 +117,9 @@ def load(
     emptying = mode == "replace" or as_bool(config.get("truncate_before_load", False))
     if emptying and not as_bool(config.get("allow_empty", False)) and df.isEmpty():
         return 0
-    if mode == "replace" or not place.exists(spark, config, table):
+    if mode == "replace":
+        return counted_write(shaped, lambda rows: place.replace(rows, config, table))
+    if not place.exists(spark, config, table):
         return counted_write(shaped, lambda rows: place.create(rows, config, table))
     fitted = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
     if emptying:
@@ -116,20 +128,27 @@ def load(
 
 
 def _load_upsert(shaped: DataFrame, place: Target, config: Mapping[str, Any], table: str) -> int:
-    """Merge into a staged copy first, so the target is never read while it is written.
+    """Merge into a staged copy first, so the target is never read while it is written; returns the rows given.
 
-    The staged rows stay in the shared folder until its owner clears it: should the write to the
-    target break off, they are the whole merged table.
+    The changes are worked out once. In a file target only the files that hold a changed key are written anew; other
+    targets are refilled. The staged rows stay in the shared folder until its owner clears it: should the write to
+    the target break off, they are all rows that were to be written.
     """
     keys: Sequence[str] = [clean_name(k) for k in config.get("keys") or ()]
     if not keys:
         raise ValueError("an upsert needs 'keys' in the load's config")
     spark, latest_by = shaped.sparkSession, config.get("latest_by")
-    if not place.exists(spark, config, table):
-        return counted_write(one_per_key(shaped, keys, latest_by), lambda rows: place.create(rows, config, table))
-    existing = place.read(spark, config, table)
-    changes = fit_to(shaped, existing)
-    rows = changes.count()
-    if rows:
-        place.refill(stage(upsert(existing, changes, keys, latest_by), "upsert"), config, table)
+    there = place.exists(spark, config, table)
+    changes = shaped if not there else fit_to(shaped, place.read(spark, config, table), fill=False)
+    seen = Observation()
+    changes = stage(changes.observe(seen, F.count(F.lit(1)).alias("rows")), "changes")
+    rows = seen.get.get("rows", 0)
+    if not there:
+        place.create(one_per_key(changes, keys, latest_by), config, table)
+    elif rows and isinstance(place, FileTarget):
+        files = place.files_with(spark, config, table, changes.select(*keys).distinct())
+        old = place.read_files(spark, config, table, files) if files else place.read(spark, config, table).limit(0)
+        place.put_for(stage(upsert(old, changes, keys, latest_by), "upsert"), config, table, files)
+    elif rows:
+        place.refill(stage(upsert(place.read(spark, config, table), changes, keys, latest_by), "upsert"), config, table)
     return rows

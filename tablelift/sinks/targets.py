@@ -6,13 +6,36 @@ from collections.abc import Mapping
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablelift.session import has_files, stage
+from tablelift.session import has_files, new_folder
 from tablelift.sources.jdbc import jdbc_options
 
 DEFAULT_BATCH = 5_000
 
 
+# SQL states of databases for a table that is not there, and Oracle's error number.
+MISSING_TABLE_STATES = {"42P01", "42S02", "42X05", "42704"}
+ORACLE_MISSING_TABLE = 942
+
+
+def is_missing_table(error: BaseException) -> bool:
+    """Whether an error of a database driver, or one of its causes, says that there is no such table."""
+    cause = getattr(error, "_origin", None) or getattr(error, "java_exception", None) or error
+    for _ in range(20):
+        if cause is None:
+            return False
+        if hasattr(cause, "getSQLState"):
+            try:
+                state, number = cause.getSQLState(), cause.getErrorCode()
+            except Exception:  # a Java error of another kind answers to every name, but not to a call
+                state, number = None, None
+            if state in MISSING_TABLE_STATES or number == ORACLE_MISSING_TABLE:
+                return True
+        cause = cause.getCause() if hasattr(cause, "getCause") else None
+    return False
+
+
 class Target(Protocol):
     """What a load needs of a target."""
 
@@ -26,6 +49,9 @@ class Target(Protocol):
         """The table's rows."""
 
     def create(self, df: DataFrame, config: Mapping[str, Any], table: str) -> None:
+        """Make the table from ``df``; a table that is there already is left as it is, and is an error."""
+
+    def replace(self, df: DataFrame, config: Mapping[str, Any], table: str) -> None:
         """Make the table from ``df``, in place of any old one."""
 
     def append(self, df: DataFrame, config: Mapping[str, Any], table: str) -> None:
@@ -56,14 +82,42 @@ class FileTarget:
     def read(self, spark, config, table) -> DataFrame:
         return spark.read.format(self.format).load(self.folder(config, table))
 
+    def _save(self, df, config, table, mode: str) -> None:
+        _writer(df, config).format(self.format).mode(mode).save(self.folder(config, table))
+
     def create(self, df, config, table) -> None:
-        _writer(df, config).format(self.format).mode("overwrite").save(self.folder(config, table))
+        if self.exists(df.sparkSession, config, table):
+            raise FileExistsError(f"{self.folder(config, table)} already holds a table")
+        self._save(df, config, table, "append")  # the folder may be there without files; nothing is ever removed
+
+    def replace(self, df, config, table) -> None:
+        self._save(df, config, table, "overwrite")
 
     def append(self, df, config, table) -> None:
-        _writer(df, config).format(self.format).mode("append").save(self.folder(config, table))
+        self._save(df, config, table, "append")
 
     def refill(self, df, config, table) -> None:
-        self.create(df, config, table)
+        self.replace(df, config, table)
+
+    def files_with(self, spark, config, table, keys: DataFrame) -> list[str]:
+        """The table's files that hold one of ``keys``, a frame of key columns."""
+        existing = self.read(spark, config, table).withColumn("_file", F.col("_metadata.file_path"))
+        found = existing.join(keys, keys.columns, "left_semi").select("_file").distinct()
+        return sorted(row["_file"] for row in found.collect())
+
+    def read_files(self, spark, config, table, files: list[str]) -> DataFrame:
+        """The rows of some of the table's files."""
+        everything = self.read(spark, config, table)
+        folder = self.folder(config, table)
+        return spark.read.format(self.format).schema(everything.schema).option("basePath", folder).load(files)
+
+    def put_for(self, df, config, table, files: list[str]) -> None:
+        """Add ``df`` to the table and then remove ``files``, whose rows it has taken over."""
+        self.append(df, config, table)
+        jvm, settings = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for name in files:
+            place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+            place.getFileSystem(settings).delete(place, False)
 
 
 class CatalogTarget:
@@ -77,8 +131,14 @@ class CatalogTarget:
     def read(self, spark, config, table) -> DataFrame:
         return spark.table(table)
 
+    def _save(self, df, config, table, mode: str) -> None:
+        _writer(df, config).format(config.get("format", "parquet")).mode(mode).saveAsTable(table)
+
     def create(self, df, config, table) -> None:
-        _writer(df, config).format(config.get("format", "parquet")).mode("overwrite").saveAsTable(table)
+        self._save(df, config, table, "errorifexists")
+
+    def replace(self, df, config, table) -> None:
+        self._save(df, config, table, "overwrite")
 
     def append(self, df, config, table) -> None:
         _writer(df, config).insertInto(table)
@@ -105,11 +165,13 @@ class JdbcTarget:
         )
 
     def exists(self, spark, config, table) -> bool:
-        """Whether the table's columns can be looked up; a broken connection shows when the write starts."""
+        """Whether the table's columns can be looked up. Any error but "no such table" is raised."""
         try:
             self.read(spark, config, table)
-        except Exception:  # each database driver raises its own kind of error
-            return False
+        except Exception as error:
+            if is_missing_table(error):
+                return False
+            raise
         return True
 
     def read(self, spark, config, table) -> DataFrame:
@@ -119,6 +181,9 @@ class JdbcTarget:
         df.write.format("jdbc").options(**self._options(config, table), **more).mode(mode).save()
 
     def create(self, df, config, table) -> None:
+        self._write(df, config, table, "errorifexists")
+
+    def replace(self, df, config, table) -> None:
         self._write(df, config, table, "overwrite")
 
     def append(self, df, config, table) -> None:
@@ -134,6 +199,12 @@ class ViewTarget:
 
     casts_itself = False
 
+    def __init__(self):
+        self._folders: dict[tuple[str, str], str] = {}
+
+    def _known(self, spark, table) -> tuple[str, str]:
+        return spark.sparkContext.applicationId, table.lower()
+
     def exists(self, spark, config, table) -> bool:
         return spark.catalog.tableExists(table)
 
@@ -141,10 +212,24 @@ class ViewTarget:
         return spark.table(table)
 
     def create(self, df, config, table) -> None:
-        stage(df, "view").createOrReplaceTempView(table)
+        if self.exists(df.sparkSession, config, table):
+            raise ValueError(f"the view {table} is there already")
+        self.replace(df, config, table)
+
+    def replace(self, df, config, table) -> None:
+        folder = new_folder(df.sparkSession, "view")
+        df.write.parquet(folder)
+        df.sparkSession.read.schema(df.schema).parquet(folder).createOrReplaceTempView(table)
+        self._folders[self._known(df.sparkSession, table)] = folder
 
     def append(self, df, config, table) -> None:
-        self.create(df.sparkSession.table(table).unionByName(df), config, table)
+        """Add rows to the view's own folder; a view made by someone else is copied into one first."""
+        spark, known = df.sparkSession, self._known(df.sparkSession, table)
+        if known not in self._folders:
+            self.replace(spark.table(table), config, table)
+        schema = spark.table(table).schema
+        df.write.mode("append").parquet(self._folders[known])
+        spark.read.schema(schema).parquet(self._folders[known]).createOrReplaceTempView(table)
 
     def refill(self, df, config, table) -> None:
-        self.create(df, config, table)
+        self.replace(df, config, table)

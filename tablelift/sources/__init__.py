@@ -21,7 +21,23 @@ def run_query(spark: SparkSession, query: str, params: Mapping[str, Any] | None
     return spark.sql(query, args=dict(params)) if params else spark.sql(query)
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` and views of its own."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
+
+
 def _read_files(file_format: str, spark, config, query, params) -> DataFrame:
+    """Files; a query sees them as a view named after the file, in a session of its own.
+
+    So sources that are read side by side cannot take each other's view, nor replace one of the user's. The query also
+    sees the catalog's tables, but not the user's temporary views.
+    """
+    if query:
+        spark = _own_session(spark)
     reader = spark.read.format(file_format).options(**(config.get("options") or {}))
     if config.get("schema"):
         reader = reader.schema(config["schema"])

@@ -8,6 +8,7 @@ batch fills again. :func:`stream_load` writes to any target and knows its rows b
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 from tablelift.operators.control import OK, STARTED, ControlTable
 from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
 
-BATCH = "copy_batch"
+QUERY, BATCH = "copy_query", "copy_batch"
 FILES_PER_BATCH = 1_000
 
 
@@ -39,19 +40,21 @@ def stream_copy(
 
     ``config`` takes the options of a load (``clean_names``, ``column_mapping``, ``types``). With a
     ``control`` table each batch saves its rows as one chunk, or as the chunks that ``chunk``, a
-    function that adds ``chunk_number``, sees in it. ``before_write`` is called with the batch number
-    before a batch is written.
+    function that adds ``chunk_number``, sees in it; :func:`stream_chunks` sums the chunks over the batches.
+    ``before_write`` is called with the batch number before a batch is written. Each batch has a folder below that of
+    its query, which the checkpoint names, so several sources can fill one target.
     """
     shaped = shape_for_load(_new_files(spark, source, schema, files_per_batch), config or {})
 
     def write(batch: DataFrame, number: int) -> None:
         if before_write:
             before_write(number)
-        folder = f"{target}/{BATCH}={number}"
+        query = _query_id(batch.sparkSession, checkpoint)
+        folder = f"{target}/{QUERY}={query}/{BATCH}={number}"
         batch.write.mode("overwrite").parquet(folder)
         if control is not None:
             written = batch.sparkSession.read.schema(batch.schema).parquet(folder)
-            _save_state(control, written, name, target, number, chunk)
+            _save_state(control, written, name, target, query, number, chunk)
 
     return _run_to_end(shaped, write, checkpoint)
 
@@ -122,22 +125,36 @@ def _run_to_end(stream: DataFrame, write: Callable[[DataFrame, int], None], chec
     return len(finished)
 
 
-def _save_state(control: ControlTable, written: DataFrame, name: str, target: str, number: int, chunk) -> None:
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the checkpoint gives its query."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _save_state(
+    control: ControlTable, written: DataFrame, name: str, target: str, query: str, number: int, chunk
+) -> None:
+    """Save the chunks of one batch as a run of their own: a batch that is repeated replaces its own states only."""
     chunked = chunk(written) if chunk else written.withColumn("chunk_number", F.lit(number + 1).cast("bigint"))
     counts = chunked.groupBy("chunk_number").agg(F.count(F.lit(1)).alias("rows_loaded"))
     control.save(
+        f"{query}/{number}",
         counts.select(
-            F.lit(name).alias("run_id"),
             F.lit(name).alias("extraction_name"),
             F.lit(target).alias("table_name"),
             "chunk_number",
             F.col("rows_loaded").alias("chunk_size"),
             "rows_loaded",
             F.lit(OK).alias("status"),
-        )
+        ),
     )
 
 
+def stream_chunks(control: ControlTable, name: str = "stream") -> DataFrame:
+    """``chunk_number, rows_loaded, status`` of a stream copy: the rows of each chunk over all batches."""
+    own = control.current().filter((F.col("extraction_name") == name) & (F.col("status") == OK))
+    return own.groupBy("chunk_number").agg(F.sum("rows_loaded").alias("rows_loaded"), F.max("status").alias("status"))
+
+
 def copied_rows(spark: SparkSession, target: str) -> DataFrame:
     """The rows a stream copy has written, without the batch number."""
-    return spark.read.parquet(target).drop(BATCH)
+    return spark.read.parquet(target).drop(QUERY, BATCH)
