@@ -1,13 +1,15 @@
 """Token ids of whole texts by a public tokenizer file.
 
 The tokenizer's normaliser and splitter never join characters across white space, so a text is encoded word by word and
-the ids of a word are kept for the next time it occurs. New words go to the tokenizers library in batches. ``WORDWISE`` names the
-tokenizer kinds this holds for; the tests compare with the encoding of whole texts.
+the ids of a word are kept for the next time it occurs. Of new words, those of plain letters, digits and marks are split
+here as the tokenizer would, and their pieces go to its model; all others go to the tokenizer whole. The tests compare
+with the encoding of whole texts.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +21,48 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 #: Words whose ids a worker keeps; then it starts afresh. About 150 bytes each.
 KEPT_WORDS = 400_000
+# How the tokenizer splits words, for the letters of PLAIN_SMALL, and how its special tokens begin.
+PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+SPECIAL = "<|"
+#: Words of these characters have one form in the normaliser: each capital has one small letter, and nothing composes.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
+PLAIN_SMALL = [chr(k) for k in [*range(0x21, 0x7F), *range(0xDF, 0xF7), *range(0xF8, 0x100)]]
 #: Bytes of text encoded at a time.
 CHUNK = 1 << 22
 
 
 class Encoder:
+    """Keeps the ids of words and of the pieces the tokenizer splits them into."""
+
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task
         from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.kept: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.bytes_of = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in PLAIN_SMALL}
+
+    def _ids(self, words: list[bytes]) -> None:
+        """Look up new words. A plain word is split here and its pieces go to the model, all others to the tokenizer."""
+        odd = []
+        for word in words:
+            text = word.decode()
+            if not PLAIN.fullmatch(text) or SPECIAL in text:
+                odd.append(word)
+                continue
+            found = []
+            for piece in PIECES.findall(text.lower()):
+                ids = self.pieces.get(piece)
+                if ids is None:
+                    tokens = self.tokenizer.model.tokenize(piece.translate(self.bytes_of))
+                    ids = self.pieces[piece] = np.array([t.id for t in tokens], "<u4").tobytes()
+                found.append(ids)
+            self.kept[word] = b"".join(found)
+        if odd:
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
+            for word, encoding in zip(odd, found, strict=True):
+                self.kept[word] = np.array(encoding.ids, "<u4").tobytes()
 
     def packed(self, texts: list[bytes], end_id: int | None) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
@@ -38,11 +71,9 @@ class Encoder:
         if len(self.kept) + len(new) > KEPT_WORDS:
             self.kept = {}
             new = {w for words in split for w in words}
-        if new:
-            order = list(new)
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in order], add_special_tokens=False)
-            for word, encoding in zip(order, found, strict=True):
-                self.kept[word] = np.array(encoding.ids, "<u4").tobytes()
+        if len(self.pieces) > KEPT_WORDS:
+            self.pieces = {}
+        self._ids(list(new))
         end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
         return [b"".join(map(self.kept.__getitem__, words)) + end for words in split]
 
