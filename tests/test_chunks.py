@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -132,19 +133,35 @@ def test_many_copies_are_written_in_runs(spark, monkeypatch):
     assert got == list(enumerate(sorted(k for (k,) in data)))
 
 
-def test_index_is_used_beyond_the_limit_count(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "MAX_CHUNK_LIMITS", 3)
-    frame = spark.range(100)
-    assert find_chunk_limits(frame, ["id"], 10) is None
-    assert {r.id: r.chunk_number for r in assign_chunks(frame, ["id"], 10).collect()} == {
-        i: i // 10 + 1 for i in range(100)
-    }
+@pytest.mark.parametrize("size", [1, 3, 10, 99, 1000])
+def test_numbers_do_not_need_the_limits_on_the_driver(spark, size):
+    frame = spark.range(100).selectExpr("id", "CASE WHEN id > 0 THEN id * 7 END AS k")
+    expected = {i: i // size + 1 for i in range(100)}
+    assert {r.id: r.chunk_number for r in assign_chunks(frame, ["k"], size).collect()} == expected
+    limits = find_chunk_limits(frame, ["k"], size)
+    assert {r.id: r.chunk_number for r in limits.number(frame).collect()} == expected
+
+
+def test_filter_join_and_group_on_very_many_chunks(spark):
+    frame = spark.range(100_000)
+    for numbered in (assign_chunks(frame, ["id"], 2), find_chunk_limits(frame, ["id"], 2).number(frame)):
+        start = time.perf_counter()
+        assert sorted(r.id for r in numbered.filter("chunk_number = 40000").collect()) == [79998, 79999]
+        assert numbered.groupBy("chunk_number").count().filter("count = 2").count() == 50_000
+        wanted = spark.createDataFrame([(7,), (50_000,)], "chunk_number bigint")
+        assert sorted(r.id for r in numbered.join(wanted, "chunk_number").collect()) == [12, 13, 99998, 99999]
+        assert time.perf_counter() - start < 60
+
+
+@pytest.mark.parametrize("offset", [0, 100, 12_000])
+def test_equal_keys_are_an_error_on_any_page(spark, offset):
+    frame = spark.range(15_000).selectExpr("id div 2 AS k")
+    with pytest.raises(Exception, match="not unique"):
+        page(frame, ["k"], offset, 50).collect()
 
 
 @pytest.mark.parametrize("offset, limit", [(0, 0), (0, 10), (1490, 100), (1500, 5), (0, 3000)])
-@pytest.mark.parametrize("small_end", [0, 10_000])
-def test_pages(read, monkeypatch, offset, limit, small_end):
-    monkeypatch.setattr(chunks, "SMALL_PAGE_END", small_end)
+def test_pages(read, offset, limit):
     orders = read("orders")
     expected = sorted((tuple(r) for r in orders.collect()), key=lambda r: r[0])[offset : offset + limit]
     assert rows(page(orders, ["o_orderkey"], offset, limit)) == sorted(expected, key=repr)
@@ -154,8 +171,6 @@ def test_pages(read, monkeypatch, offset, limit, small_end):
 
 
 def test_late_page_reads_its_ranges_only(read):
-    plan = page(read("orders"), ["o_orderkey"], 1400, 50)._jdf.queryExecution().toString()
-    assert "TakeOrdered" in plan
     late = page_by_row_number(read("orders"), ["o_orderkey"], 1400, 1450)._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(o_orderkey" in late
     assert "TakeOrdered" not in late
@@ -171,8 +186,11 @@ def test_sweep_and_union_give_the_table(read):
 
 
 def test_chunk_numbers_need_no_shuffle_of_the_rows(read):
+    """Only keys and chunk openers move while these are few enough for Spark to send them to the rows."""
     plan = assign_chunks(read("orders"), ["o_orderkey"], 100)._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange" not in plan
+    assert "BroadcastHashJoin" in plan
+    for exchange in plan.split("Exchange")[1:]:
+        assert "o_totalprice" not in exchange.split("Arguments")[0].split("[plan_id")[0]
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 

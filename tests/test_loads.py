@@ -1,5 +1,8 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from conftest import rows
 from tablelift.operators.upsert import one_per_key, upsert
@@ -12,7 +15,7 @@ from tablelift.sinks import (
     register_target,
     supported_targets,
 )
-from tablelift.sinks.targets import FileTarget
+from tablelift.sinks.targets import FileTarget, JdbcTarget
 
 
 @pytest.fixture(params=["parquet", "orc", "table", "view"])
@@ -135,7 +138,7 @@ def test_upsert_into_a_missing_table(spark):
     with pytest.raises(Exception, match="several new rows"):
         load(twice, "parquet", "t", config, mode="upsert")
     config = {"path": new_folder(spark, "t"), "keys": ["k"], "latest_by": "v"}
-    assert load(twice, "parquet", "t", config, mode="upsert") == 1
+    assert load(twice, "parquet", "t", config, mode="upsert") == 2
     assert rows(find_target("parquet").read(spark, config, "t")) == [(1, "b")]
     assert load(twice.limit(0), "parquet", "t", config, mode="upsert") == 0
     assert rows(find_target("parquet").read(spark, config, "t")) == [(1, "b")]
@@ -166,3 +169,96 @@ def test_several_new_rows_of_a_key(spark):
 def test_counted_write_of_a_proven_empty_frame(spark):
     nothing = spark.range(10).filter(F.lit(False))
     assert counted_write(nothing, lambda df: df.write.format("noop").mode("overwrite").save()) == 0
+
+
+def test_equal_and_missing_latest_by(spark):
+    schema = "k int, at int, v string"
+    new = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (2, None, "z"), (2, 1, "c"), (3, 4, "x"), (3, 4, "y")], schema)
+    for order in (new, new.orderBy(F.desc("v"))):
+        assert rows(one_per_key(order, ["k"], latest_by="at")) == [(1, None, "b"), (2, 1, "c"), (3, 4, "y")]
+
+
+def test_upsert_leaves_other_files_alone(spark):
+    config = {"path": new_folder(spark, "t"), "keys": ["k"]}
+    place = find_target("parquet")
+    spark.range(1000).selectExpr("id AS k", "id AS v").repartitionByRange(5, "k").write.parquet(f"{config['path']}/t")
+    before = set(place.read(spark, config, "t").inputFiles())
+    changes = spark.createDataFrame([(10, -1), (11, -2), (5000, -3)], "k bigint, v bigint")
+    assert load(changes, "parquet", "t", config, mode="upsert") == 3
+    after = place.read(spark, config, "t")
+    assert len(before & set(after.inputFiles())) == 4
+    expected = {k: k for k in range(1000)} | {10: -1, 11: -2, 5000: -3}
+    assert rows(after) == sorted(expected.items(), key=repr)
+
+
+def test_named_columns(spark):
+    config = {"path": new_folder(spark, "t")}
+    load(spark.createDataFrame([(1, 2, "x")], "k int, v int, w string"), "parquet", "t", config)
+    assert load(spark.createDataFrame([("y", 5)], "w string, k int"), "parquet", "t", config) == 1
+    assert rows(find_target("parquet").read(spark, config, "t")) == [(1, 2, "x"), (5, None, "y")]
+    frame, existing = spark.range(1), spark.createDataFrame([], T.StructType([T.StructField("id", T.LongType()), T.StructField("must", T.LongType(), False)]))
+    with pytest.raises(ValueError, match=r"missing \['must'\]"):
+        fit_to(frame, existing)
+    assert fit_to(frame, existing, cast=False).columns == ["id"]
+
+
+@pytest.mark.parametrize("kind", ["parquet", "table", "view"])
+def test_create_never_overwrites(spark, kind):
+    place, config, name = find_target(kind), {"path": new_folder(spark, "t")}, f"made_{uuid.uuid4().hex}"
+    place.create(spark.range(3), config, name)
+    with pytest.raises(Exception):
+        place.create(spark.range(5), config, name)
+    assert place.read(spark, config, name).count() == 3
+    place.append(spark.range(2), config, name)
+    assert place.read(spark, config, name).count() == 5
+    place.replace(spark.range(1), config, name)
+    assert place.read(spark, config, name).count() == 1
+
+
+def test_appending_to_a_view_adds_files_only(spark):
+    place, name = find_target("view"), f"made_{uuid.uuid4().hex}"
+    place.create(spark.range(3), {}, name)
+    before = set(place.read(spark, {}, name).inputFiles())
+    place.append(spark.range(3), {}, name)
+    assert before < set(place.read(spark, {}, name).inputFiles())
+
+
+class DriverError(Exception):
+    """Stands for a database driver's error with an SQL state."""
+
+    def __init__(self, state, number=0, cause=None):
+        self.state, self.number, self.cause = state, number, cause
+
+    def getSQLState(self):
+        return self.state
+
+    def getErrorCode(self):
+        return self.number
+
+    def getCause(self):
+        return self.cause
+
+
+@pytest.mark.parametrize(
+    "error, missing",
+    [
+        (DriverError("42P01"), True),
+        (DriverError("42000", 942), True),
+        (DriverError(None, 0, DriverError("42P01")), True),
+        (DriverError("08001"), False),
+        (DriverError("42501"), False),
+        (RuntimeError("connection lost"), False),
+    ],
+)
+def test_only_a_missing_table_counts_as_absent(spark, monkeypatch, error, missing):
+    place = JdbcTarget("postgresql")
+
+    def read(*_):
+        raise error
+
+    monkeypatch.setattr(place, "read", read)
+    if missing:
+        assert place.exists(spark, {}, "t") is False
+    else:
+        with pytest.raises(type(error)):
+            place.exists(spark, {}, "t")

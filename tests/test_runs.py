@@ -1,3 +1,5 @@
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -218,3 +220,73 @@ def test_copy_of_an_empty_table(spark):
     place = new_folder(spark, "copy")
     done = copy_in_chunks(spark.range(0), "e", "t", ["id"], 10, ControlTable(spark, f"{place}/control"), config={"path": place})
     assert (done.chunks, done.rows) == (0, 0)
+
+
+@pytest.mark.parametrize("kind", ["parquet", "table", "view"])
+def test_chunked_runs_side_by_side(spark, small, kind):
+    keys = {"customer": "c_custkey", "orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey"}
+    for turn in range(10 if kind == "parquet" else 1):
+        place = new_folder(spark, "r")
+        config = config_for(small, place, *keys, mode="chunked", control_path=f"{place}/control")
+        for entry in config["loads"]:
+            name = entry["source"]
+            entry |= {"target": kind, "table": f"{name}_{place[-32:]}", "config": {"path": place, "chunk_key": keys[name], "waves": 2}}
+        steps = run_config(spark, config)
+        assert {r.status for r in steps.collect()} == {"OK"}, turn
+        states = ControlTable(spark, f"{place}/control").current()
+        assert rows(states.select("status").distinct()) == [("OK",)]
+        for name in keys:
+            copied = find_target(kind).read(spark, {"path": place}, f"{name}_{place[-32:]}")
+            assert copied.count() == spark.read.parquet(f"{small}/{name}.parquet").count()
+
+
+def test_sources_of_one_stem_do_not_mix(spark, small):
+    place = new_folder(spark, "stem")
+    spark.range(3).withColumnRenamed("id", "n_nationkey").write.parquet(f"{place}/nation.parquet")
+    spark.range(99).createOrReplaceTempView("nation")
+    for _ in range(20):
+        config = config_for(small, f"{place}/{uuid.uuid4().hex}", "nation")
+        config["extractions"][0]["query"] = "SELECT n_nationkey FROM nation"
+        other = {"name": "few", "source": "parquet", "config": {"path": f"{place}/nation.parquet"}, "query": "SELECT * FROM nation"}
+        config["extractions"].append(other)
+        config["loads"].append(config["loads"][0] | {"name": "few_load", "source": "few", "table": "few"})
+        counts = {r.name: r.rows for r in run_config(spark, config).collect()}
+        assert counts == {"nation": 25, "nation_load": 25, "few": 3, "few_load": 3}
+    assert spark.table("nation").count() == 99
+
+
+def test_names_that_repeat_are_refused(spark, small):
+    config = config_for(small, new_folder(spark, "r"), "nation", "nation")
+    with pytest.raises(ValueError, match="same name: nation"):
+        run_config(spark, config)
+
+
+def test_commit_unit(spark, read):
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    register_target("breaking", Breaking(3, "before"))
+    copy = dict(name="o", table="orders", key=["o_orderkey"], size=50, control=control, config={"path": place}, commit_rows=120)
+    with pytest.raises(RuntimeError):
+        copy_in_chunks(read("orders"), target="breaking", **copy)
+    counts = {r.status: r["count"] for r in control.current().groupBy("status").count().collect()}
+    assert counts == {"OK": 4, "ERROR": 2}
+    assert copy_in_chunks(read("orders"), **copy).rows == 1500
+    assert rows(find_target("parquet").read(spark, {"path": place}, "orders")) == rows(read("orders"))
+
+
+def test_resume_onto_other_rows(spark, read):
+    place = new_folder(spark, "copy")
+    control, config = ControlTable(spark, f"{place}/control"), {"path": place}
+    odd, even = (read("orders").filter(F.col("o_orderkey") % 2 == k) for k in (1, 0))
+    find_target("parquet").create(even, config, "orders")
+    register_target("breaking", Breaking(2, "half"))
+    copy = dict(name="o", table="orders", key=["o_orderkey"], size=100, control=control, config=config, waves=4)
+    with pytest.raises(RuntimeError):
+        copy_in_chunks(odd, target="breaking", **copy)
+    assert copy_in_chunks(odd, **copy).resumed
+    assert rows(find_target("parquet").read(spark, config, "orders")) == rows(read("orders"))
+
+
+def test_stream_mode_wants_a_checkpoint(spark, small):
+    steps = run_config(spark, config_for(small, new_folder(spark, "r"), "nation", mode="stream")).collect()
+    assert "checkpoint" in [r.error for r in steps if r.step == "load"][0]

@@ -1,11 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from tablelift.operators.control import ControlTable
 from tablelift.session import new_folder
 from tablelift.sinks import find_target, register_target
 from tablelift.sinks.targets import FileTarget
-from tablelift.streaming import copied_rows, stream_copy, stream_load
+from tablelift.streaming import copied_rows, stream_chunks, stream_copy, stream_load
 
 
 @pytest.fixture
@@ -108,3 +109,21 @@ def test_stream_into_a_table(spark, read, events, at, step):
     assert rows(find_target("parquet").read(spark, config, "e")) == rows(read("events"))
     states = control.current().collect()
     assert {r.status for r in states} == {"OK"} and sum(r.rows_loaded for r in states) == read("events").count()
+
+
+def test_two_streams_fill_one_target(spark, read, events):
+    schema = read("events").schema
+    stream_copy(spark, *paths(events, schema))
+    stream_copy(spark, f"{events}/in", schema, f"{events}/out", f"{events}/other_checkpoint")
+    assert copied_rows(spark, f"{events}/out").count() == 2 * read("events").count()
+
+
+def test_chunks_over_several_batches(spark, read, events):
+    schema, control = read("events").schema, ControlTable(spark, f"{events}/control")
+
+    def chunk(batch):
+        return batch.withColumn("chunk_number", F.col("event_id") % 3 + 1)
+
+    stream_copy(spark, *paths(events, schema), files_per_batch=1, control=control, name="e", chunk=chunk)
+    found = {r.chunk_number: r.rows_loaded for r in stream_chunks(control, "e").collect()}
+    assert found == {r.chunk_number: r["count"] for r in chunk(read("events")).groupBy("chunk_number").count().collect()}
