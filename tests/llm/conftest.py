@@ -1,7 +1,5 @@
 import pytest
 
-from conftest import SMALL  # noqa: F401
-
 KINDS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 

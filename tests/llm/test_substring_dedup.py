@@ -65,7 +65,7 @@ def test_documents(spark, small):
 
 def test_odd_rows(odd):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
-    assert result(odd, size=5) == plain(rows, 5)
+    assert result(odd, size=5, seed=3) == plain(rows, 5)
 
 
 def test_empty(none, docs_of):
