@@ -119,8 +119,7 @@ def token_counts_query(spark, folder):
 
 @query("op3_packing")
 def packing_query(spark, folder):
-    tokens = stage(encode(table(spark, folder, "documents")), "tokens")
-    pieces = cut(tokens).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    pieces = cut(encode(table(spark, folder, "documents"))).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
     return pack(pieces)
 
 
