@@ -63,7 +63,7 @@ def targets(sizes: DataFrame, weight: Column | None = None, most_epochs: int = 3
 def prefix_sums(rows: DataFrame, digits: int) -> DataFrame:
     """``rows`` (``source, key, doc_id, size``) with ``before``, the size of all rows of its source in front of it.
 
-    The order is by key, then ``doc_id``. Ranges are the first ``digits`` hexadecimal digits of the key.
+    The order is by key, then ``doc_id`` and size. Ranges are the first ``digits`` hexadecimal digits of the key.
     """
     ranged = rows.withColumn("range", F.substring("key", 1, digits))
     sums = ranged.groupBy("source", "range").agg(F.sum("size").alias("in_range"))
@@ -71,7 +71,7 @@ def prefix_sums(rows: DataFrame, digits: int) -> DataFrame:
     sums = sums.withColumn("ahead", F.coalesce(F.sum("in_range").over(over), F.lit(0))).drop("in_range")
     r, s = ranged.alias("r"), sums.alias("s")
     joined = r.join(s, F.col("r.source").eqNullSafe(F.col("s.source")) & (F.col("r.range") == F.col("s.range")))
-    inside = Window.partitionBy("r.source", "r.range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("r.source", "r.range").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("ahead") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     return joined.select("r.*", before.alias("before")).drop("range")
 
@@ -129,7 +129,7 @@ goals AS (
 ),
 ordered AS (
     SELECT s.doc_id, s.size, g.source_size, g.target, CAST(floor(g.target) AS BIGINT) AS budget,
-           CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id
+           CAST(coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
     FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
 ),
