@@ -19,7 +19,6 @@ from tablelift.operators.columns import (
     map_columns,
     project_columns,
     standardize_columns,
-    target_ddl,
 )
 from tablelift.operators.control import ControlTable
 from tablelift.operators.upsert import upsert
@@ -27,7 +26,7 @@ from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.run import problems, run_config, run_summary
 from tablelift.sinks import load, register_target, supported_targets
 from tablelift.sources import read_source, register_source, row_count, run_query, supported_sources
-from tablelift.streaming import stream_copy, stream_load
+from tablelift.streaming import stream_chunks, stream_copy, stream_load
 
 __all__ = [
     "ControlTable",
@@ -55,11 +54,11 @@ __all__ = [
     "run_summary",
     "slice_rows",
     "standardize_columns",
+    "stream_chunks",
     "stream_copy",
     "stream_load",
     "supported_sources",
     "supported_targets",
-    "target_ddl",
     "union_chunks",
     "upsert",
     "with_row_index",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.session import has_files, new_folder
-from tablelift.sources.jdbc import jdbc_options
+from tablelift.sources.jdbc import jdbc_options, read_jdbc
 
 DEFAULT_BATCH = 5_000
 
@@ -175,7 +175,8 @@ class JdbcTarget:
         return True
 
     def read(self, spark, config, table) -> DataFrame:
-        return spark.read.format("jdbc").options(**self._options(config, table)).load()
+        """The table, in parallel parts if ``partition_column`` is set."""
+        return read_jdbc(spark, self.kind, {**config, "table": table}, None, None)
 
     def _write(self, df, config, table, mode: str, **more: str) -> None:
         df.write.format("jdbc").options(**self._options(config, table), **more).mode(mode).save()
