@@ -39,6 +39,7 @@ def ngram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     codes = np.where(is_letter, codes, 32).astype(np.uint64)
     keep = is_letter | np.concatenate([[False], is_letter[:-1]])
+    keep[np.flatnonzero(is_letter)[-1] + 1 :] = False
     codes = np.concatenate([[np.uint64(32)], codes[keep], [np.uint64(32)]])
     counts = np.zeros(BUCKETS, np.int64)
     for order in ORDERS:

@@ -89,8 +89,11 @@ def test_files_can_be_read_in_part(spark, small):
     import pyarrow.parquet as pq
 
     for name in spark.read.parquet(folder).inputFiles():
-        column = pq.ParquetFile(name.removeprefix("file://")).metadata.row_group(0).column(1)
-        assert column.has_column_index and "DELTA_BINARY_PACKED" in column.encodings
+        group = pq.ParquetFile(name.removeprefix("file://")).metadata.row_group(0)
+        columns = {group.column(k).path_in_schema: group.column(k) for k in range(group.num_columns)}
+        for plain in ("doc_id", "local_start", "n_tokens"):
+            assert columns[plain].has_column_index and "DELTA_BINARY_PACKED" in columns[plain].encodings
+        assert "RLE_DICTIONARY" in columns["ids.list.element"].encodings
 
 
 def test_no_files(none, spark):
