@@ -32,8 +32,10 @@ class TokenRollup:
         """The names of the batches that count, folded ones included."""
         found = set()
         for name in self._live():
-            folded = self.spark.read.text(f"{self.folder}/{BATCH}{name}/_folds") if self._has(name, "_folds") else None
-            found |= {name} if folded is None else {r.value for r in folded.collect()}
+            found.add(name)
+            folds = f"{self.folder}/_folds/{name}"
+            if self._files().exists(self._path(folds)):
+                found |= {r.value for r in self.spark.read.text(folds).collect()}
         return sorted(found)
 
     def _has(self, name: str, mark: str) -> bool:
@@ -94,9 +96,8 @@ class TokenRollup:
         names = self.committed()
         after = TokenRollup(self.spark, f"{self.folder}-{name}")
         remembered = self.spark.createDataFrame([(n,) for n in names], "value string")
-        target = f"{after.folder}/{BATCH}{name}"
-        self.totals().write.mode("overwrite").parquet(target)
-        remembered.coalesce(1).write.mode("overwrite").text(f"{target}/_folds")
+        remembered.coalesce(1).write.mode("overwrite").text(f"{after.folder}/_folds/{name}")
+        self.totals().write.mode("overwrite").parquet(f"{after.folder}/{BATCH}{name}")  # its end is the commit
         self.folder = after.folder
 
 
