@@ -4,7 +4,7 @@ A window is ``size`` consecutive words. Its minimiser is the least hash among th
 one minimiser form a super-k-mer, and equal windows always have equal minimisers.
 
 1. ``super_kmers`` cuts every document and sends ``(minimiser, document, start, windows)``: a few bytes for about 14 windows. A minimiser
-   of one super-k-mer cannot hold a repeated window, and goes no further.
+   that occurs once cannot hold a repeated window, and goes no further. Of equal texts, one document stands for all.
 2. ``packed`` sends each remaining super-k-mer to its bucket as one string of its words. Buckets of frequent minimisers are salted
    by document.
 3. ``count_windows`` sorts the windows of each minimiser by their words and reports those that occur again. In a salted bucket a window
@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablelift.llm.text import Words, only, runs_of_rows, whole_text, windows
+from tablelift.llm.sieve import sieve
+from tablelift.llm.text import Words, runs_of_rows, whole_text, windows
 from tablelift.session import stage
 
 SEED = 8
@@ -29,20 +30,26 @@ SEED = 8
 BUCKET_PART = 1 << 16
 #: Windows of one super-k-mer; longer ones, as in texts that repeat one word, are cut there.
 MOST_WINDOWS = 512
-SUPER = "doc_id bigint, th bigint, m bigint, start bigint, n int"
+SUPER = "doc_id bigint, th bigint, digest binary, m bigint, start bigint, n int, again boolean"
+#: More windows than a text has.
+ALL_WINDOWS = 1 << 30
 
 
-def cut_super_kmers(hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimiser, first window and number of windows of each super-k-mer of one document."""
+def cut_super_kmers(hashes: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Of each super-k-mer of one document: minimiser, first window, windows, whether the minimiser occurs again in it."""
     runs = windows(hashes, seed)
     width = size - seed + 1
     least = np.lib.stride_tricks.sliding_window_view(runs, width).min(axis=1)
     change = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
     starts = np.union1d(change, np.arange(0, len(least), MOST_WINDOWS))
-    return least[starts], starts, np.diff(starts, append=len(least))
+    seen, times = np.unique(runs, return_counts=True)
+    again = np.isin(least[starts], seen[times > 1])
+    return least[starts], starts, np.diff(starts, append=len(least)), again
 
 
 def super_kmers(docs: DataFrame, size: int, seed: int) -> DataFrame:
+    """The super-k-mers of all documents; the first of each document carries the digest of the text."""
+
     def run(batches):
         words = Words(lower=False)
         for batch in batches:
@@ -57,19 +64,23 @@ def super_kmers(docs: DataFrame, size: int, seed: int) -> DataFrame:
                         rows.append(np.full(len(parts[-1][0]), first + k))
                 if rows:
                     row = np.concatenate(rows)
-                    m, start, n = (np.concatenate([p[j] for p in parts]) for j in range(3))
+                    m, start, n, again = (np.concatenate([p[j] for p in parts]) for j in range(4))
+                    digests = batch.column(3).take(pa.array(np.where(start == 0, row, -1), pa.int64(), mask=start > 0))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(ids[row], pa.int64(), mask=null_ids[row]),
                             pa.array(hashes_of_text[row]),
+                            digests,
                             pa.array(m.astype(np.int64)),
                             pa.array(start),
                             pa.array(n.astype(np.int32)),
+                            pa.array(again),
                         ],
-                        names=["doc_id", "th", "m", "start", "n"],
+                        names=["doc_id", "th", "digest", "m", "start", "n", "again"],
                     )
 
-    return docs.select("doc_id", "text", "th").mapInArrow(run, SUPER)
+    digest = F.unhex(F.sha2("text", 256))
+    return docs.select("doc_id", "text", "th", digest.alias("digest")).mapInArrow(run, SUPER)
 
 
 def packed(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -100,7 +111,7 @@ def packed(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     )
 
     by_doc = wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("m", "salts", "start", "n")).alias("kmers"))
-    d, w = docs.alias("d"), by_doc.alias("w")
+    d, w = sieve(docs, "th", wanted.select("th")).alias("d"), by_doc.alias("w")
     joined = d.join(w, (F.col("d.th") == F.col("w.th")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
     joined = joined.select("d.doc_id", "d.th", "d.text", "w.kmers")
     return joined.mapInArrow(run, "doc_id bigint, th bigint, m bigint, salts int, start bigint, string binary")
@@ -184,9 +195,21 @@ def repeated_windows(docs: DataFrame, size: int, seed: int = SEED, part: int = B
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = stage(super_kmers(docs, size, seed), "super_kmers")
-    shared = found.groupBy("m").agg(F.sum("n").alias("times"), F.count(F.lit(1)).alias("kmers")).where("kmers > 1")
-    shared = shared.select("m", F.ceil(F.col("times") / part).cast("int").alias("salts"))
-    wanted = found.join(shared, "m").select("doc_id", "th", "m", "salts", "start", "n")
+    # All windows of a text that has copies are repeated; its first document stands for it from here on.
+    heads = found.where("start = 0").select("doc_id", "th", "digest")
+    texts = heads.groupBy("digest").agg(F.min(F.struct("doc_id", "th")).alias("first"), F.count(F.lit(1)).alias("copies"))
+    copied = heads.join(texts.where("copies > 1"), "digest")
+    copied = stage(copied.select("doc_id", "th", F.struct("doc_id", "th").eqNullSafe(F.col("first")).alias("stands")), "copies")
+    # A minimiser of one text only cannot hold a repeated window, unless it occurs twice in one super-k-mer.
+    shared = found.groupBy("m").agg(
+        F.sum("n").alias("times"), F.min("th").alias("low"), F.max("th").alias("high"), F.max("again").alias("again")
+    )
+    shared = shared.where("low <> high or again").select("m", F.ceil(F.col("times") / part).cast("int").alias("salts"))
+    shared = stage(shared, "shared")
+    wanted = sieve(found.select("doc_id", "th", "m", "start", "n"), "m", shared.select("m")).join(shared, "m")
+    w, c = wanted.alias("w"), copied.where("not stands").select("doc_id", "th").distinct().alias("c")
+    wanted = w.join(c, (F.col("w.th") == F.col("c.th")) & F.col("w.doc_id").eqNullSafe(F.col("c.doc_id")), "left_anti")
+    wanted = stage(wanted.select("doc_id", "th", "m", "salts", "start", "n"), "wanted")
     counted = stage(count_windows(packed(docs, wanted, size), size, parts), "windows")
     open_ones = counted.where("digest is not null").groupBy("digest")
     # At most one row a salt has a document: a window met twice in one salt is settled there.
@@ -196,7 +219,8 @@ def repeated_windows(docs: DataFrame, size: int, seed: int = SEED, part: int = B
         F.max(F.col("n") == 0).alias("known"),
     )
     across = across.where("salts > 1 or known").select(F.explode("where").alias("w")).select("w.*")
-    ranges = counted.where("digest is null").drop("digest").union(across)
+    whole = copied.select("doc_id", "th", F.lit(0).cast("bigint").alias("start"), F.lit(ALL_WINDOWS).alias("n"))
+    ranges = counted.where("digest is null").drop("digest").union(across).union(whole.distinct())
     return ranges.groupBy("doc_id", "th").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
 
 
