@@ -10,7 +10,7 @@ a task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablelift.llm.text import SPACES, only, whole_text
@@ -33,19 +33,23 @@ def slot_of(key: Column, bits: int = DEEPEST) -> Column:
 
 
 def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES, deepest: int = DEEPEST) -> DataFrame:
-    """``slot, depth, bucket``: for each slot of ``deepest`` bits in use, the local depth and number of its bucket.
+    """``slot, depth, bucket``: for each slot of ``deepest`` bits, the local depth and number of its bucket.
 
     A bucket is a key prefix of ``depth`` bits, the shortest with no more than ``capacity`` entries. Numbers follow the
     key order, so a run of neighbouring buckets is a range of keys. The table has at most ``2^deepest`` rows.
     """
     counts = entries.groupBy(slot_of(F.col("key"), deepest).alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     levels = counts.withColumn("depth", F.explode(F.sequence(F.lit(0), F.lit(deepest))))
-    prefix = F.expr(f"shiftright(slot, {deepest} - depth)")
-    sized = levels.withColumn("size", F.sum("n").over(Window.partitionBy("depth", prefix)))
+    prefix = F.expr(f"shiftright(slot, {deepest} - depth)").alias("prefix")
+    nodes = levels.groupBy("depth", prefix).agg(F.sum("n").alias("size"))
     fits = (F.col("size") <= capacity) | (F.col("depth") == deepest)
-    depths = sized.where(fits).groupBy("slot").agg(F.min("depth").alias("depth"), F.first("n").alias("n"))
-    bucket = F.expr(f"shiftleft(shiftright(slot, {deepest} - depth), {deepest} - depth)")
-    return depths.select("slot", "depth", bucket.alias("bucket"))
+    split = nodes.where(~fits).select((F.col("depth") + 1).alias("depth"), F.explode(F.expr("array(2 * prefix, 2 * prefix + 1)")))
+    split = split.select("depth", F.col("col").alias("prefix"))
+    buckets = nodes.where(fits & (F.col("depth") == 0)).select("depth", "prefix")
+    buckets = buckets.union(nodes.where(fits).join(split, ["depth", "prefix"], "left_semi").select("depth", "prefix"))
+    first, last = (f"shiftleft(prefix + {k}, {deepest} - depth)" for k in (0, 1))
+    slots = F.explode(F.expr(f"sequence({first}, {last} - 1)")).alias("slot")
+    return buckets.select(slots, "depth", F.expr(first).alias("bucket"))
 
 
 def build_index(entries: DataFrame, owners: int, capacity: int = BUCKET_ENTRIES, deepest: int = DEEPEST) -> DataFrame:
@@ -63,7 +67,7 @@ def build_index(entries: DataFrame, owners: int, capacity: int = BUCKET_ENTRIES,
     return spark.read.parquet(folder)
 
 
-def exact_duplicates(docs: DataFrame, key: Column | None = None, capacity: int = BUCKET_ENTRIES) -> DataFrame:
+def exact_duplicates(docs: DataFrame, key: Column | None = None, digest: Column | None = None, capacity: int = BUCKET_ENTRIES) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Only ``doc_id`` and ``text`` are read. Texts are equal when identical after replacing each run of white space by one
@@ -71,32 +75,31 @@ def exact_duplicates(docs: DataFrame, key: Column | None = None, capacity: int =
     (a null one never does, unless all are null). Rows that repeat both the ``doc_id`` and the text are all marked kept,
     as nothing tells them apart; ``group_size`` counts them all. An empty table gives an empty result.
 
-    ``key`` replaces the 64-bit hash of the normalised text ``norm``; any column will do, as chains are compared byte
-    by byte.
+    ``key`` and ``digest`` replace the hashes of the normalised text ``norm``; any columns will do, as texts are compared byte by byte.
+    Then ``text_sha256`` is the given digest.
     """
     spark = docs.sparkSession
     owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
     norm = only(docs, "doc_id", normalised().alias("norm"))
-    keyed = norm.withColumn("key", F.xxhash64("norm") if key is None else key).withColumn("text_sha256", F.sha2("norm", 256))
+    keyed = norm.withColumn("key", F.xxhash64("norm") if key is None else key)
+    keyed = keyed.withColumn("digest", F.unhex(F.sha2("norm", 256)) if digest is None else digest)
     # One row for each different text: grouping on the bytes themselves settles what is equal.
-    texts = keyed.groupBy("key", "text_sha256", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    # The bytes stay in the index only where a key and digest do not tell texts apart.
-    chain = Window.partitionBy("key", "text_sha256")
-    chained = texts.withColumn("links", F.count(F.lit(1)).over(chain))
-    entries = chained.select(
-        "key", "text_sha256", "keep_id", "group_size", F.when(F.col("links") > 1, F.col("norm")).alias("bytes")
-    )
-    index = build_index(stage(entries, "entries"), owners, capacity)
-    found = keyed.alias("d").join(
-        index.alias("i"),
-        (F.col("d.key") == F.col("i.key"))
-        & (F.col("d.text_sha256") == F.col("i.text_sha256"))
-        & (F.col("i.bytes").isNull() | (F.col("i.bytes") == F.col("d.norm"))),
-    )
+    texts = keyed.groupBy("key", "digest", "norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    entries = stage(texts.drop("norm"), "entries")
+    index = build_index(entries, owners, capacity)
+    chains = index.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("links"))
+    # The bytes are needed once more only where neither key nor digest tells texts apart.
+    longer = stage(chains.where("links > 1").select("key", "digest"), "chains")
+    single = index.join(longer, ["key", "digest"], "left_anti")
+    found = keyed.drop("norm").join(single.drop("bucket", "depth"), ["key", "digest"])
+    if not longer.isEmpty():
+        chained = keyed.join(longer, ["key", "digest"])
+        of_text = chained.groupBy("norm").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        found = found.unionByName(chained.join(of_text, "norm").drop("norm"))
     return found.select(
         "doc_id",
         "keep_id",
         "group_size",
         F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"),
-        "d.text_sha256",
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
