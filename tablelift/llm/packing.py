@@ -1,8 +1,9 @@
 """Packing of documents into sequences by column generation for the cutting-stock problem.
 
 1. Documents are cut into pieces: full sequences, and one remainder. Full pieces are sequences of their own.
-2. Remainders are counted by length class (lengths rounded up to ``GRID``). The histogram, of at most ``capacity / GRID`` rows, is all that
-   the driver gets.
+2. Remainders are counted by length. The histogram, of at most ``capacity`` rows, is all that the driver gets. It plans twice and takes the
+   plan of fewer sequences: once with all lengths rounded up to ``GRID``, and once with pieces below ``SHORT`` at their exact lengths,
+   which fill what the patterns of the others leave and then sequences of their own (``with_short``).
 3. The driver solves the linear program "fewest sequences, every class covered" by the simplex method: the columns of the
    program are patterns (how many pieces of each class share a sequence), and a knapsack by dynamic programming finds the pattern that the
    duals price best (``fractional_patterns``). Whole parts of the solution are kept, the rest is placed first-fit.
@@ -23,6 +24,8 @@ from tablelift.session import stage
 CAPACITY = 4096
 #: Tokens by which lengths are rounded up for the patterns.
 GRID = 8
+#: Pieces below this length, and a sixteenth of a sequence, are also planned by their exact lengths.
+SHORT = 256
 #: Pieces that are numbered together, about.
 BLOCK_ROWS = 20_000
 #: The simplex stops at this relative distance from the bound of the duals.
@@ -124,10 +127,40 @@ class Plan:
     sequences: int
 
 
-def assign(demand: np.ndarray, capacity: int) -> Plan:
-    """Which ranks of each size go to which sequences."""
-    taken, rows, at = np.zeros(len(demand), np.int64), [], 0
-    for pattern, times in whole_patterns(demand, capacity):
+def with_short(patterns: list[tuple[np.ndarray, int]], short: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
+    """Patterns of places, and how often each is used, that also take every short piece exactly once.
+
+    ``patterns`` count items of sizes 1, 2, ... in grid steps, ``short`` pieces of lengths 1, 2, ... in tokens. The result counts short
+    pieces first, then the items. The room that a pattern leaves is filled with short pieces, longest first.
+    """
+    left, out = short.astype(np.int64).copy(), []
+    width = len(patterns[0][0]) if patterns else 0
+    grid = capacity // width if width else 1
+    own = [(pattern, times, capacity - grid * int(pattern @ np.arange(1, width + 1))) for pattern, times in patterns]
+    for pattern, times, room in [*own, (np.zeros(width, np.int64), None, capacity)]:
+        while left.any() if times is None else times:
+            taken, rest = np.zeros(len(left), np.int64), room
+            for size in np.flatnonzero(left)[::-1] + 1:
+                taken[size - 1] = min(int(left[size - 1]), rest // size)
+                rest -= int(taken[size - 1]) * int(size)
+            used = taken > 0
+            often = [times] if times is not None else []
+            if used.any():
+                often.append(int((left[used] // taken[used]).min()))
+            out.append((np.concatenate([taken, pattern]), min(often)))
+            left -= min(often) * taken
+            times = None if times is None else times - min(often)
+    return out
+
+
+def assign(demand: np.ndarray, capacity: int, short: np.ndarray | None = None, grid: int = 1) -> Plan:
+    """Which ranks of each size go to which sequences. With ``short``, its lengths are the first sizes, those of ``demand`` follow."""
+    patterns = whole_patterns(demand, capacity)
+    if short is not None:
+        # Without longer items there is still a width to tell.
+        patterns = with_short(patterns or [(np.zeros(len(demand), np.int64), 0)], short, capacity * grid)
+    taken, rows, at = np.zeros(len(demand) + (0 if short is None else len(short)), np.int64), [], 0
+    for pattern, times in patterns:
         for k in np.flatnonzero(pattern):
             count = int(pattern[k]) * times
             rows.append((int(k) + 1, int(taken[k]), int(taken[k]) + count, int(pattern[k]), at))
@@ -136,6 +169,21 @@ def assign(demand: np.ndarray, capacity: int) -> Plan:
     return Plan(rows, at)
 
 
+def planned(lengths: dict[int, int], capacity: int, grid: int, below: int) -> tuple[Plan, dict[int, int]]:
+    """The plan with pieces shorter than ``below`` at their exact lengths, and the number of pieces of each size."""
+    width, shorts = capacity // grid, max(0, below - 1)
+    sizes = np.zeros(shorts + width, np.int64)
+    for length, n in lengths.items():
+        sizes[(length if length < below else shorts + -(-length // grid)) - 1] += n
+    full, sizes[-1] = int(sizes[-1]), 0
+    plan = assign(sizes[shorts:], width, sizes[:shorts] if shorts else None, grid)
+    counts = {k + 1: int(n) for k, n in enumerate(sizes) if n}
+    if full:
+        plan = Plan([*plan.rows, (shorts + width, 0, full, 1, plan.sequences)], plan.sequences + full)
+        counts[shorts + width] = full
+    return plan, counts
+
+
 def cut(tokens: DataFrame, capacity: int = CAPACITY, ids: str | None = "ids") -> DataFrame:
     """Pieces of at most ``capacity`` tokens: ``doc_id, start, length, doc_tokens``, and ``ids`` if there is such a column.
 
@@ -159,17 +207,15 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, grid: int = GRID, block_ro
     then by ``doc_id`` and ``start``; pieces equal in all of these are interchangeable. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    size = F.ceil(F.col("length") / grid).cast("int")
-    width = capacity // grid
-    kept = stage(pieces.withColumn("size", size).withColumn("turn", F.xxhash64("doc_id", "start")), "pieces")
-    histogram = {r.size: r.n for r in kept.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
-    demand = np.zeros(width, np.int64)
-    for k, n in histogram.items():
-        if k < width:
-            demand[k - 1] = n
-    plan = assign(demand, width)
-    full = int(histogram.get(width, 0))
-    rows = [*plan.rows, *([(width, 0, full, 1, plan.sequences)] if full else [])]
+    kept = stage(pieces.withColumn("turn", F.xxhash64("doc_id", "start")), "pieces")
+    lengths = {r.length: r.n for r in kept.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    below = min(SHORT, capacity // 16)
+    tried = [0, below] if any(n < below for n in lengths) else [0]
+    plans = [(planned(lengths, capacity, grid, k), k) for k in tried]
+    (plan, histogram), below = min(plans, key=lambda p: p[0][0].sequences)
+    rows = plan.rows
+    size = F.ceil(F.col("length") / grid) + max(0, below - 1)
+    kept = kept.withColumn("size", F.when(F.col("length") < below, F.col("length")).otherwise(size).cast("int"))
     # At most a row for each size of each pattern: bounded by the histogram, not by the pieces.
     table = spark.createDataFrame(rows, "size int, rank_from bigint, rank_to bigint, per_sequence bigint, first_sequence bigint")
     ranked = with_rank(kept, histogram, block_rows)

@@ -158,6 +158,19 @@ def test_blocks_and_other_sizes(spark):
     assert 1 - sum(p.length for p in placed) / (64 * len(filled)) < 0.06
 
 
+@pytest.mark.parametrize("length, pieces, least", [(1, 512, 1), (1, 5000, 2), (10, 4090, 10), (9, 4550, 10)])
+def test_short_pieces_are_packed_by_their_exact_lengths(spark, length, pieces, least):
+    tokens = spark.range(pieces).select(F.col("id").alias("doc_id"), F.lit(length).cast("bigint").alias("n_tokens"))
+    assert len(check_places(pack(cut(tokens, ids=None)).collect(), 4096)) == least
+
+
+def test_short_pieces_fill_the_room_of_longer_ones(spark):
+    # 300 pieces of 4000 leave 96 places each, which 9 pieces of 10 and one of 6 fill.
+    length = F.when(F.col("id") < 300, 4000).when(F.col("id") < 3000, 10).otherwise(6)
+    tokens = spark.range(3300).select(F.col("id").alias("doc_id"), length.cast("bigint").alias("n_tokens"))
+    assert len(check_places(pack(cut(tokens, ids=None)).collect(), 4096)) == 300
+
+
 def test_sequences_hold_the_ids_of_their_pieces(odd, spark):
     tokens = encode(odd.dropDuplicates(["doc_id"]))
     placed = pack(cut(tokens))
