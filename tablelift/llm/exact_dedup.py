@@ -3,7 +3,8 @@
 The key of a text is a 64-bit hash of its normalised form. A directory of ``2^depth`` slots points to buckets: a bucket
 that holds too many entries is split by one more bit of the key, which doubles the directory as far as needed
 (``directory``). An owner task writes each bucket to the shared folder, entries sorted by key (``build_index``).
-Texts with one key form a chain; members are told apart by comparing their bytes. Copies are folded inside the tasks
+Groups are found before that, by grouping on key, digest and bytes; the index is written from the finished rows, and
+where key and digest both clash a second grouping by the bytes tells texts apart. Copies are folded inside the tasks
 that read them before anything is shuffled, so a text that a third of all rows repeat reaches its owner as one row
 a task.
 """
