@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablelift.llm import language_id, quality
+from tablelift.llm.centroids import centroid_clusters, clusters_sql
 from tablelift.llm.encode import encode
 from tablelift.llm.exact_dedup import exact_duplicates
+from tablelift.llm.filter_audit import AUDIT_SQL, audit_filters
 from tablelift.llm.fingerprints import edited_fingerprints
 from tablelift.llm.mixing import MIX_SQL, mix
 from tablelift.llm.ngram_join import ngram_components
@@ -160,3 +162,13 @@ def quality_query(spark, folder):
     model = quality.learn(stats, table(spark, folder, "labels"), remainder(3) != 1)
     found = quality.score(stats, model)
     return found.select("doc_id", (remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
+@query("op11_filter_audit", AUDIT_SQL)
+def filter_audit_query(spark, folder):
+    return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_centroid_clusters", clusters_sql())
+def centroid_clusters_query(spark, folder):
+    return centroid_clusters(table(spark, folder, "embeddings"))
