@@ -17,6 +17,7 @@ from tablelift.llm.mixing import MIX_SQL, mix
 from tablelift.llm.ngram_join import ngram_components
 from tablelift.llm.packing import cut, pack
 from tablelift.llm.substring_dedup import remove_repeated
+from tablelift.llm.suffix_dedup import remove_repeats
 from tablelift.llm.text import whole_text, word_count
 from tablelift.llm.token_files import read_tokens, with_crc32, write_tokens
 from tablelift.llm.token_rollup import TokenRollup
@@ -169,6 +170,12 @@ def filter_audit_query(spark, folder):
     return audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@query("op12_suffix_dedup")
+def suffix_dedup_query(spark, folder):
+    found = remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op13_centroid_clusters", clusters_sql())
 def centroid_clusters_query(spark, folder):
     return centroid_clusters(table(spark, folder, "embeddings"))

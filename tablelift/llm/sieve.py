@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Bits of the filter, as a power of two (2 MB); it goes to every task whatever the input.
 FILTER_BITS = 24
+#: Values a task remembers, about 100 bytes each.
+MOST_SEEN = 1 << 18
 
 
 def filled(hashes: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -25,7 +27,7 @@ def sieve(rows: DataFrame, column: str, hashes: DataFrame, once: bool = False) -
     """The rows whose 64-bit ``column`` may be among ``hashes``; none that is among them is lost.
 
     The more hashes, the more other rows pass; a join must drop them. With ``once``, later rows of a value are
-    mostly dropped too, inside each task.
+    dropped too, inside each batch, and inside each task unless it has met more than ``MOST_SEEN`` values.
     """
     shared = rows.sparkSession.sparkContext.broadcast(filled(hashes))
     at = rows.columns.index(column)
@@ -35,12 +37,14 @@ def sieve(rows: DataFrame, column: str, hashes: DataFrame, once: bool = False) -
         for batch in batches:
             values = batch.column(at).to_numpy()
             slot = values & (len(table) * 64 - 1)
-            chosen = np.flatnonzero((table[slot >> 6] >> (slot & 63)) & 1).tolist()
-            if once:
-                chosen = [k for k in chosen if values[k] not in seen]
-                if len(seen) < 1 << 18:
-                    seen.update(values[chosen].tolist())
-            if chosen:
+            chosen = np.flatnonzero((table[slot >> 6] >> (slot & 63)) & 1)
+            if once and len(chosen):
+                new, first = np.unique(values[chosen], return_index=True)
+                unseen = np.array([v not in seen for v in new.tolist()], bool)
+                chosen = np.sort(chosen[first[unseen]])
+                if len(seen) < MOST_SEEN:
+                    seen.update(new[unseen].tolist())
+            if len(chosen):
                 yield batch.take(pa.array(chosen))
 
     return rows.mapInArrow(run, rows.schema)
