@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from catalogue.base import query, table
 from catalogue.columns import EVENT_TEXT, untidy_customers
 from tablelift.session import new_folder
-from tablelift.sinks import find_target, load
+from tablelift.sinks import find_target, load, register_target
+from tablelift.sinks.targets import FileTarget
+from tablelift.sinks.versions import Versions
 
 TIDY = """
     SELECT c_custkey AS id, c_name AS nombre, c_nationkey AS c_nation_key, c_acctbal AS saldo, c_mktsegment AS categoria
@@ -97,6 +99,44 @@ def load_upsert(spark, folder):
     return loaded(spark, (customer, {}), (changes, {"mode": "upsert", "keys": ["C_CUSTKEY"]}))
 
 
+class Unpublished(Versions):
+    def _publish(self, version):
+        raise RuntimeError("broken off")
+
+
+class BreaksBeforePublishing(FileTarget):
+    """A file target whose driver is lost when all files are written and the version is not yet published."""
+
+    def versions(self, spark, config, table):
+        return Unpublished(spark, self.folder(config, table), self.format)
+
+
+@query(
+    "load_upsert_broken",
+    """
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment FROM customer
+    UNION ALL
+    SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 50 = 0
+    """,
+)
+def load_upsert_broken(spark, folder):
+    """An upsert that breaks off when its files are written and the version is not yet published, and is done again."""
+    customer, key = table(spark, folder, "customer"), F.col("c_custkey")
+    changed = customer.filter(key % 3 == 0).withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    added = customer.filter(key % 50 == 0).withColumn("c_custkey", -1 - key)
+    place = {"path": new_folder(spark, "load"), "keys": ["c_custkey"]}
+    load(customer.repartitionByRange(4, "c_custkey"), "parquet", "copied", place)
+    target = find_target("parquet")
+    register_target("breaks_before_publishing", BreaksBeforePublishing("parquet"))
+    try:
+        load(changed.unionByName(added), "breaks_before_publishing", "copied", place, "upsert")
+    except RuntimeError:
+        if target.read(spark, place, "copied").count() != customer.count():
+            raise
+    load(changed.unionByName(added), "parquet", "copied", place, "upsert")
+    return target.read(spark, place, "copied")
+
+
 # The account balances of each nation fall into groups of equal latest_by, and of none.
 LATEST = """
     SELECT c_custkey % 100 AS k, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_nationkey % 4 END AS version, c_custkey AS v

@@ -166,8 +166,8 @@ class BreaksOnce(FileTarget):
         super().__init__("parquet")
         self.appends = 0
 
-    def append(self, df, config, table):
-        super().append(df, config, table)
+    def append(self, df, config, table, **more):
+        super().append(df, config, table, **more)
         self.appends += 1
         if self.appends == 3:
             raise RuntimeError("broken off")
@@ -257,7 +257,7 @@ def run_chunked_tables(spark, folder):
     return found
 
 
-@query("run_same_stem", "SELECT 'orders' AS of, * FROM orders WHERE o_orderkey < 100 UNION ALL SELECT 'half', * FROM orders WHERE o_orderkey < 100 AND o_orderkey % 2 = 0")
+@query("run_same_stem", "SELECT 'orders' AS of, * FROM orders UNION ALL SELECT 'half', * FROM orders WHERE o_orderkey % 2 = 0")
 def run_same_stem(spark, folder):
     """Queries over two folders of one name, side by side."""
     place = new_folder(spark, "stem")
@@ -266,7 +266,7 @@ def run_same_stem(spark, folder):
     config = {
         "extractions": [
             {"name": name, "source": "parquet", "config": {"path": f"{where}/orders.parquet"},
-             "query": "SELECT * FROM orders WHERE o_orderkey < :top", "params": {"top": 100}}
+             "query": "SELECT * FROM orders"}
             for name, where in [("orders", folder), ("half", place)]
         ],
         "loads": [copy_load(name, f"{place}/out") for name in ("orders", "half")],
@@ -310,3 +310,76 @@ def copy_report(spark, folder):
     _, control = broken_and_resumed(spark, folder)
     report = chunk_report(copy_counts(control, "orders"), COPY_CHUNK)
     return chunk_eta(report).drop("seconds", "elapsed", "eta_seconds")
+
+
+@query(
+    "copy_resume_null_key",
+    """
+    SELECT how, CASE WHEN o_orderkey > 0 THEN o_orderkey END AS k, o_totalprice AS price
+    FROM orders, (VALUES ('by marks'), ('by keys')) AS ways(how)
+    """,
+)
+def copy_resume_null_key(spark, folder):
+    """A key with one null, copied and broken off in the second wave: resumed by the target's marks, and by the keys in the target."""
+
+    class WithoutMarks(BreaksOnce):
+        def append(self, df, config, table):
+            super().append(df, config, table)
+
+    orders = table(spark, folder, "orders")
+    rows = orders.select(F.when(F.col("o_orderkey") > 0, F.col("o_orderkey")).alias("k"), F.col("o_totalprice").alias("price"))
+    found = None
+    for how, breaking in (("by marks", BreaksOnce()), ("by keys", WithoutMarks())):
+        place = new_folder(spark, "resume")
+        register_target("breaks_once", breaking)
+        copy = dict(
+            name="orders", table="orders", key=["k"], size=COPY_CHUNK, control=ControlTable(spark, f"{place}/control"),
+            config={"path": place}, waves=5,
+        )
+        breaking.appends = 1
+        try:
+            copy_in_chunks(rows, target="breaks_once", **copy)
+        except RuntimeError:
+            copy_in_chunks(rows, target="parquet", **copy)
+        copied = written(spark, place, "orders").select(F.lit(how).alias("how"), "k", "price")
+        found = copied if found is None else found.unionByName(copied)
+    return found
+
+
+@query(
+    "run_untidy_keys",
+    """
+    SELECT mode, c_custkey AS id_cliente, CASE WHEN mode = 'upsert' THEN upper(c_name) ELSE c_name END AS nombre
+    FROM customer, (VALUES ('upsert'), ('chunked'), ('stream')) AS modes(mode)
+    """,
+)
+def run_untidy_keys(spark, folder):
+    """Keys named as the source spells its headers, in upper case, with spaces or mapped, in every mode."""
+    place = new_folder(spark, "untidy")
+    customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("CLAVE CLIENTE"), F.col("c_name").alias("NOMBRE"))
+    customer.write.parquet(f"{place}/in")
+    customer.withColumn("NOMBRE", F.upper("NOMBRE")).write.parquet(f"{place}/changed")
+    mapping = {"CLAVE CLIENTE": "ID CLIENTE"}
+
+    def run(mode, source, name, **config):
+        load_of = {
+            "name": f"{name}_load", "source": name, "target": "parquet", "table": name,
+            "config": {"path": f"{place}/out", "column_mapping": mapping} | config,
+        }
+        if config.get("keys"):
+            load_of["mode"] = "upsert"
+        whole = {
+            "mode": mode, "control_path": f"{place}/control",
+            "extractions": [{"name": name, "source": "parquet", "config": {"path": f"{place}/{source}"}}], "loads": [load_of],
+        }
+        run_config(spark, whole)
+
+    run("batch", "in", "upsert", keys=["CLAVE CLIENTE"])
+    run("batch", "changed", "upsert", keys="ID_CLIENTE", latest_by="NOMBRE")
+    run("chunked", "in", "chunked", chunk_key="Clave Cliente", waves=2)
+    run("stream", "in", "stream", key="ID CLIENTE", checkpoint=f"{place}/checkpoint")
+    found = None
+    for mode in ("upsert", "chunked", "stream"):
+        copied = written(spark, f"{place}/out", mode).withColumn("mode", F.lit(mode))
+        found = copied if found is None else found.unionByName(copied)
+    return found

@@ -54,8 +54,8 @@ class BreaksInStream(FileTarget):
         super().__init__("parquet")
         self.appends = 0
 
-    def append(self, df, config, table):
-        super().append(df, config, table)
+    def append(self, df, config, table, **more):
+        super().append(df, config, table, **more)
         self.appends += 1
         if self.appends == 2:
             raise RuntimeError("broken off")

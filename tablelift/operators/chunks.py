@@ -119,12 +119,13 @@ class ChunkLimits:
         """Add the chunk number by a search in the limits; no row moves."""
         return self.key.position(df, self.starts, name).withColumn(name, (F.col(name) + 1).cast("bigint"))
 
+    def limits_of(self, first: int, last: int) -> tuple[tuple | None, tuple | None]:
+        """The keys from which and below which chunks ``first`` to ``last`` lie; None where a side is open."""
+        return self.starts[first - 2] if first > 1 else None, self.starts[last - 1] if last < self.chunks else None
+
     def within(self, first: int, last: int) -> Column:
         """The rows of chunks ``first`` to ``last`` as a key predicate for the scan."""
-        return self.key.between(
-            self.starts[first - 2] if first > 1 else None,
-            self.starts[last - 1] if last < self.chunks else None,
-        )
+        return self.key.between(*self.limits_of(first, last))
 
 
 def chunk_limits(df: DataFrame, ranges: KeyRanges, size: int) -> ChunkLimits:

@@ -26,6 +26,12 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], latest_by: str | None = No
     return picked.select("_row.*")
 
 
+def by_key(rows: DataFrame, others: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """The rows with (``left_semi``) or without (``left_anti``) their key among ``others``; here a null key equals a null key."""
+    r, o = rows.alias("r"), others.select(*[F.col(f"`{k}`") for k in key]).alias("o")
+    return r.join(o, [F.col(f"r.`{k}`").eqNullSafe(F.col(f"o.`{k}`")) for k in key], how)
+
+
 def upsert(existing: DataFrame, changes: DataFrame, keys: Sequence[str], latest_by: str | None = None) -> DataFrame:
     """``existing`` with ``changes`` applied: new keys are added and for known keys the new row wins.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 
 from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits, whole_part
 from tablelift.operators.control import ERROR, OK, STARTED, ControlTable
+from tablelift.operators.upsert import by_key
 from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
-from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
+from tablelift.sinks import checked_append, counted_write, find_target, fit_to, keeps_marks, shape_for_load
+from tablelift.sinks.versions import Mark
 
 # Rows that are committed together, unless told otherwise.
 COMMIT_ROWS = 10_000_000
@@ -48,6 +51,12 @@ class _Waves:
         first = (wave - 1) * self.per_wave + 1
         return first, min(first + self.per_wave - 1, self.chunks)
 
+    def mark(self, name: str, run_id: str, wave: int) -> Mark:
+        """Tells a wave by its key limits and rows, so that one of another plan is another wave."""
+        limits = self.limits.limits_of(wave, wave)
+        told = hashlib.sha256(f"{self.limits.key.names} {limits} {self.limits.rows_in(wave)}".encode()).hexdigest()
+        return Mark(name, run_id, told)
+
     def states(self, spark: SparkSession, wave: int) -> DataFrame:
         """Number, size and rows of the wave's chunks; all but the last chunk of a table are full."""
         first, last = self.chunks_of(wave)
@@ -78,11 +87,11 @@ def copy_in_chunks(
     ``commit_rows`` rows (one at least), or, with ``waves``, an equal share of the chunks. The driver holds the limits
     of the waves.
 
-    An open run of the same name is taken up again. Waves whose chunks are OK and whose rows are all
-    in the target are left out; in the others, rows that arrived before the copy broke are found by
-    their key and not copied again. Rows of the target that are not in ``df`` do not count. The target is emptied only when a run starts afresh, and a fresh
-    run refuses a target that already has some of its keys. A finished run is closed; the next call
-    starts a new one. The chunk size of an open run cannot change.
+    An open run of the same name is taken up again. A target that keeps marks tells which waves it holds, so that a resume
+    reads none of its rows; a wave is there as a whole or not at all. Of other targets, and where the plan of the waves has changed, rows that
+    arrived before the copy broke are found by their key, nulls included, and not copied again. Rows of the target that are not in ``df``
+    do not count. The target is emptied only when a run starts afresh, and a fresh run refuses a target that already has some of its keys. A
+    finished run is closed; the next call starts a new one. The chunk size of an open run cannot change.
     """
     config = config or {}
     place, spark = find_target(target), df.sparkSession
@@ -93,9 +102,12 @@ def copy_in_chunks(
     plan = _plan_waves(shaped, key, size, waves, commit_rows)
     run_id, done = _open_run(control, name, plan)
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
+    marked = keeps_marks(place)
     arrived: dict[int, int] = {}
     if there and resumed:
-        arrived = _rows_per_wave(shaped, place.read(spark, config, table), plan)
+        arrived = _marked_waves(place, config, table, spark, plan, name, run_id, done) if marked else None
+        if arrived is None:
+            arrived = _rows_per_wave(shaped, place.read(spark, config, table), plan)
     elif there:
         _make_room(shaped, key, place, config, table)
     if not there:
@@ -109,13 +121,18 @@ def copy_in_chunks(
         states = plan.states(spark, wave).withColumns({"extraction_name": F.lit(name), "table_name": F.lit(table)})
         control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(STARTED)}))
         try:
-            if arrived.get(wave):
-                there_now = place.read(spark, config, table).filter(plan.limits.within(wave, wave)).select(*key)
-                rows = rows.join(there_now, list(key), "left_anti").select(*shaped.columns)
-                expected -= arrived[wave]
-            appended = counted_write(rows, lambda wave_rows: place.append(wave_rows, config, table))
-            if appended != expected:
-                raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
+            if arrived.get(wave) == expected:
+                pass  # it broke off before the state was saved
+            elif marked and not arrived.get(wave):
+                checked_append(rows, place, config, table, plan.mark(name, run_id, wave), expected)
+            else:
+                if arrived.get(wave):
+                    there_now = place.read(spark, config, table).filter(plan.limits.within(wave, wave))
+                    rows = by_key(rows, there_now, key, "left_anti")
+                    expected -= arrived[wave]
+                appended = counted_write(rows, lambda wave_rows: place.append(wave_rows, config, table))
+                if appended != expected:
+                    raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
         except Exception:
             control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(ERROR)}))
             raise
@@ -135,15 +152,23 @@ def _make_room(shaped: DataFrame, key: Sequence[str], place, config: Mapping[str
     if as_bool(config.get("truncate_before_load", False)):
         place.refill(shaped.limit(0), config, table)
         return
-    old = place.read(shaped.sparkSession, config, table).select(*key)
-    if not old.join(shaped.select(*key), list(key), "left_semi").isEmpty():
+    if not by_key(place.read(shaped.sparkSession, config, table), shaped, key, "left_semi").isEmpty():
         raise ValueError(f"{table} already has rows with these keys; set truncate_before_load to copy afresh")
 
 
+def _marked_waves(place, config, table, spark, plan: _Waves, name: str, run_id: str, done: set[int]) -> dict[int, int] | None:
+    """The rows of the waves that the target holds by its marks; None if its marks do not tell all of this plan's waves."""
+    held = {mark for mark in place.marks(spark, config, table) if (mark.owner, mark.run) == (name, run_id)}
+    waves = {plan.mark(name, run_id, wave): wave for wave in range(1, plan.limits.chunks + 1)}
+    if not held or not held <= waves.keys() or not done <= {waves[mark] for mark in held}:
+        return None
+    return {waves[mark]: plan.limits.rows_in(waves[mark]) for mark in held}
+
+
 def _rows_per_wave(source: DataFrame, target: DataFrame, plan: _Waves) -> dict[int, int]:
     """How many of the source's rows the target has, by their keys, for each wave."""
     key = plan.limits.key.names
-    arrived = source.select(*key).join(target.select(*key), key, "left_semi")
+    arrived = by_key(source.select(*key), target, key, "left_semi")
     counts = plan.limits.number(arrived, "wave").groupBy("wave").agg(F.count(F.lit(1)).alias("rows"))
     return {row["wave"]: row["rows"] for row in counts.collect()}
 

@@ -15,7 +15,7 @@ from tablelift.operators.control import OK, ControlTable
 from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.settings import REPEATED, as_bool, as_size, check_config, expand_settings
 from tablelift.session import shared_folder, stage
-from tablelift.sinks import load, supported_targets
+from tablelift.sinks import load, shape_for_load, supported_targets, target_names
 from tablelift.sources import DATABASES, read_source, row_count, supported_sources
 from tablelift.streaming import stream_load
 
@@ -169,12 +169,12 @@ def _run_streams(spark, config, extraction, wanted, steps) -> None:
         for needed in ("checkpoint", "key"):
             if not own.get(needed):
                 raise ValueError(f"a streamed load needs {needed!r} in its config")
-        label, key = entry.get("name", "unnamed"), own["key"]
+        label = entry.get("name", "unnamed")
         control = ControlTable(spark, _control_path(spark, config))
         before = _stream_rows(control, label)
         stream_load(
             spark, settings["path"], schemas[0], entry.get("target"), entry["table"], own["checkpoint"], control,
-            key if isinstance(key, list) else [key], own, name=label,
+            target_names(own, "key"), own, name=label,
         )
         return _stream_rows(control, label) - before
 
@@ -213,21 +213,48 @@ def _load_one(config, mode, extraction, entry, rows: DataFrame) -> int:
 
 def _load_chunked(config, extraction, entry, rows: DataFrame) -> int:
     spark, settings = rows.sparkSession, entry.get("config") or {}
-    key = settings.get("chunk_key")
+    key = target_names(settings, "chunk_key")
     if not key:
         raise ValueError("a chunked load needs a unique 'chunk_key' in its config")
     size = as_size((extraction.get("config") or {}).get("batch_size", 100_000), "batch_size")
     more = {n: as_size(settings[n], n) for n in ("waves", "commit_rows") if settings.get(n)}
     done = copy_in_chunks(
-        rows, entry.get("name", "unnamed"), entry["table"], key if isinstance(key, list) else [key], size,
+        rows, entry.get("name", "unnamed"), entry["table"], key, size,
         ControlTable(spark, _control_path(spark, config)), entry.get("target"), settings, **more,
     )
     return done.rows
 
 
 def problems(spark: SparkSession, config: Mapping[str, Any]) -> DataFrame:
-    """The configuration's problems as rows, before anything runs."""
+    """The configuration's problems as rows, before anything runs.
+
+    Besides what :func:`check_config` finds in the text, the headers of each extraction are looked up, and keys that a load names but would
+    not have are told, as are headers that do not fit together. No rows are read.
+    """
     found = check_config(config, supported_sources(), supported_targets())
+    bad = {name for name, _ in found}
+    extractions = {e.get("name", "unnamed"): e for e in config.get("extractions") or []}
+    hooked = as_bool((config.get("transformations") or {}).get("enabled", False))  # a hook may change the headers
+    for name, extraction in extractions.items():
+        loads = [entry for entry in config.get("loads") or [] if entry.get("source") == name]
+        if name in bad or hooked or not loads:
+            continue
+        try:
+            rows = read_source(spark, extraction.get("source"), extraction.get("config"), extraction.get("query"), extraction.get("params"))
+        except Exception as error:
+            found.append((name, f"the source cannot be read: {type(error).__name__}"))
+            continue
+        for entry in loads:
+            settings, label = entry.get("config") or {}, entry.get("name", "unnamed")
+            try:
+                columns = shape_for_load(rows, settings).columns
+            except ValueError as error:
+                found.append((label, str(error)))
+                continue
+            for setting in ("keys", "latest_by", "chunk_key", "key"):
+                unknown = [n for n in target_names(settings, setting) if n not in columns]
+                if unknown:
+                    found.append((label, f"{setting}: no column {', '.join(unknown)}"))
     return spark.createDataFrame(found, "name string, problem string")
 
 

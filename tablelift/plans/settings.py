@@ -9,6 +9,8 @@ from typing import Any
 # Fixed value: how a variable is written.
 VARIABLE = re.compile(r"\$\{(\w+)\}")
 TRUE_WORDS = {"true", "yes", "on", "1"}
+# What a load's config must have in a mode.
+NEEDED = {"chunked": ("chunk_key",), "stream": ("checkpoint", "key")}
 REPEATED = "the name is used by several extractions"
 FALSE_WORDS = {"false", "no", "off", "0", ""}
 
@@ -64,4 +66,8 @@ def check_config(
             found.append((name, f"unknown target {load.get('target')!r}"))
         if load.get("source") not in names:
             found.append((name, f"the extraction {load.get('source')!r} does not exist"))
+        needed = NEEDED.get(config.get("mode", "batch"), ())
+        if load.get("mode") == "upsert" and not needed:
+            needed = ("keys",)
+        found += [(name, f"the load's config needs {setting!r}") for setting in needed if not (load.get("config") or {}).get(setting)]
     return found

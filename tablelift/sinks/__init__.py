@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import inspect
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation
@@ -20,6 +21,7 @@ from tablelift.operators.upsert import one_per_key, upsert
 from tablelift.plans.settings import as_bool
 from tablelift.session import stage
 from tablelift.sinks.targets import CatalogTarget, FileTarget, JdbcTarget, Target, ViewTarget
+from tablelift.sinks.versions import Mark
 
 MODES = ("insert", "upsert", "replace")
 
@@ -65,6 +67,18 @@ def shape_for_load(df: DataFrame, config: Mapping[str, Any]) -> DataFrame:
     return cast_all_text(df) if policy == "text" else cast_for_target(df)
 
 
+def target_names(config: Mapping[str, Any], setting: str) -> list[str]:
+    """The columns that a setting names, one or a list, as the target calls them: cleaned and mapped as the headers are."""
+    given = config.get(setting) or []
+    given = [given] if isinstance(given, str) else list(given)
+    if not as_bool(config.get("clean_names", True)):
+        names = given
+    else:
+        names = [clean_name(name) for name in given]
+    mapping = {clean_name(old): clean_name(new) for old, new in (config.get("column_mapping") or {}).items()}
+    return [mapping.get(clean_name(name), name) for name in names]
+
+
 def fit_to(df: DataFrame, existing: DataFrame, cast: bool = True, fill: bool = True) -> DataFrame:
     """Columns in the target's order and types; a column that the target does not know is an error.
 
@@ -87,12 +101,30 @@ def fit_to(df: DataFrame, existing: DataFrame, cast: bool = True, fill: bool = T
 
 
 def counted_write(df: DataFrame, write) -> int:
-    """Run ``write`` on ``df`` and return the rows that went through it, without a second pass."""
+    """Run ``write`` on ``df`` and return the rows that went through it, without a second pass; 0 if it says False, which means none."""
     seen = Observation()
-    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    if write(df.observe(seen, F.count(F.lit(1)).alias("rows"))) is False:
+        return 0
     return seen.get.get("rows", 0)
 
 
+def checked_append(df: DataFrame, place: Target, config: Mapping[str, Any], table: str, mark: Mark, expected: int) -> bool:
+    """Append exactly ``expected`` rows under a mark; other numbers are refused before any row counts. Whether rows were written."""
+    seen = Observation()
+
+    def check() -> None:
+        if seen.get.get("rows", 0) != expected:
+            raise RuntimeError(f"{seen.get.get('rows', 0)} rows instead of {expected}: the source has changed")
+
+    return place.append(df.observe(seen, F.count(F.lit(1)).alias("rows")), config, table, mark=mark, check=check)
+
+
+def keeps_marks(place: Target) -> bool:
+    """Whether a target's ``append`` takes the mark of a write that must not be repeated."""
+    taken = inspect.signature(place.append).parameters
+    return hasattr(place, "marks") and ("mark" in taken or any(p.kind is p.VAR_KEYWORD for p in taken.values()))
+
+
 def load(
     df: DataFrame,
     target: str,
@@ -128,16 +160,16 @@ def load(
 
 
 def _load_upsert(shaped: DataFrame, place: Target, config: Mapping[str, Any], table: str) -> int:
-    """Merge into a staged copy first, so the target is never read while it is written; returns the rows given.
+    """Work the changes out once and merge them; returns the rows given.
 
-    The changes are worked out once. In a file target only the files that hold a changed key are written anew; other
-    targets are refilled. The staged rows stay in the shared folder until its owner clears it: should the write to
-    the target break off, they are all rows that were to be written.
+    A file target writes the files that hold a changed key anew, as its next version. Other targets are merged into a staged copy and
+    refilled. The staged rows stay in the shared folder until its owner clears it: should the write to the target break off, they are all
+    rows that were to be written.
     """
-    keys: Sequence[str] = [clean_name(k) for k in config.get("keys") or ()]
+    keys = target_names(config, "keys")
     if not keys:
         raise ValueError("an upsert needs 'keys' in the load's config")
-    spark, latest_by = shaped.sparkSession, config.get("latest_by")
+    spark, latest_by = shaped.sparkSession, next(iter(target_names(config, "latest_by")), None)
     there = place.exists(spark, config, table)
     changes = shaped if not there else fit_to(shaped, place.read(spark, config, table), fill=False)
     seen = Observation()
@@ -145,10 +177,8 @@ def _load_upsert(shaped: DataFrame, place: Target, config: Mapping[str, Any], ta
     rows = seen.get.get("rows", 0)
     if not there:
         place.create(one_per_key(changes, keys, latest_by), config, table)
-    elif rows and isinstance(place, FileTarget):
-        files = place.files_with(spark, config, table, changes.select(*keys).distinct())
-        old = place.read_files(spark, config, table, files) if files else place.read(spark, config, table).limit(0)
-        place.put_for(stage(upsert(old, changes, keys, latest_by), "upsert"), config, table, files)
+    elif rows and hasattr(place, "merge"):
+        place.merge(changes, config, table, keys, latest_by)
     elif rows:
         place.refill(stage(upsert(place.read(spark, config, table), changes, keys, latest_by), "upsert"), config, table)
     return rows

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tablelift.session import has_files, new_folder
+from tablelift.operators.upsert import upsert
+from tablelift.session import new_folder
+from tablelift.sinks.versions import Mark, Part, Version, Versions
 from tablelift.sources.jdbc import jdbc_options, read_jdbc
 
 DEFAULT_BATCH = 5_000
@@ -66,7 +68,10 @@ def _writer(df: DataFrame, config: Mapping[str, Any]):
 
 
 class FileTarget:
-    """One folder of files per table below ``path``."""
+    """One folder of files per table below ``path``, loaded by versions: see :mod:`tablelift.sinks.versions`.
+
+    A load is seen as a whole or not at all, and readers keep the version they started with.
+    """
 
     casts_itself = False
 
@@ -76,48 +81,90 @@ class FileTarget:
     def folder(self, config: Mapping[str, Any], table: str) -> str:
         return f"{str(config['path']).rstrip('/')}/{table}"
 
+    def versions(self, spark, config, table) -> Versions:
+        return Versions(spark, self.folder(config, table), self.format)
+
     def exists(self, spark, config, table) -> bool:
-        return has_files(spark, self.folder(config, table))
+        return self.versions(spark, config, table).found() is not None
 
     def read(self, spark, config, table) -> DataFrame:
-        return spark.read.format(self.format).load(self.folder(config, table))
-
-    def _save(self, df, config, table, mode: str) -> None:
-        _writer(df, config).format(self.format).mode(mode).save(self.folder(config, table))
+        versions = self.versions(spark, config, table)
+        version = versions.current()
+        if version is None:
+            return spark.read.format(self.format).load(versions.folder)
+        return versions.read(version)
+
+    def _load(self, df, config, table, change, check=None) -> None:
+        """Write ``df`` and publish ``change(known version, part)``; what is not published is removed again."""
+        versions = self.versions(df.sparkSession, config, table)
+        part = versions.write(df, {k: str(v) for k, v in (config.get("options") or {}).items()})
+        published = None
+        try:
+            if check:
+                check()
+            published = versions.commit(lambda known: change(known, part))
+        finally:
+            if published is None or part not in published.parts:
+                versions.drop(part)
 
     def create(self, df, config, table) -> None:
-        if self.exists(df.sparkSession, config, table):
-            raise FileExistsError(f"{self.folder(config, table)} already holds a table")
-        self._save(df, config, table, "append")  # the folder may be there without files; nothing is ever removed
+        def made(known, part):
+            if known is not None:
+                raise FileExistsError(f"{self.folder(config, table)} already holds a table")
+            return Version(1, df.schema.json(), (part,))
 
-    def replace(self, df, config, table) -> None:
-        self._save(df, config, table, "overwrite")
+        self._load(df, config, table, made)
 
-    def append(self, df, config, table) -> None:
-        self._save(df, config, table, "append")
+    def replace(self, df, config, table) -> None:
+        self._load(df, config, table, lambda _, part: Version(1, df.schema.json(), (part,)))
 
     def refill(self, df, config, table) -> None:
-        self.replace(df, config, table)
+        self._load(df, config, table, lambda known, part: Version(1, known.schema if known else df.schema.json(), (part,)))
+
+    def append(self, df, config, table, mark: Mark | None = None, check: Callable[[], None] | None = None) -> bool:
+        """Add rows. A write whose ``mark`` has arrived is left out, which the result tells; ``check`` may refuse the rows once they are written."""
+
+        def added(known, part):
+            known = known or Version(0, df.schema.json(), ())
+            return None if mark in known.marks else known.with_part(part, mark)
 
-    def files_with(self, spark, config, table, keys: DataFrame) -> list[str]:
-        """The table's files that hold one of ``keys``, a frame of key columns."""
-        existing = self.read(spark, config, table).withColumn("_file", F.col("_metadata.file_path"))
-        found = existing.join(keys, keys.columns, "left_semi").select("_file").distinct()
-        return sorted(row["_file"] for row in found.collect())
-
-    def read_files(self, spark, config, table, files: list[str]) -> DataFrame:
-        """The rows of some of the table's files."""
-        everything = self.read(spark, config, table)
-        folder = self.folder(config, table)
-        return spark.read.format(self.format).schema(everything.schema).option("basePath", folder).load(files)
-
-    def put_for(self, df, config, table, files: list[str]) -> None:
-        """Add ``df`` to the table and then remove ``files``, whose rows it has taken over."""
-        self.append(df, config, table)
-        jvm, settings = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        for name in files:
-            place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
-            place.getFileSystem(settings).delete(place, False)
+        if mark is not None and mark in self.marks(df.sparkSession, config, table):
+            return False
+        self._load(df, config, table, added, check)
+        return True
+
+    def marks(self, spark, config, table) -> frozenset[Mark]:
+        """The marks of the writes that the table holds."""
+        known = self.versions(spark, config, table).current()
+        return known.marks if known else frozenset()
+
+    def merge(self, changes, config, table, keys: Sequence[str], latest_by: str | None = None) -> None:
+        """Upsert ``changes``, which can be read several times. Files without a changed key stay as they are; the rows of the others are written
+        once, into the files of the next version."""
+        versions = self.versions(changes.sparkSession, config, table)
+        options = {k: str(v) for k, v in (config.get("options") or {}).items()}
+        written: list[Part] = []
+
+        def merged(known):
+            parts, hit = versions.holding(known, changes, keys)
+            paths = [f"{versions.folder}/{p.at}/{n}" if p.at else f"{versions.folder}/{n}" for p, names in zip(parts, hit, strict=True) for n in names]
+            old = versions.read(known, paths) if paths else changes.limit(0)
+            written.append(versions.write(upsert(old, changes, keys, latest_by), options))
+            left = [replace(p, without=p.without | frozenset(names)) for p, names in zip(parts, hit, strict=True)]
+            some = [p for p, names in zip(left, hit, strict=True) if not names or not p.at or versions.names(p)]
+            return known.with_parts([*some, written[-1]])
+
+        published = None
+        try:
+            published = versions.commit(merged)
+        finally:
+            for part in written:
+                if published is None or part not in published.parts:
+                    versions.drop(part)
+
+    def clean(self, spark, config, table, keep: int = 1) -> int:
+        """Remove the files that none of the last ``keep`` versions holds; returns how many."""
+        return self.versions(spark, config, table).clean(keep)
 
 
 class CatalogTarget:

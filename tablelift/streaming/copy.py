@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.operators.control import OK, STARTED, ControlTable
-from tablelift.sinks import counted_write, find_target, fit_to, shape_for_load
+from tablelift.operators.upsert import by_key
+from tablelift.sinks import counted_write, find_target, fit_to, keeps_marks, shape_for_load
+from tablelift.sinks.versions import Mark
 
 QUERY, BATCH = "copy_query", "copy_batch"
 FILES_PER_BATCH = 1_000
@@ -75,8 +78,8 @@ def stream_load(
     """Load all files that are new in ``source`` into a table of any target and stop; returns the batches.
 
     Each batch is a chunk of the control table. It is STARTED before its rows are written and OK
-    afterwards; a batch that is repeated is left out if it is OK, and if it only STARTED, the rows
-    that arrived are found by their unique ``key`` and not written again.
+    afterwards; a batch that is repeated is left out if it is OK. If it only STARTED, a target that keeps marks
+    tells whether it holds the batch; of others, the rows that arrived are found by their unique ``key``, null included, and not written again.
     """
     config = config or {}
     place = find_target(target)
@@ -89,15 +92,23 @@ def stream_load(
             return
         if state is None:
             control.save_chunk(checkpoint, name, table, chunk, 0, 0, STARTED)
-        there = place.exists(session, config, table)
-        rows = fit_to(batch, place.read(session, config, table), cast=not place.casts_itself) if there else batch
-        arrived = 0
-        if there and state is not None:
-            keys = place.read(session, config, table).select(*key).join(batch.select(*key), list(key), "left_semi")
-            arrived = keys.count()
-            rows = rows.join(keys, list(key), "left_anti").select(*rows.columns) if arrived else rows
-        put = place.append if there else place.create
-        size = arrived + counted_write(rows, lambda batch_rows: put(batch_rows, config, table))
+        there, mark = place.exists(session, config, table), Mark(f"stream {name} {checkpoint}", str(number))
+        marked = keeps_marks(place)
+        if marked and there and mark in place.marks(session, config, table):
+            size = batch.count()  # it broke off before the state was saved
+        else:
+            if marked and not there:
+                place.create(batch.limit(0), config, table)
+            rows = batch
+            if marked or there:
+                rows = fit_to(batch, place.read(session, config, table), cast=not place.casts_itself)
+            arrived = 0
+            if there and state is not None:
+                old = place.read(session, config, table)
+                arrived = by_key(old, batch, key, "left_semi").count()
+                rows = by_key(rows, old, key, "left_anti") if arrived else rows
+            put = partial(place.append, mark=mark) if marked else place.append if there else place.create
+            size = arrived + counted_write(rows, lambda batch_rows: put(batch_rows, config, table))
         control.save_chunk(checkpoint, name, table, chunk, size, size)
 
     return _run_to_end(shaped, write, checkpoint)
