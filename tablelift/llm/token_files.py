@@ -8,6 +8,7 @@ metadata columns are delta encoded. Small pages and row groups, with the page in
 from __future__ import annotations
 
 import zlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -47,21 +48,19 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
     def run(batches):
         part, at = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for row, packed in encode_column(batch.column(1), path, end_id):
-                sizes = np.array([len(p) // 4 for p in packed], np.int64)
-                ends = np.cumsum(sizes)
-                ids = pa.array(np.frombuffer(b"".join(packed), "<i4"))
+            for row, ids, offsets in encode_column(batch.column(1), path, end_id):
+                n = len(offsets) - 1
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(row, len(packed)),
-                        pa.array(np.full(len(packed), part, np.int32)),
-                        pa.array(ends - sizes + at),
-                        pa.array(sizes),
-                        pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), ids),
+                        batch.column(0).slice(row, n),
+                        pa.array(np.full(n, part, np.int32)),
+                        pa.array(offsets[:-1] + at),
+                        pa.array(np.diff(offsets)),
+                        pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.view(np.int32))),
                     ],
                     names=["doc_id", "part", "local_start", "n_tokens", "ids"],
                 )
-                at += int(ends[-1])
+                at += len(ids)
 
     texts = docs.select("doc_id", whole_text().alias("text"))
     dealt = texts.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -87,7 +86,10 @@ def with_crc32(tokens: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sums = [zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in batch.column(3)]
+            column = batch.column(3)
+            content = memoryview(column.values.to_numpy().astype("<i4", copy=False)).cast("B")
+            offsets = (4 * column.offsets.to_numpy().astype(np.int64)).tolist()
+            sums = [zlib.crc32(content[a:b]) for a, b in pairwise(offsets)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
             )

@@ -1,7 +1,9 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -32,8 +34,7 @@ AWKWARD = [
 ]
 
 
-def test_words_give_the_ids_of_whole_texts(docs_of, whole, monkeypatch):
-    monkeypatch.setattr(encoding, "CHUNK", 50)
+def test_words_give_the_ids_of_whole_texts(docs_of, whole):
     df = docs_of(AWKWARD + [None, "", " \n"])
     for row, text in zip(encode(df).orderBy("doc_id").collect(), [*AWKWARD, None, "", " \n"], strict=True):
         assert unpacked(row.ids) == whole(text), text
@@ -50,11 +51,33 @@ def test_documents_have_the_ids_of_whole_texts(spark, small, whole):
 
 
 def test_a_full_store_of_words_starts_afresh(monkeypatch):
-    monkeypatch.setattr(encoding, "KEPT_WORDS", 3)
+    monkeypatch.setattr(encoding, "KEPT_PIECES", 3)
     own = encoding.Encoder(tokenizer_path())
     for text in [b"a b c", b"d e a b", b"a"]:
         ids = own.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-        assert unpacked(own.packed([text], None)[0]) == ids
+        assert own.flat(np.frombuffer(text, np.uint8), np.array([0, len(text)]), None)[0].tolist() == ids
+
+
+def test_random_strings_give_the_ids_of_whole_texts(whole):
+    rng = random.Random(17)
+    parts = ["It's", "we'LL", "''s", "\"'t", "x'y", "ÀÉß×÷ÿ", "Ã", "é", "e\u0301", "<|", "<|endoftext|>", "<", "|", "12", "a1B2", "--", "漢", "\x00", "\x7f", "Zoë's", "ÿÀ9", " ", "\n", "\t", "\x85", "\xa0", "ŉ", "ſ", "K"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    found = []
+    for _, ids, offsets in encoding.encode_column(pa.array(texts), tokenizer_path(), END_ID):
+        found += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+    assert found == [whole(t) for t in texts]
+
+
+def test_runs_and_long_words(whole):
+    """Texts side by side, empty ones, words too long to keep, one text of several pieces."""
+    texts = ["", "one two", " ", "x" * 65 + " one " + "y" * 300 + " " + "x" * 65, "é" * 40 + " <|endoftext|>" * 3, "", "two\n"]
+    texts += ["long " * 5 + "w" * 1_200_000 + " word " * 250_000 + "é" * 700_000, "last one", "", ""]
+    column = pa.array(["cut off", *texts])[1:]
+    found = []
+    for row, ids, offsets in encoding.encode_column(column, tokenizer_path(), END_ID):
+        assert row == len(found)
+        found += [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:], strict=False)]
+    assert found == [whole(t) for t in texts]
 
 
 def test_files_round_trip(odd, spark, whole):
