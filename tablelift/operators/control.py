@@ -1,13 +1,16 @@
 """The control table: one row per run, extraction and chunk, with its state.
 
 Rows are only ever appended; :func:`current_status` folds the history to one row per chunk. Saving
-the state of a chunk so costs one small file instead of rewriting the table, and a writer that dies
-half-way leaves the earlier states readable.
+the state of chunks so costs one small file instead of rewriting the table, and a writer that dies
+half-way leaves the earlier states readable. A copy saves its waves as ranges of chunks, one line each without a
+Spark job; the files of a run are folded as they grow, and closed runs are moved to an archive.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -88,23 +91,94 @@ def remaining_chunks(plan: DataFrame, control: DataFrame) -> DataFrame:
     return plan.join(done, "chunk_number", "left_anti")
 
 
+# A state of neighbouring chunks; ``rows`` are those of a single chunk, null where they follow from the sizes.
+RANGE_SCHEMA = (
+    "run_id string, extraction_name string, table_name string, first_chunk long, last_chunk long, chunk_size long, "
+    "total_rows long, rows long, status string, at long"
+)
+# Files of one run after which they are folded, and closed runs after which they are archived.
+FOLD_AT, ARCHIVE_AT = 100, 100
+LATEST, CLOSED, ARCHIVE, COVERED = "_latest", "_closed", "archive-", "_covered-"
+
+
+def as_states(ranges: DataFrame) -> DataFrame:
+    """Ranges of chunks as control rows; only the last chunk of a table is not full, and only finished chunks have rows."""
+    left = F.col("total_rows") - (F.col("chunk_number") - 1) * F.col("chunk_size")
+    full = F.greatest(F.least(F.col("chunk_size"), left), F.lit(0).cast("bigint"))
+    at = F.timestamp_micros("at")
+    values = {
+        "rows_loaded": F.coalesce("rows", F.when(F.col("status") == OK, full).otherwise(0)), "created_at": at, "updated_at": at,
+    }
+    each = ranges.withColumn("chunk_number", F.explode(F.sequence("first_chunk", "last_chunk"))).withColumns(values)
+    return each.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
+
+
+def folded(ranges: list[dict]) -> list[dict]:
+    """Of each range of chunks its first state, its last one, and when it was started last."""
+    kept: dict[tuple, dict[str, dict]] = {}
+    for state in sorted(ranges, key=lambda r: (r["at"], r["status"] == OK)):
+        own = kept.setdefault((state["run_id"], state["extraction_name"], state["first_chunk"], state["last_chunk"]), {})
+        own.setdefault("first", state)
+        own["last"] = state
+        if state["status"] == STARTED:
+            own["started"] = state
+    out = []
+    for own in kept.values():
+        out += [state for k, state in enumerate(own.values()) if state not in list(own.values())[:k]]
+    return out
+
+
 class ControlTable:
-    """Control rows kept as Parquet files below a folder.
+    """Control rows kept as files below a folder.
 
-    Every save writes a folder of its own below that of its run, so that jobs which save at the same time do not
-    meet, and the states of one run are found without listing those of others.
+    Every save writes a file of its own below the folder of its run, so that jobs which save at the same time do not
+    meet, and the states of one run are found without listing those of others. A note for each extraction names its latest run.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
         make_folder(spark, self.path)
+        self._saved: dict[str, int] = {}
+
+    # -- files
+
+    def _place(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _system(self):
+        return self._place(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _list(self, folder: str) -> list[str]:
+        system, place = self._system(), self._place(folder)
+        return sorted(entry.getPath().getName() for entry in system.listStatus(place)) if system.exists(place) else []
+
+    def _put(self, name: str, text: str) -> None:
+        stream = self._system().create(self._place(name), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def _text(self, name: str) -> str:
+        stream = self._system().open(self._place(name))
+        try:
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    @staticmethod
+    def _hashed(name: str) -> str:
+        return hashlib.md5(name.encode(), usedforsecurity=False).hexdigest()
 
     def _run_folder(self, run_id: str) -> str:
-        return f"{self.path}/run={hashlib.md5(run_id.encode(), usedforsecurity=False).hexdigest()}"
+        return f"{self.path}/run={self._hashed(run_id)}"
 
-    def _read(self, folder: str) -> DataFrame:
-        return self.spark.read.schema(CONTROL_SCHEMA).option("recursiveFileLookup", "true").parquet(folder)
+    # -- reading
+
+    def _read(self, *folders: str) -> DataFrame:
+        reader = self.spark.read.option("recursiveFileLookup", "true")
+        rows = reader.schema(CONTROL_SCHEMA).option("pathGlobFilter", "*.parquet").parquet(*folders)
+        ranges = reader.schema(RANGE_SCHEMA).option("pathGlobFilter", "*.json").json(list(folders))
+        return rows.unionByName(as_states(ranges))
 
     def history(self) -> DataFrame:
         return self._read(self.path)
@@ -113,10 +187,14 @@ class ControlTable:
         return current_status(self.history())
 
     def of_run(self, run_id: str, extraction: str) -> DataFrame:
-        """The chunks of one run; only its folder is read, and the filter reaches the scan."""
-        folder = self._run_folder(run_id)
-        make_folder(self.spark, folder)
-        own = current_status(self._read(folder))
+        """The chunks of one run; only its folder is read, or the archive, and the filter reaches the scan."""
+        folders = [self._run_folder(run_id)]
+        if not self._system().exists(self._place(folders[0])):
+            folders = [f"{self.path}/{name}" for name in self._list(self.path) if name.startswith(ARCHIVE)]
+        if not folders:  # a run that has not begun
+            folders = [self._run_folder(run_id)]
+            make_folder(self.spark, folders[0])
+        own = current_status(self._read(*folders))
         return own.filter((F.col("run_id") == run_id) & (F.col("extraction_name") == extraction))
 
     def status_of(self, run_id: str, extraction: str, chunk: int) -> str | None:
@@ -128,6 +206,8 @@ class ControlTable:
         """The highest chunk in state OK of the extraction's latest run; 0 if there is none."""
         return last_chunk(latest_run(self.current(), extraction), extraction).first()[0]
 
+    # -- saving
+
     def save(self, run_id: str, chunks: DataFrame) -> None:
         """Append states of one run: ``chunks`` has the control columns but ``run_id`` and the two times."""
         now = F.current_timestamp()
@@ -135,11 +215,82 @@ class ControlTable:
         fitted = stamped.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
         fitted.write.parquet(f"{self._run_folder(run_id)}/{uuid.uuid4().hex}")
 
+    def save_range(
+        self, run_id: str, extraction: str, table: str, first: int, last: int, size: int, total: int, status: str = OK,
+        rows: int | None = None,
+    ) -> None:
+        """Append one state for the chunks ``first`` to ``last`` of a table of ``total`` rows."""
+        state = {
+            "run_id": run_id, "extraction_name": extraction, "table_name": table, "first_chunk": first, "last_chunk": last,
+            "chunk_size": size, "total_rows": total, "rows": rows, "status": status, "at": time.time_ns() // 1000,
+        }
+        folder = self._run_folder(run_id)
+        self._put(f"{folder}/{state['at']:020d}-{uuid.uuid4().hex}.json", json.dumps(state))
+        if folder not in self._saved:
+            self._saved[folder] = len(self._list(folder))
+        self._saved[folder] += 1
+        if self._saved[folder] >= FOLD_AT:
+            self._saved[folder] = self._fold(folder)
+
     def save_chunk(
         self, run_id: str, extraction: str, table: str, chunk: int, size: int, rows: int, status: str = OK
     ) -> None:
-        state = self.spark.createDataFrame(
-            [(extraction, table, chunk, size, rows, status)],
-            "extraction_name string, table_name string, chunk_number long, chunk_size long, rows_loaded long, status string",
-        )
-        self.save(run_id, state)
+        self.save_range(run_id, extraction, table, chunk, chunk, size, rows, status, rows)
+
+    def _fold(self, folder: str) -> int:
+        """Put the states of a run into one file; returns how many files count as new from now on.
+
+        The files that it covers stay until the next time, for readers that have listed them.
+        """
+        names = self._list(folder)
+        for note in [n for n in names if n.startswith(COVERED)]:
+            for name in [*self._text(f"{folder}/{note}").split(), note]:
+                self._system().delete(self._place(f"{folder}/{name}"), False)
+        states, covered = [], []
+        for name in [n for n in self._list(folder) if n.endswith(".json")]:
+            try:
+                found = [json.loads(line) for line in self._text(f"{folder}/{name}").splitlines()]
+            except ValueError:  # another job is writing it
+                continue
+            states += found
+            covered.append(name)
+        name = f"{time.time_ns() // 1000:020d}-{uuid.uuid4().hex}.json"
+        self._put(f"{folder}/{name}", "\n".join(map(json.dumps, folded(states))))
+        self._put(f"{folder}/{COVERED}{uuid.uuid4().hex}", "\n".join(covered))
+        return 1
+
+    # -- runs
+
+    def begin(self, run_id: str, extraction: str, size: int, chunks: int) -> None:
+        """Note that this is the extraction's latest run."""
+        make_folder(self.spark, self._run_folder(run_id))
+        self._put(f"{self.path}/{LATEST}/{self._hashed(extraction)}", json.dumps({"run_id": run_id, "size": size, "chunks": chunks}))
+
+    def latest(self, extraction: str) -> dict | None:
+        """``run_id, size, chunks`` of the extraction's latest run and whether it is ``closed``; None if there is no note of it."""
+        note = f"{self.path}/{LATEST}/{self._hashed(extraction)}"
+        if not self._system().exists(self._place(note)):
+            return None
+        found = json.loads(self._text(note))
+        folder, system = self._run_folder(found["run_id"]), self._system()
+        gone = not system.exists(self._place(folder))  # only closed runs are archived
+        return found | {"closed": gone or system.exists(self._place(f"{folder}/{CLOSED}"))}
+
+    def finish(self, run_id: str) -> None:
+        """Close a run. From time to time closed runs are moved to the archive."""
+        self._put(f"{self._run_folder(run_id)}/{CLOSED}", "")
+        if sum(name.startswith("run=") for name in self._list(self.path)) >= ARCHIVE_AT:
+            self.archive()
+
+    def archive(self) -> int:
+        """Put all closed runs into one table and remove their folders; returns how many.
+
+        A state that is for a moment in both counts once. Readers that began before may have to read again.
+        """
+        runs = [f"{self.path}/{name}" for name in self._list(self.path) if name.startswith("run=")]
+        runs = [folder for folder in runs if self._system().exists(self._place(f"{folder}/{CLOSED}"))]
+        if runs:
+            self._read(*runs).coalesce(1 + len(runs) // 1000).write.parquet(f"{self.path}/{ARCHIVE}{uuid.uuid4().hex}")
+        for folder in runs:
+            self._system().delete(self._place(folder), True)
+        return len(runs)

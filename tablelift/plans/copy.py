@@ -21,7 +21,6 @@ from tablelift.sinks.versions import Mark
 
 # Rows that are committed together, unless told otherwise.
 COMMIT_ROWS = 10_000_000
-STATES_PER_FILE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -57,15 +56,6 @@ class _Waves:
         told = hashlib.sha256(f"{self.limits.key.names} {limits} {self.limits.rows_in(wave)}".encode()).hexdigest()
         return Mark(name, run_id, told)
 
-    def states(self, spark: SparkSession, wave: int) -> DataFrame:
-        """Number, size and rows of the wave's chunks; all but the last chunk of a table are full."""
-        first, last = self.chunks_of(wave)
-        number, size = F.col("id"), F.lit(self.size).cast("bigint")
-        left = F.lit(self.limits.total).cast("bigint") - (number - 1) * size
-        return spark.range(first, last + 1, 1, 1 + (last - first) // STATES_PER_FILE).select(
-            number.alias("chunk_number"), size.alias("chunk_size"), F.least(size, left).alias("rows_loaded")
-        )
-
 
 def copy_in_chunks(
     df: DataFrame,
@@ -102,6 +92,8 @@ def copy_in_chunks(
     plan = _plan_waves(shaped, key, size, waves, commit_rows)
     run_id, done = _open_run(control, name, plan)
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
+    if not resumed:
+        control.begin(run_id, name, size, plan.chunks)
     marked = keeps_marks(place)
     arrived: dict[int, int] = {}
     if there and resumed:
@@ -118,8 +110,11 @@ def copy_in_chunks(
         if wave in done and arrived.get(wave, 0) == expected:
             skipped += len(range(*plan.chunks_of(wave))) + 1
             continue
-        states = plan.states(spark, wave).withColumns({"extraction_name": F.lit(name), "table_name": F.lit(table)})
-        control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(STARTED)}))
+
+        def save(status: str, wave: int = wave) -> None:
+            control.save_range(run_id, name, table, *plan.chunks_of(wave), plan.size, plan.limits.total, status)
+
+        save(STARTED)
         try:
             if arrived.get(wave) == expected:
                 pass  # it broke off before the state was saved
@@ -134,9 +129,10 @@ def copy_in_chunks(
                 if appended != expected:
                     raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
         except Exception:
-            control.save(run_id, states.withColumns({"rows_loaded": F.lit(0), "status": F.lit(ERROR)}))
+            save(ERROR)
             raise
-        control.save(run_id, states.withColumn("status", F.lit(OK)))
+        save(OK)
+    control.finish(run_id)
     return CopyResult(run_id, resumed, plan.chunks, skipped, plan.limits.total)
 
 
@@ -174,20 +170,16 @@ def _rows_per_wave(source: DataFrame, target: DataFrame, plan: _Waves) -> dict[i
 
 
 def _open_run(control: ControlTable, name: str, plan: _Waves) -> tuple[str | None, set[int]]:
-    """The latest run of this name if it is unfinished, with the waves whose chunks are all OK."""
-    of_name = control.current().filter(F.col("extraction_name") == name)
-    good = F.count_if(F.col("status") == OK)
-    runs = of_name.groupBy("run_id").agg(
-        F.min("created_at").alias("started"), F.first("chunk_size").alias("chunk_size"), good.alias("good")
-    )
-    latest = runs.orderBy(F.col("started").desc()).first()
-    if latest is None or latest["good"] == plan.chunks:
+    """The latest run of this name if it is unfinished, with the waves whose chunks are all OK. Only that run's states are read."""
+    latest = control.latest(name)
+    if latest is None or latest["closed"]:
         return None, set()
-    if latest["chunk_size"] != plan.size:
-        raise ValueError(
-            f"{name} has an open run with chunks of {latest['chunk_size']} rows; it cannot go on with {plan.size}"
-        )
+    states = control.of_run(latest["run_id"], name)
     wave = (whole_part(F.col("chunk_number") - 1, plan.per_wave) + 1).alias("wave")
-    counts = of_name.filter(F.col("run_id") == latest["run_id"]).groupBy(wave).agg(good.alias("good")).collect()
+    counts = states.groupBy(wave).agg(F.count_if(F.col("status") == OK).alias("good")).collect()
+    if sum(row["good"] for row in counts) == plan.chunks:
+        return None, set()
+    if latest["size"] != plan.size:
+        raise ValueError(f"{name} has an open run with chunks of {latest['size']} rows; it cannot go on with {plan.size}")
     done = {row["wave"] for row in counts if row["good"] == len(range(*plan.chunks_of(row["wave"]))) + 1}
     return latest["run_id"], done

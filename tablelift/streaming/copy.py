@@ -158,6 +158,7 @@ def _save_state(
             F.lit(OK).alias("status"),
         ),
     )
+    control.finish(f"{query}/{number}")
 
 
 def stream_chunks(control: ControlTable, name: str = "stream") -> DataFrame:

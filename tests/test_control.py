@@ -4,8 +4,10 @@ from conftest import rows
 from tablelift.operators.chunks import chunk_plan
 from tablelift.operators.control import (
     CONTROL_SCHEMA,
+    FOLD_AT,
     ControlTable,
     current_status,
+    folded,
     last_chunk,
     remaining_chunks,
     upsert_control,
@@ -66,3 +68,54 @@ def test_stored_states(spark):
 def test_run_filter_reaches_the_scan(spark):
     control = ControlTable(spark, new_folder(spark, "control"))
     assert "EqualTo(run_id,r)" in control.of_run("r", "e")._jdf.queryExecution().toString()
+
+
+def test_ranges_of_chunks(spark):
+    control = ControlTable(spark, new_folder(spark, "control"))
+    control.save_range("r", "e", "t", 1, 3, 10, 25, "STARTED")
+    control.save_range("r", "e", "t", 1, 3, 10, 25)
+    control.save_range("r", "e", "t", 4, 5, 10, 45, "ERROR")
+    found = rows(control.current().select("chunk_number", "chunk_size", "rows_loaded", "status"))
+    assert found == [(1, 10, 10, "OK"), (2, 10, 10, "OK"), (3, 10, 5, "OK"), (4, 10, 0, "ERROR"), (5, 10, 0, "ERROR")]
+    assert control.history().dtypes == spark.createDataFrame([], CONTROL_SCHEMA).dtypes
+
+
+def test_ten_thousand_states_leave_few_files(spark):
+    control = ControlTable(spark, new_folder(spark, "control"))
+    control.begin("r", "e", 10, 5000)
+    for chunk in range(1, 5001):
+        control.save_chunk("r", "e", "t", chunk, 10, 0, "STARTED")
+        control.save_chunk("r", "e", "t", chunk, 10, 10, "OK" if chunk % 2 else "ERROR")
+    assert len(control._list(control._run_folder("r"))) < 3 * FOLD_AT
+    states = {r.chunk_number: r for r in control.of_run("r", "e").collect()}
+    assert len(states) == 5000
+    assert all(r.status == ("OK" if k % 2 else "ERROR") and r.created_at < r.updated_at for k, r in states.items())
+    started = control.history().filter("status = 'STARTED'").select("chunk_number").distinct().count()
+    assert started == 5000  # reports need when a chunk began
+    assert control.latest("e") == {"run_id": "r", "size": 10, "chunks": 5000, "closed": False}
+    control.finish("r")
+    assert control.latest("e")["closed"]
+
+
+def test_closed_runs_are_archived(spark, monkeypatch):
+    control = ControlTable(spark, new_folder(spark, "control"))
+    monkeypatch.setattr("tablelift.operators.control.ARCHIVE_AT", 5)
+    for number in range(7):
+        control.begin(f"r{number}", "e", 10, 1)
+        control.save_chunk(f"r{number}", "e", "t", 1, 10, number)
+        if number != 2:
+            control.finish(f"r{number}")
+    folders = control._list(control.path)
+    assert sum(name.startswith("run=") for name in folders) < 5
+    assert rows(control.current().select("run_id", "rows_loaded")) == [(f"r{k}", k) for k in range(7)]
+    assert control.status_of("r0", "e", 1) == control.status_of("r2", "e", 1) == "OK"
+    assert control.status_of("r9", "e", 1) is None and control.latest("e")["closed"]
+    assert control.last_chunk("e") == 1 and control.latest("other") is None
+
+
+def test_folding_keeps_what_is_needed():
+    def state(at, status, first=1):
+        return {"run_id": "r", "extraction_name": "e", "first_chunk": first, "last_chunk": first, "status": status, "at": at}
+
+    told = [state(1, "STARTED"), state(2, "ERROR"), state(3, "STARTED"), state(4, "OK"), state(5, "OK", first=2)]
+    assert folded(told[::-1] + told) == [told[0], told[3], told[2], told[4]]
