@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablelift.session import make_folder
+from tablelift.session import Folder, make_folder
 
 OK, ERROR, STARTED = "OK", "ERROR", "STARTED"
 CHUNK_KEY = ["run_id", "extraction_name", "chunk_number"]
@@ -139,38 +139,16 @@ class ControlTable:
         self.spark = spark
         self.path = path.rstrip("/")
         make_folder(spark, self.path)
+        self.files = Folder(spark, self.path)
         self._saved: dict[str, int] = {}
 
-    # -- files
-
-    def _place(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
-
-    def _system(self):
-        return self._place(self.path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _list(self, folder: str) -> list[str]:
-        system, place = self._system(), self._place(folder)
-        return sorted(entry.getPath().getName() for entry in system.listStatus(place)) if system.exists(place) else []
-
-    def _put(self, name: str, text: str) -> None:
-        stream = self._system().create(self._place(name), True)
-        stream.write(bytearray(text.encode()))
-        stream.close()
-
-    def _text(self, name: str) -> str:
-        stream = self._system().open(self._place(name))
-        try:
-            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
     @staticmethod
     def _hashed(name: str) -> str:
         return hashlib.md5(name.encode(), usedforsecurity=False).hexdigest()
 
-    def _run_folder(self, run_id: str) -> str:
-        return f"{self.path}/run={self._hashed(run_id)}"
+    def _run(self, run_id: str) -> str:
+        """The name of a run's folder."""
+        return f"run={self._hashed(run_id)}"
 
     # -- reading
 
@@ -188,13 +166,13 @@ class ControlTable:
 
     def of_run(self, run_id: str, extraction: str) -> DataFrame:
         """The chunks of one run; only its folder is read, or the archive, and the filter reaches the scan."""
-        folders = [self._run_folder(run_id)]
-        if not self._system().exists(self._place(folders[0])):
-            folders = [f"{self.path}/{name}" for name in self._list(self.path) if name.startswith(ARCHIVE)]
-        if not folders:  # a run that has not begun
-            folders = [self._run_folder(run_id)]
-            make_folder(self.spark, folders[0])
-        own = current_status(self._read(*folders))
+        names = [self._run(run_id)]
+        if not self.files.exists(names[0]):
+            names = [name for name in self.files.names() if name.startswith(ARCHIVE)]
+        if not names:  # a run that has not begun
+            names = [self._run(run_id)]
+            make_folder(self.spark, f"{self.path}/{names[0]}")
+        own = current_status(self._read(*[f"{self.path}/{name}" for name in names]))
         return own.filter((F.col("run_id") == run_id) & (F.col("extraction_name") == extraction))
 
     def status_of(self, run_id: str, extraction: str, chunk: int) -> str | None:
@@ -213,7 +191,7 @@ class ControlTable:
         now = F.current_timestamp()
         stamped = chunks.withColumns({"run_id": F.lit(run_id), "created_at": now, "updated_at": now})
         fitted = stamped.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
-        fitted.write.parquet(f"{self._run_folder(run_id)}/{uuid.uuid4().hex}")
+        fitted.write.parquet(f"{self.path}/{self._run(run_id)}/{uuid.uuid4().hex}")
 
     def save_range(
         self, run_id: str, extraction: str, table: str, first: int, last: int, size: int, total: int, status: str = OK,
@@ -224,10 +202,10 @@ class ControlTable:
             "run_id": run_id, "extraction_name": extraction, "table_name": table, "first_chunk": first, "last_chunk": last,
             "chunk_size": size, "total_rows": total, "rows": rows, "status": status, "at": time.time_ns() // 1000,
         }
-        folder = self._run_folder(run_id)
-        self._put(f"{folder}/{state['at']:020d}-{uuid.uuid4().hex}.json", json.dumps(state))
+        folder = self._run(run_id)
+        self.files.put(f"{folder}/{state['at']:020d}-{uuid.uuid4().hex}.json", json.dumps(state))
         if folder not in self._saved:
-            self._saved[folder] = len(self._list(folder))
+            self._saved[folder] = len(self.files.names(folder))
         self._saved[folder] += 1
         if self._saved[folder] >= FOLD_AT:
             self._saved[folder] = self._fold(folder)
@@ -242,44 +220,42 @@ class ControlTable:
 
         The files that it covers stay until the next time, for readers that have listed them.
         """
-        names = self._list(folder)
-        for note in [n for n in names if n.startswith(COVERED)]:
-            for name in [*self._text(f"{folder}/{note}").split(), note]:
-                self._system().delete(self._place(f"{folder}/{name}"), False)
+        for note in [n for n in self.files.names(folder) if n.startswith(COVERED)]:
+            for name in [*self.files.text(f"{folder}/{note}").split(), note]:
+                self.files.delete(f"{folder}/{name}")
         states, covered = [], []
-        for name in [n for n in self._list(folder) if n.endswith(".json")]:
+        for name in [n for n in self.files.names(folder) if n.endswith(".json")]:
             try:
-                found = [json.loads(line) for line in self._text(f"{folder}/{name}").splitlines()]
+                found = [json.loads(line) for line in self.files.text(f"{folder}/{name}").splitlines()]
             except ValueError:  # another job is writing it
                 continue
             states += found
             covered.append(name)
-        name = f"{time.time_ns() // 1000:020d}-{uuid.uuid4().hex}.json"
-        self._put(f"{folder}/{name}", "\n".join(map(json.dumps, folded(states))))
-        self._put(f"{folder}/{COVERED}{uuid.uuid4().hex}", "\n".join(covered))
+        self.files.put(f"{folder}/{time.time_ns() // 1000:020d}-{uuid.uuid4().hex}.json", "\n".join(map(json.dumps, folded(states))))
+        self.files.put(f"{folder}/{COVERED}{uuid.uuid4().hex}", "\n".join(covered))
         return 1
 
     # -- runs
 
     def begin(self, run_id: str, extraction: str, size: int, chunks: int) -> None:
         """Note that this is the extraction's latest run."""
-        make_folder(self.spark, self._run_folder(run_id))
-        self._put(f"{self.path}/{LATEST}/{self._hashed(extraction)}", json.dumps({"run_id": run_id, "size": size, "chunks": chunks}))
+        make_folder(self.spark, f"{self.path}/{self._run(run_id)}")
+        self.files.put(f"{LATEST}/{self._hashed(extraction)}", json.dumps({"run_id": run_id, "size": size, "chunks": chunks}))
 
     def latest(self, extraction: str) -> dict | None:
         """``run_id, size, chunks`` of the extraction's latest run and whether it is ``closed``; None if there is no note of it."""
-        note = f"{self.path}/{LATEST}/{self._hashed(extraction)}"
-        if not self._system().exists(self._place(note)):
+        note = f"{LATEST}/{self._hashed(extraction)}"
+        if not self.files.exists(note):
             return None
-        found = json.loads(self._text(note))
-        folder, system = self._run_folder(found["run_id"]), self._system()
-        gone = not system.exists(self._place(folder))  # only closed runs are archived
-        return found | {"closed": gone or system.exists(self._place(f"{folder}/{CLOSED}"))}
+        found = json.loads(self.files.text(note))
+        folder = self._run(found["run_id"])
+        gone = not self.files.exists(folder)  # only closed runs are archived
+        return found | {"closed": gone or self.files.exists(f"{folder}/{CLOSED}")}
 
     def finish(self, run_id: str) -> None:
         """Close a run. From time to time closed runs are moved to the archive."""
-        self._put(f"{self._run_folder(run_id)}/{CLOSED}", "")
-        if sum(name.startswith("run=") for name in self._list(self.path)) >= ARCHIVE_AT:
+        self.files.put(f"{self._run(run_id)}/{CLOSED}", "")
+        if sum(name.startswith("run=") for name in self.files.names()) >= ARCHIVE_AT:
             self.archive()
 
     def archive(self) -> int:
@@ -287,10 +263,10 @@ class ControlTable:
 
         A state that is for a moment in both counts once. Readers that began before may have to read again.
         """
-        runs = [f"{self.path}/{name}" for name in self._list(self.path) if name.startswith("run=")]
-        runs = [folder for folder in runs if self._system().exists(self._place(f"{folder}/{CLOSED}"))]
+        runs = [name for name in self.files.names() if name.startswith("run=") and self.files.exists(f"{name}/{CLOSED}")]
         if runs:
-            self._read(*runs).coalesce(1 + len(runs) // 1000).write.parquet(f"{self.path}/{ARCHIVE}{uuid.uuid4().hex}")
-        for folder in runs:
-            self._system().delete(self._place(folder), True)
+            states = self._read(*[f"{self.path}/{name}" for name in runs])
+            states.coalesce(1 + len(runs) // 1000).write.parquet(f"{self.path}/{ARCHIVE}{uuid.uuid4().hex}")
+        for name in runs:
+            self.files.delete(name, whole=True)
         return len(runs)

@@ -63,17 +63,59 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Folder:
+    """Small files below a folder that every executor can reach, read and written from the driver."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.name, self._jvm, self._settings = folder.rstrip("/"), spark._jvm, spark._jsc.hadoopConfiguration()
+        self._path_of = self._jvm.org.apache.hadoop.fs.Path  # looked up once: each lookup is several calls
+        self.system = self._path_of(self.name).getFileSystem(self._settings)
+
+    def path(self, name: str = ""):
+        return self._path_of(f"{self.name}/{name}" if name else self.name)
+
+    def exists(self, name: str = "") -> bool:
+        return self.system.exists(self.path(name))
+
+    def names(self, name: str = "") -> list[str]:
+        """The files and folders in a folder, none if it is not there."""
+        return sorted(entry.getPath().getName() for entry in self.system.listStatus(self.path(name))) if self.exists(name) else []
+
+    def text(self, name: str) -> str:
+        stream = self.system.open(self.path(name))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, name: str, text: str) -> None:
+        """Write a file, in place of one that is there."""
+        stream = self.system.create(self.path(name), True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def move(self, name: str, to: str) -> bool:
+        """Rename a file, never over another; whether it was done."""
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path().toUri(), self._settings)
+        options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.org.apache.hadoop.fs.Options.Rename.NONE.getClass(), 0)
+        try:
+            context.rename(self.path(name), self.path(to), options)
+        except Exception as error:
+            if "FileAlreadyExists" in str(getattr(error, "java_exception", None) or error):
+                return False
+            raise
+        return True
+
+    def delete(self, name: str, whole: bool = False) -> None:
+        self.system.delete(self.path(name), whole)
+
+
 def make_folder(spark: SparkSession, folder: str) -> None:
     """Make ``folder`` unless it is there; safe from several threads and jobs."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
+    place = Folder(spark, folder)
+    place.system.mkdirs(place.path())
 
 
 def has_files(spark: SparkSession, folder: str) -> bool:
     """Whether ``folder`` is there and holds anything but hidden and marker files."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    place = jvm.org.apache.hadoop.fs.Path(folder)
-    system = place.getFileSystem(conf)
-    if not system.exists(place):
-        return False
-    return any(entry.getPath().getName()[0] not in "_." for entry in system.listStatus(place))
+    return any(name[0] not in "_." for name in Folder(spark, folder).names())

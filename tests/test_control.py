@@ -82,17 +82,17 @@ def test_ranges_of_chunks(spark):
 
 def test_ten_thousand_states_leave_few_files(spark):
     control = ControlTable(spark, new_folder(spark, "control"))
-    control.begin("r", "e", 10, 5000)
-    for chunk in range(1, 5001):
-        control.save_chunk("r", "e", "t", chunk, 10, 0, "STARTED")
-        control.save_chunk("r", "e", "t", chunk, 10, 10, "OK" if chunk % 2 else "ERROR")
-    assert len(control._list(control._run_folder("r"))) < 3 * FOLD_AT
+    control.begin("r", "e", 10, 10_000)
+    for first in range(1, 10_000, 40):
+        for status in ("STARTED", "OK" if first % 3 else "ERROR"):
+            control.save_range("r", "e", "t", first, first + 39, 10, 100_000, status)
+    assert len(control.files.names(control._run("r"))) < 3 * FOLD_AT
     states = {r.chunk_number: r for r in control.of_run("r", "e").collect()}
-    assert len(states) == 5000
-    assert all(r.status == ("OK" if k % 2 else "ERROR") and r.created_at < r.updated_at for k, r in states.items())
+    assert len(states) == 10_000
+    assert all(r.status == ("OK" if ((k - 1) // 40 * 40 + 1) % 3 else "ERROR") and r.created_at < r.updated_at for k, r in states.items())
     started = control.history().filter("status = 'STARTED'").select("chunk_number").distinct().count()
-    assert started == 5000  # reports need when a chunk began
-    assert control.latest("e") == {"run_id": "r", "size": 10, "chunks": 5000, "closed": False}
+    assert started == 10_000  # reports need when a chunk began
+    assert control.latest("e") == {"run_id": "r", "size": 10, "chunks": 10_000, "closed": False}
     control.finish("r")
     assert control.latest("e")["closed"]
 
@@ -105,7 +105,7 @@ def test_closed_runs_are_archived(spark, monkeypatch):
         control.save_chunk(f"r{number}", "e", "t", 1, 10, number)
         if number != 2:
             control.finish(f"r{number}")
-    folders = control._list(control.path)
+    folders = control.files.names()
     assert sum(name.startswith("run=") for name in folders) < 5
     assert rows(control.current().select("run_id", "rows_loaded")) == [(f"r{k}", k) for k in range(7)]
     assert control.status_of("r0", "e", 1) == control.status_of("r2", "e", 1) == "OK"

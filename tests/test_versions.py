@@ -42,7 +42,7 @@ def test_broken_before_publishing_and_done_again(spark, config, mode, settings):
         load(changes, "breaks", "t", config | settings, mode)
     assert content(spark, config) == {k: k for k in range(20)}
     versions = PLACE.versions(spark, config, "t")
-    folders = {e.getPath().getName() for e in versions.system.listStatus(versions._path("_data"))}
+    folders = set(versions.files.names("_data"))
     assert folders == {f.split("/")[-2] for f in files}
     assert load(changes, "parquet", "t", config | settings, mode) == changes.count()
     kept = {} if mode == "replace" or settings else {k: k for k in range(20)}
@@ -151,9 +151,9 @@ def test_many_versions(spark, config):
         versions.commit(lambda known, k=k: known.with_part(part if k == 149 else versions.current().parts[0], Mark("m", "r", str(k % 3))))
     version = versions.current()
     assert len(version.parts) == 150 and len(version.lists) == 2 and len(version.marks) == 3
-    tail = json.loads(versions._text(versions._name(version.number)))["parts"]
+    tail = json.loads(versions.files.text(versions._name(version.number)))["parts"]
     assert len(tail) <= 64
-    versions._put("_versions/_last", "garbled", over=True)
+    versions.files.put("_versions/_last", "garbled")
     assert versions.current().number == version.number
     versions.commit(lambda known: known.with_part(part, Mark("m", "next run")))
     assert [m.run for m in versions.current().marks] == ["next run"]
