@@ -237,13 +237,13 @@ class ControlTable:
 
     # -- runs
 
-    def begin(self, run_id: str, extraction: str, size: int, chunks: int) -> None:
-        """Note that this is the extraction's latest run."""
+    def begin(self, run_id: str, extraction: str, size: int, chunks: int, staged: str | None = None) -> None:
+        """Note that this is the extraction's latest run, and where its rows are ``staged``."""
         make_folder(self.spark, f"{self.path}/{self._run(run_id)}")
-        self.files.put(f"{LATEST}/{self._hashed(extraction)}", json.dumps({"run_id": run_id, "size": size, "chunks": chunks}))
+        self.files.put(f"{LATEST}/{self._hashed(extraction)}", json.dumps({"run_id": run_id, "size": size, "chunks": chunks, "staged": staged}))
 
     def latest(self, extraction: str) -> dict | None:
-        """``run_id, size, chunks`` of the extraction's latest run and whether it is ``closed``; None if there is no note of it."""
+        """``run_id, size, chunks, staged`` of the extraction's latest run and whether it is ``closed``; None if there is no note of it."""
         note = f"{LATEST}/{self._hashed(extraction)}"
         if not self.files.exists(note):
             return None

@@ -10,17 +10,22 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablelift.operators.chunks import ChunkLimits, chunk_count, chunk_limits, whole_part
 from tablelift.operators.control import ERROR, OK, STARTED, ControlTable
 from tablelift.operators.upsert import by_key
 from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
+from tablelift.session import has_files, new_folder, stage
 from tablelift.sinks import checked_append, counted_write, find_target, fit_to, keeps_marks, shape_for_load
 from tablelift.sinks.versions import Mark
 
 # Rows that are committed together, unless told otherwise.
 COMMIT_ROWS = 10_000_000
+# Rows of a wave that one task lays out, about.
+ROWS_PER_TASK = 1_000_000
+WAVE = "_wave"
 
 
 @dataclass(frozen=True)
@@ -68,6 +73,7 @@ def copy_in_chunks(
     config: Mapping[str, Any] | None = None,
     waves: int | None = None,
     commit_rows: int = COMMIT_ROWS,
+    staged: bool = False,
 ) -> CopyResult:
     """Copy ``df`` to ``table`` as chunks of ``size`` rows in the order of its unique ``key``.
 
@@ -77,6 +83,10 @@ def copy_in_chunks(
     ``commit_rows`` rows (one at least), or, with ``waves``, an equal share of the chunks. The driver holds the limits
     of the waves.
 
+    A source that is dear to work out, or whose files are not laid out by the key, can be ``staged``: it is worked out once, the keys of the
+    staged rows give the limits, and one shuffle puts the rows of each wave in a folder of their own. A resumed copy goes on with the
+    staged rows, whatever has become of the source.
+
     An open run of the same name is taken up again. A target that keeps marks tells which waves it holds, so that a resume
     reads none of its rows; a wave is there as a whole or not at all. Of other targets, and where the plan of the waves has changed, rows that
     arrived before the copy broke are found by their key, nulls included, and not copied again. Rows of the target that are not in ``df``
@@ -89,11 +99,17 @@ def copy_in_chunks(
     shaped = shape_for_load(df, config)
     if there:
         shaped = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
+    held = _held_rows(control, name, shaped) if staged else None
+    if staged:
+        shaped = held or stage(shaped, "copied")
     plan = _plan_waves(shaped, key, size, waves, commit_rows)
     run_id, done = _open_run(control, name, plan)
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
+    if held is not None and not resumed:  # the rows of a finished run
+        raise RuntimeError(f"{name} was finished meanwhile")
+    laid = _lay_out(shaped, plan) if staged else None
     if not resumed:
-        control.begin(run_id, name, size, plan.chunks)
+        control.begin(run_id, name, size, plan.chunks, _folder_of(shaped) if staged else None)
     marked = keeps_marks(place)
     arrived: dict[int, int] = {}
     if there and resumed:
@@ -106,7 +122,8 @@ def copy_in_chunks(
         place.create(shaped.limit(0), config, table)
     skipped = 0
     for wave in range(1, plan.limits.chunks + 1):
-        rows, expected = shaped.filter(plan.limits.within(wave, wave)), plan.limits.rows_in(wave)
+        rows = laid.read(wave) if laid else shaped.filter(plan.limits.within(wave, wave))
+        expected = plan.limits.rows_in(wave)
         if wave in done and arrived.get(wave, 0) == expected:
             skipped += len(range(*plan.chunks_of(wave))) + 1
             continue
@@ -143,6 +160,42 @@ def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int | None,
     return _Waves(chunk_limits(df, ranges, size * per_wave), size, per_wave)
 
 
+@dataclass(frozen=True)
+class _Laid:
+    """The rows of each wave in a folder of their own."""
+
+    folder: str
+    schema: T.StructType
+    spark: SparkSession
+
+    def read(self, wave: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/{WAVE}={wave}")
+
+
+def _lay_out(rows: DataFrame, plan: _Waves) -> _Laid:
+    """Put the rows of each wave in a folder, by one shuffle; the rows of a large wave are dealt to several tasks by their key."""
+    spark, key = rows.sparkSession, plan.limits.key
+    parts = -(-plan.size * plan.per_wave // ROWS_PER_TASK)
+    dealt = plan.limits.number(rows, WAVE).withColumn("_part", F.pmod(F.xxhash64(*key.columns), F.lit(parts)))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts)
+    folder = new_folder(spark, "waves")
+    dealt.repartition(width, WAVE, "_part").drop("_part").write.partitionBy(WAVE).parquet(folder)
+    return _Laid(folder, rows.schema, spark)
+
+
+def _folder_of(rows: DataFrame) -> str:
+    """The folder of staged rows."""
+    return rows.inputFiles()[0].rsplit("/", 1)[0]
+
+
+def _held_rows(control: ControlTable, name: str, shaped: DataFrame) -> DataFrame | None:
+    """The staged rows of the open run of this name, if it has any that fit."""
+    latest = control.latest(name)
+    if latest is None or latest["closed"] or not latest.get("staged") or not has_files(shaped.sparkSession, latest["staged"]):
+        return None
+    return shaped.sparkSession.read.schema(shaped.schema).parquet(latest["staged"])
+
+
 def _make_room(shaped: DataFrame, key: Sequence[str], place, config: Mapping[str, Any], table: str) -> None:
     """Empty the target for a fresh run if asked to; otherwise see that none of the keys is there yet."""
     if as_bool(config.get("truncate_before_load", False)):

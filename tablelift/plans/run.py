@@ -218,6 +218,9 @@ def _load_chunked(config, extraction, entry, rows: DataFrame) -> int:
         raise ValueError("a chunked load needs a unique 'chunk_key' in its config")
     size = as_size((extraction.get("config") or {}).get("batch_size", 100_000), "batch_size")
     more = {n: as_size(settings[n], n) for n in ("waves", "commit_rows") if settings.get(n)}
+    # A query or a database is worked out once; plain files are read wave by wave unless told otherwise.
+    dear = bool(extraction.get("query")) or str(extraction.get("source")).lower() in DATABASES
+    more["staged"] = as_bool(settings.get("staged", dear))
     done = copy_in_chunks(
         rows, entry.get("name", "unnamed"), entry["table"], key, size,
         ControlTable(spark, _control_path(spark, config)), entry.get("target"), settings, **more,

@@ -92,7 +92,7 @@ def test_ten_thousand_states_leave_few_files(spark):
     assert all(r.status == ("OK" if ((k - 1) // 40 * 40 + 1) % 3 else "ERROR") and r.created_at < r.updated_at for k, r in states.items())
     started = control.history().filter("status = 'STARTED'").select("chunk_number").distinct().count()
     assert started == 10_000  # reports need when a chunk began
-    assert control.latest("e") == {"run_id": "r", "size": 10, "chunks": 10_000, "closed": False}
+    assert control.latest("e") == {"run_id": "r", "size": 10, "chunks": 10_000, "staged": None, "closed": False}
     control.finish("r")
     assert control.latest("e")["closed"]
 

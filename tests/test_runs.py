@@ -290,3 +290,48 @@ def test_resume_onto_other_rows(spark, read):
 def test_stream_mode_wants_a_checkpoint(spark, small):
     steps = run_config(spark, config_for(small, new_folder(spark, "r"), "nation", mode="stream")).collect()
     assert "checkpoint" in [r.error for r in steps if r.step == "load"][0]
+
+
+def counting(spark, rows):
+    """``rows`` through a step that counts them, and the counter."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return rows.mapInArrow(look, rows.schema), seen
+
+
+@pytest.mark.parametrize("at, how", [(None, None), (2, "before"), (3, "half")])
+def test_a_staged_source_is_worked_out_once(spark, read, at, how):
+    """Also if the copy breaks off, and though the source has changed when it goes on."""
+    place = new_folder(spark, "copy")
+    control, config = ControlTable(spark, f"{place}/control"), {"path": place}
+    with_null = read("orders").withColumn("o_orderkey", F.when(F.col("o_orderkey") != 5, F.col("o_orderkey")))
+    source, seen = counting(spark, with_null)
+    copy = dict(name="o", table="orders", key=["o_orderkey"], size=100, control=control, config=config, waves=4, staged=True)
+    if at:
+        register_target("breaking", Breaking(at, how))
+        with pytest.raises(RuntimeError, match="broken off"):
+            copy_in_chunks(source, target="breaking", **copy)
+        source = source.filter("o_orderkey > 700")
+    done = copy_in_chunks(source, **copy)
+    assert seen.value == 1500
+    assert (done.resumed, done.rows) == (bool(at), 1500)
+    assert rows(find_target("parquet").read(spark, config, "orders")) == rows(with_null)
+    others = source.withColumn("o_orderkey", F.col("o_orderkey") + 10_000).filter("o_orderkey is not null")
+    again = copy_in_chunks(others, **copy)
+    assert not again.resumed
+
+
+def test_a_query_is_staged(spark, small):
+    place = new_folder(spark, "r")
+    config = config_for(small, place, "orders", mode="chunked", control_path=f"{place}/control")
+    config["extractions"][0] |= {"query": "SELECT o_orderkey, count(*) AS n FROM orders GROUP BY o_orderkey", "config": {"path": f"{small}/orders.parquet", "batch_size": 200}}
+    config["loads"][0]["config"] |= {"chunk_key": "o_orderkey", "waves": 3}
+    assert {r.status for r in run_config(spark, config).collect()} == {"OK"}
+    assert ControlTable(spark, f"{place}/control").latest("orders_load")["staged"]
+    copied = find_target("parquet").read(spark, {"path": place}, "orders")
+    assert (copied.count(), copied.select("o_orderkey").distinct().count()) == (1500, 1500)
