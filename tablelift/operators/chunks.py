@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import json
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate, takewhile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablelift.plans.ranges import RANGE, KeyRanges, OrderKey, array_value, find_ranges, not_above
-from tablelift.session import stage
+from tablelift.session import Folder, stage
 
 # Copies of one row are written out in runs of at most this many per task.
 COPIES_PER_RUN = 1_000_000
+# A key range of more rows than this, and than four times the mean, holds ties that are split by the other columns.
+TIED_ROWS = 200_000
+INDEX = "_key_index"
 
 
 def whole_part(value: Column, size: int) -> Column:
@@ -50,14 +58,14 @@ def with_row_index(
     """Add the dense 0-based index of each row in the order of ``order_by``.
 
     ``ties="reject"`` (a unique key) makes equal keys an error at run time. ``ties="all_columns"``
-    breaks them by the remaining columns; rows that are equal in all columns are counted once before
+    breaks them by the remaining columns. The table is cut into ranges by the named columns alone; only ranges in which few keys hold many
+    rows are cut again by all columns. There, rows that are equal in all columns are counted once before
     anything is shuffled and written out again at the end, so a flood of copies stays spread out.
     """
     if ties == "reject":
         return _index_unique(df, find_ranges(df, order_by), name)
     if ties == "all_columns":
-        order = [*order_by, *[c for c in df.columns if c not in order_by]]
-        return _index_copies(df, order, name)
+        return _index_ties(df, order_by, name)
     raise ValueError(f"ties must be 'reject' or 'all_columns', not {ties!r}")
 
 
@@ -75,14 +83,36 @@ def _index_unique(df: DataFrame, ranges: KeyRanges, name: str, keep_range: bool
     return indexed if keep_range else indexed.drop(RANGE)
 
 
+def _index_ties(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
+    ranges, spark = find_ranges(df, order_by), df.sparkSession
+    order = [*order_by, *[c for c in df.columns if c not in order_by]]
+    placed, start = ranges.assign(df), _start_of_range(spark, ranges)
+    heavy = [i for i, n in enumerate(ranges.rows) if n > max(TIED_ROWS, 4 * ranges.total // len(ranges.rows))]
+    window = Window.partitionBy(RANGE).orderBy(*[F.col(f"`{c}`") for c in order])
+    index = (start + F.row_number().over(window) - 1).cast("bigint")
+    if not heavy:
+        return placed.withColumn(name, index).select(*df.columns, name)
+    light = placed.filter(~F.col(RANGE).isin(heavy)).withColumn(name, index)
+    tied = _index_copies(placed.filter(F.col(RANGE).isin(heavy)), [RANGE, *order], "_tied")
+    # The rows of the other ranges come in between.
+    apart = set(heavy)
+    before = [0, *accumulate(0 if i in apart else n for i, n in enumerate(ranges.rows))]
+    shift = F.element_at(array_value(spark, before[:-1], T.LongType()), F.col(RANGE) + 1)
+    tied = tied.withColumn(name, (F.col("_tied") + shift).cast("bigint"))
+    return light.select(*df.columns, name).unionByName(tied.select(*df.columns, name))
+
+
 def _index_copies(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    distinct = stage(df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies")))
-    ranges = find_ranges(distinct, order, weight="_copies")
-    window = Window.partitionBy(RANGE).orderBy(*ranges.key.columns)
+    """The index of rows in the order of all columns, the first of which may be a range; ranges of their own are cut by the leading plain columns."""
+    distinct = stage(df.withColumnRenamed(RANGE, "_outer").groupBy(*[c if c != RANGE else "_outer" for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies")))
+    order = [c if c != RANGE else "_outer" for c in order]
+    plain = list(takewhile(lambda c: isinstance(distinct.schema[c].dataType, T.AtomicType), order))
+    ranges = find_ranges(distinct, plain, weight="_copies")
+    window = Window.partitionBy(RANGE).orderBy(*[F.col(f"`{c}`") for c in order])
     before = F.sum("_copies").over(window.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_copies")
     first = ranges.assign(distinct).withColumn("_first", _start_of_range(df.sparkSession, ranges) + before)
     indexed = _split_runs(first.drop(RANGE)).withColumn(name, F.explode(F.sequence("_first", "_until")))
-    return indexed.select(*df.columns, name)
+    return indexed.withColumnRenamed("_outer", RANGE).select(*df.columns, name)
 
 
 def _split_runs(first: DataFrame) -> DataFrame:
@@ -180,35 +210,72 @@ def assign_chunks(
     return indexed.withColumn(name, whole_part(F.col("_index"), size) + 1).drop("_index")
 
 
-def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int) -> DataFrame:
+def page(df: DataFrame, order_by: Sequence[str], offset: int, limit: int, index: KeyRanges | None = None) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in the order of a unique key.
 
     A page reads only the key ranges that hold it, so neither the driver nor one task sees the rows before it. Equal
-    keys in these ranges are an error, whatever the offset.
+    keys in these ranges are an error, whatever the offset. With a :func:`key_index` that is all it reads; without one, three passes over the
+    keys make it first.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    return _indexed_page(df, order_by, offset, offset + limit).drop("row_index")
+    return _indexed_page(df, order_by, offset, offset + limit, index).drop("row_index")
 
 
-def page_by_row_number(df: DataFrame, order_by: Sequence[str], after: int, up_to: int) -> DataFrame:
+def page_by_row_number(
+    df: DataFrame, order_by: Sequence[str], after: int, up_to: int, index: KeyRanges | None = None
+) -> DataFrame:
     """Rows whose 1-based number ``rn`` has ``after < rn <= up_to``; the number itself is dropped."""
-    return _indexed_page(df, order_by, after, up_to).drop("row_index")
+    return _indexed_page(df, order_by, after, up_to, index).drop("row_index")
 
 
-def slice_rows(df: DataFrame, order_by: Sequence[str], start: int, length: int) -> DataFrame:
+def slice_rows(df: DataFrame, order_by: Sequence[str], start: int, length: int, index: KeyRanges | None = None) -> DataFrame:
     """``length`` rows from index ``start``, with their ``row_index``."""
-    return _indexed_page(df, order_by, start, start + length)
+    return _indexed_page(df, order_by, start, start + length, index)
 
 
-def _indexed_page(df: DataFrame, order_by: Sequence[str], start: int, stop: int) -> DataFrame:
-    ranges = find_ranges(df, order_by)
+def _indexed_page(df: DataFrame, order_by: Sequence[str], start: int, stop: int, ranges: KeyRanges | None) -> DataFrame:
+    if ranges is None:
+        ranges = find_ranges(df, order_by)
+    elif ranges.key.names != list(order_by):
+        raise ValueError(f"the index is one of {ranges.key.names}, not of {list(order_by)}")
     low, high, first = ranges.holding(start, stop)
     held = df.filter(ranges.key.between(low, high)) if first < ranges.total else df.limit(0)
     index = F.col("row_index")
     return _index_unique(held, ranges, "row_index").filter((index >= start) & (index < stop))
 
 
+def source_version(df: DataFrame) -> str:
+    """Tells the files that a frame reads, with their sizes and times, from any others. A frame without files has none."""
+    names = sorted(df.inputFiles())
+    if not names:
+        raise ValueError("the rows do not come from files; give the version of the source")
+    place = Folder(df.sparkSession, names[0].rsplit("/", 1)[0])
+    told = hashlib.sha256()
+    for name in names:
+        found = place.status(name)
+        told.update(f"{name} {found.getLen()} {found.getModificationTime()}\n".encode())
+    return told.hexdigest()
+
+
+def key_index(df: DataFrame, order_by: Sequence[str], folder: str, version: str | None = None) -> KeyRanges:
+    """A sparse index of a unique key for pages: split points and the rows between them, kept below ``folder``.
+
+    It is made by three passes over the keys when it is not there for this ``version`` of the source, by default that of its files;
+    afterwards no rows are read. Its size is bounded, whatever the table's.
+    """
+    told = hashlib.sha256(json.dumps([version or source_version(df), list(order_by)]).encode()).hexdigest()
+    place, name = Folder(df.sparkSession, folder), f"{INDEX}-{told}"
+    if place.exists(name):
+        return KeyRanges.from_bytes(df.schema, base64.b64decode(place.text(name)))
+    ranges = find_ranges(df, order_by)
+    draft = f"{name}-{uuid.uuid4().hex}"
+    place.put(draft, base64.b64encode(ranges.as_bytes()).decode())
+    if not place.move(draft, name):  # made by someone else meanwhile
+        place.delete(draft)
+    return ranges
+
+
 def page_sweep(df: DataFrame, order_by: Sequence[str], size: int) -> DataFrame:
     """All pages of a table in one partitioned read, each row with its ``page_number``."""
     return assign_chunks(df, order_by, size, name="page_number")

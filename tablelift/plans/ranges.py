@@ -9,6 +9,7 @@ driver, both bounded by ``MAX_RANGES``.
 from __future__ import annotations
 
 import datetime
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
@@ -25,6 +26,8 @@ SAMPLE_PER_RANGE = 20
 RANGES_PER_SHUFFLE_PARTITION = 4
 ROWS_PER_RANGE = 4_000_000
 RANGE = "_range"
+#: Characters or bytes of a text or binary key that a split point keeps: a split need not be a key, only lie between keys.
+SPLIT_CHARS = 256
 
 
 def array_value(spark: SparkSession, values: list, element: T.DataType) -> Column:
@@ -67,6 +70,14 @@ class OrderKey:
             (F.unix_micros(c) if self._zoned(i) else c).alias(f"k{i}") for i, c in enumerate(self.columns)
         ]
 
+    def split_parts(self) -> list[Column]:
+        """The parts as split points, long ones cut: what begins a key is not above it."""
+        long = (T.StringType, T.BinaryType)
+        return [
+            (F.substring(part, 1, SPLIT_CHARS) if isinstance(kind, long) else part).alias(f"k{i}")
+            for i, (part, kind) in enumerate(zip(self.parts(), self.types, strict=True))
+        ]
+
     def value(self) -> Column:
         """One comparable value per row."""
         return self.parts()[0] if self.single else F.struct(*self.parts())
@@ -162,6 +173,23 @@ class KeyRanges:
     def assign(self, df: DataFrame) -> DataFrame:
         return self.key.position(df, self.splits, RANGE)
 
+    def as_bytes(self) -> bytes:
+        """The split points and counts, to be kept by a stored index."""
+        kinds = self.key._struct_type()
+        columns = {f.name: pa.array([s[i] for s in self.splits], to_arrow_type(f.dataType)) for i, f in enumerate(kinds.fields)}
+        sink = pa.BufferOutputStream()
+        told = pa.table(columns).replace_schema_metadata({"rows": json.dumps(self.rows), "names": json.dumps(self.key.names)})
+        with pa.ipc.new_stream(sink, told.schema) as writer:
+            writer.write_table(told)
+        return sink.getvalue().to_pybytes()
+
+    @staticmethod
+    def from_bytes(schema: T.StructType, stored: bytes) -> KeyRanges:
+        told = pa.ipc.open_stream(stored).read_all()
+        names, rows = (json.loads(told.schema.metadata[k.encode()]) for k in ("names", "rows"))
+        splits = list(zip(*[c.to_pylist() for c in told.columns], strict=True)) if told.num_columns else []
+        return KeyRanges(OrderKey(schema, names), splits, rows)
+
     def holding(self, start: int, stop: int) -> tuple[tuple | None, tuple | None, int]:
         """Key limits of the ranges that hold rows ``start`` to ``stop``, and the index they begin at."""
         starts = self.first_index
@@ -202,7 +230,8 @@ def find_ranges(df: DataFrame, order_by: Sequence[str], weight: str | None = Non
     keys = df.select(*key.parts())
     total = keys.count()
     wanted = range_count(spark, total)
-    sample = key_sample(keys, total, wanted * SAMPLE_PER_RANGE).orderBy(*keys.columns).collect()
+    cut = df.select(*key.split_parts())
+    sample = key_sample(cut, total, wanted * SAMPLE_PER_RANGE).orderBy(*cut.columns).collect()
     step = max(1, -(-len(sample) // wanted))
     splits = key.collected(sample[step::step])
     counted = F.sum(weight) if weight else F.count(F.lit(1))

@@ -81,6 +81,10 @@ class Folder:
         """The files and folders in a folder, none if it is not there."""
         return sorted(entry.getPath().getName() for entry in self.system.listStatus(self.path(name))) if self.exists(name) else []
 
+    def status(self, whole_name: str):
+        """Size and time of any file of this file system, given as a URI."""
+        return self.system.getFileStatus(self._path_of(self._jvm.java.net.URI(whole_name)))
+
     def text(self, name: str) -> str:
         stream = self.system.open(self.path(name))
         try:

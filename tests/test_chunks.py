@@ -1,5 +1,7 @@
 import random
+import re
 import time
+import uuid
 from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
@@ -13,6 +15,7 @@ from tablelift.operators.chunks import (
     assign_chunks,
     chunk_plan,
     find_chunk_limits,
+    key_index,
     page,
     page_by_row_number,
     page_sweep,
@@ -20,7 +23,7 @@ from tablelift.operators.chunks import (
     union_chunks,
     with_row_index,
 )
-from tablelift.plans.ranges import OrderKey, find_ranges
+from tablelift.plans.ranges import KeyRanges, OrderKey, find_ranges
 
 
 def index_of(df, order, **more):
@@ -219,3 +222,72 @@ def test_string_keys_with_quotes(spark):
     frame = spark.createDataFrame(data, "k string, d timestamp_ntz")
     limits = find_chunk_limits(frame, ["k", "d"], 120)
     assert [frame.filter(limits.within(n, n)).count() for n in range(1, 6)] == [120, 120, 120, 120, 20]
+
+
+def jobs_of(spark, work):
+    """What ``work`` gives, and how many jobs it took."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_a_stored_index_spares_the_passes(spark, read, tmp_path):
+    place = f"{tmp_path}/orders"
+    read("orders").repartitionByRange(8, "o_orderkey").write.parquet(place)
+    orders, folder = spark.read.parquet(place), f"{tmp_path}/index"
+    expected = [r.o_orderkey for r in orders.orderBy("o_orderkey").collect()]
+    index, made = jobs_of(spark, lambda: key_index(orders, ["o_orderkey"], folder))
+    assert made >= 3
+    again, jobs = jobs_of(spark, lambda: key_index(orders, ["o_orderkey"], folder))
+    assert jobs == 0 and (again.splits, again.rows, again.key.names) == (index.splits, index.rows, index.key.names)
+    second = page(orders, ["o_orderkey"], 100, 50, again)
+    found, jobs = jobs_of(spark, lambda: sorted(r.o_orderkey for r in second.collect()))
+    assert found == expected[100:150] and jobs <= 3  # stages of one query: bounds, shuffle, result
+    plan = second._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"DataFilters: \[.*o_orderkey#\d+L (>=|<) \d+", plan)
+    assert page_by_row_number(orders, ["o_orderkey"], 100, 150, again).count() == 50
+    assert slice_rows(orders, ["o_orderkey"], 1490, 50, again).count() == 10
+    with pytest.raises(ValueError, match="the index is one of"):
+        page(orders, ["o_custkey"], 0, 5, again)
+    read("orders").limit(1).write.mode("append").parquet(place)
+    changed, jobs = jobs_of(spark, lambda: key_index(spark.read.parquet(place), ["o_orderkey"], folder))
+    assert jobs >= 3 and changed.total == 1501
+
+
+@pytest.mark.parametrize("kind", ["date", "timestamp", "string", "decimal(9,2)", "double", "binary"])
+def test_an_index_keeps_keys_of_all_types(spark, kind):
+    key = {"date": "date_add(date'1990-01-01', cast(id as int))", "timestamp": "timestamp_seconds(id)", "binary": "cast(lpad(id, 9, '0') as binary)"}
+    df = spark.range(500).selectExpr(f"{key.get(kind, f'cast(id as {kind})')} AS k", "id")
+    ranges = find_ranges(df, ["k", "id"])
+    back = KeyRanges.from_bytes(df.schema, ranges.as_bytes())
+    assert (back.splits, back.rows) == (ranges.splits, ranges.rows) and len(back.splits) > 1
+
+
+def test_rows_without_files_need_a_version(spark, tmp_path):
+    with pytest.raises(ValueError, match="version"):
+        key_index(spark.range(5), ["id"], str(tmp_path))
+    assert key_index(spark.range(5), ["id"], str(tmp_path), version="1").total == 5
+
+
+def test_split_points_are_short(spark):
+    df = spark.range(2000).selectExpr("concat(repeat('x', 300 + id % 2), lpad(id, 6, '0')) AS k", "repeat('wide', 1000) AS w")
+    ranges = find_ranges(df, ["k"])
+    assert all(len(s[0]) <= 256 for s in ranges.splits) and ranges.total == 2000
+    order = sorted(r.k for r in df.select("k").collect())
+    assert [r.k for r in with_row_index(df.select("k"), ["k"]).orderBy("row_index").collect()] == order
+
+
+@pytest.mark.parametrize("tied_rows", [10, 200_000])
+def test_ties_are_cut_only_where_they_are(spark, monkeypatch, tied_rows):
+    monkeypatch.setattr("tablelift.operators.chunks.TIED_ROWS", tied_rows)
+    some = [(k, k % 3, f"t{k % 5}", [k % 2]) for k in range(300)]
+    hot = [(150, k % 7, f"t{k % 11}", [k % 3]) for k in range(2000)] + [(150, 1, "same", [1])] * 500 + [(None, 2, "n", [0])] * 50
+    df = spark.createDataFrame(some + hot, "k int, a int, t string, l array<int>").repartition(7)
+    got = [tuple(r) for r in with_row_index(df, ["k"], ties="all_columns").orderBy("row_index").collect()]
+    rows_in_order = sorted(some + hot, key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
+    assert [r[-1] for r in got] == list(range(len(rows_in_order)))
+    assert [r[:-1] for r in got] == rows_in_order
