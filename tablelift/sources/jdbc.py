@@ -5,11 +5,12 @@ from __future__ import annotations
 import decimal
 import math
 from collections.abc import Mapping, Sequence
+from itertools import pairwise
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablelift.sources.params import bind_params
+from tablelift.sources.params import bind_params, sql_literal
 
 # Default ports and how a URL is put together for each database.
 DEFAULT_PORTS = {"oracle": 1521, "postgresql": 5432}
@@ -50,6 +51,24 @@ def count_question(expression: str) -> str:
     return f"(SELECT COUNT(*) AS n FROM {expression}) c"
 
 
+def quantile_question(expression: str, column: str, parts: int) -> str:
+    """A sub-query for the greatest value of each of ``parts`` runs of like many rows, in the order of the partition column."""
+    ranked = f'SELECT t."{column}" AS v, NTILE({parts}) OVER (ORDER BY t."{column}") AS part FROM {expression} WHERE t."{column}" IS NOT NULL'
+    return f"(SELECT q.part AS part, MAX(q.v) AS hi FROM ({ranked}) q GROUP BY q.part) b"
+
+
+def quantile_predicates(column: str, tops: Sequence[Any]) -> list[str]:
+    """One condition for each part of a read: rows up to each of the ``tops``, and the rest. Every row meets exactly one, nulls the first.
+
+    A value that fills several runs has one part. Without tops there is one part of all rows.
+    """
+    name, limits = f'"{column}"', [sql_literal(v) for v in sorted({v for v in tops if v is not None})[:-1]]
+    if not limits:
+        return ["1 = 1"]
+    inner = [f"{name} > {low} AND {name} <= {high}" for low, high in pairwise(limits)]
+    return [f"{name} <= {limits[0]} OR {name} IS NULL", *inner, f"{name} > {limits[-1]}"]
+
+
 def actual_name(columns: Sequence[str], wanted: str) -> str:
     """A column as the database spells it; names are looked up without regard to case."""
     if wanted in columns:
@@ -79,24 +98,35 @@ def read_jdbc(
 ) -> DataFrame:
     """A query or table of a database, cut into ``num_partitions`` parallel reads on ``partition_column``.
 
-    Without ``lower_bound`` and ``upper_bound`` the database is asked for them. ``predicates`` gives
-    the parts explicitly, one condition each. Filters and columns chosen later go into the database's
+    Without ``lower_bound`` and ``upper_bound`` the database is asked for them, which gives parts of equal stride. With ``balance:
+    quantiles`` it is asked for the values that cut the rows into parts of like size, so that a column of uneven values does not leave most
+    rows to one task. ``predicates`` gives the parts explicitly, one condition each. Filters and columns chosen later go into the database's
     own query.
     """
     options = {"fetchsize": str(config.get("batch_size") or DEFAULT_FETCH)} | jdbc_options(kind, config)
     expression = table_expression(config, query, params)
-    if config.get("predicates"):
+    balance = config.get("balance", "strides")
+    if balance not in ("strides", "quantiles"):
+        raise ValueError(f"balance must be 'strides' or 'quantiles', not {balance!r}")
+
+    def by_predicates(predicates: Sequence[str]) -> DataFrame:
         properties = {k: v for k, v in options.items() if k != "url"}
-        return spark.read.jdbc(options["url"], expression, predicates=config["predicates"], properties=properties)
+        return spark.read.jdbc(options["url"], expression, predicates=list(predicates), properties=properties)
+
+    if config.get("predicates"):
+        return by_predicates(config["predicates"])
     reader = spark.read.format("jdbc").options(**options)
     whole = reader.option("dbtable", expression).load()
     if not config.get("partition_column"):
         return whole
     column = actual_name(whole.columns, config["partition_column"])
+    count = int(config.get("num_partitions") or spark.conf.get("spark.sql.shuffle.partitions"))
+    if balance == "quantiles":
+        asked = reader.option("dbtable", quantile_question(expression, column, count)).load()
+        return by_predicates(quantile_predicates(column, [row["hi"] for row in asked.toDF("part", "hi").collect()]))
     low, high = config.get("lower_bound"), config.get("upper_bound")
     if low is None or high is None:
         low, high = reader.option("dbtable", bounds_question(expression, column)).load().first()
-    count = int(config.get("num_partitions") or spark.conf.get("spark.sql.shuffle.partitions"))
     return reader.option("dbtable", expression).options(**partition_options(column, low, high, count)).load()
 
 

@@ -14,7 +14,16 @@ from tablelift.sources import (
     run_query,
     supported_sources,
 )
-from tablelift.sources.jdbc import actual_name, bounds_question, count_question, jdbc_options, partition_options, table_expression
+from tablelift.sources.jdbc import (
+    actual_name,
+    bounds_question,
+    count_question,
+    jdbc_options,
+    partition_options,
+    quantile_predicates,
+    quantile_question,
+    table_expression,
+)
 from tablelift.sources.params import bind_params, sql_literal
 
 
@@ -123,3 +132,30 @@ def test_column_as_the_database_spells_it():
     assert actual_name(["ID", "id"], "id") == "id"
     with pytest.raises(ValueError, match="not one of"):
         actual_name(["NAME"], "id")
+
+
+def test_quantiles_cut_a_skewed_column_evenly():
+    """The question and the conditions, worked out on plain tables by DuckDB."""
+    import duckdb
+
+    db = duckdb.connect()
+    db.execute("""CREATE TABLE t AS
+        SELECT i AS "ID", 'n' || (i * i % 1000)::VARCHAR AS "Name", DATE '2024-01-01' + (i % 40)::INT AS d FROM range(1000) r(i)
+        UNION ALL SELECT 1000000 + i, 'it''s', NULL FROM range(50) r(i) UNION ALL SELECT NULL, NULL, NULL FROM range(7)""")
+    for column in ("ID", "Name", "d"):
+        tops = [hi for _, hi in db.execute(f"SELECT * FROM {quantile_question('t t', column, 10)}").fetchall()]
+        conditions = quantile_predicates(column, tops)
+        sizes = [db.execute(f"SELECT count(*) FROM t WHERE {c}").fetchone()[0] for c in conditions]
+        assert sum(sizes) == 1057 and len(conditions) == 10
+        assert max(sizes) < 250, (column, sizes)
+        assert db.execute(f"SELECT count(*) FROM t WHERE ({conditions[0]}) AND {column} IS NULL").fetchone()[0] >= 7
+
+
+def test_quantiles_of_few_values():
+    assert quantile_predicates("k", []) == quantile_predicates("k", [None]) == quantile_predicates("k", [5, 5]) == ["1 = 1"]
+    assert quantile_predicates("k", [3, 3, 9, 9]) == ['"k" <= 3 OR "k" IS NULL', '"k" > 3']
+
+
+def test_unknown_balance(spark):
+    with pytest.raises(ValueError, match="balance"):
+        read_source(spark, "postgresql", {"host": "h", "database": "d", "table": "t", "balance": "even"})
