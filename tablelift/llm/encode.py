@@ -15,6 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tablelift.llm.text import SEGMENT, byte_values, mix, once, powers, runs_of_rows, space_table, whole_text
 
@@ -202,3 +203,17 @@ def encode(docs: DataFrame, path: str | None = None, end_id: int | None = END_ID
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, n), packed, sizes], names=["doc_id", "ids", "n_tokens"])
 
     return docs.select("doc_id", whole_text().alias("text")).mapInArrow(run, "doc_id bigint, ids binary, n_tokens bigint")
+
+
+def with_token_counts(docs: DataFrame, columns: list[str], path: str | None = None, end_id: int | None = END_ID) -> DataFrame:
+    """``columns`` of every row and ``n_tokens``, the number of ids of its whole text; null and empty texts have the end id alone."""
+    path = path or tokenizer_path()
+    kept = docs.select(*columns, whole_text().alias("_text"))
+
+    def run(batches):
+        for batch in batches:
+            for row, _, offsets in encode_column(batch.column(len(columns)), path, end_id):
+                few = batch.slice(row, len(offsets) - 1)
+                yield pa.RecordBatch.from_arrays([*few.columns[:-1], pa.array(np.diff(offsets).astype(np.int64))], names=[*columns, "n_tokens"])
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:-1], T.StructField("n_tokens", T.LongType())]))

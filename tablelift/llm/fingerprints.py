@@ -1,11 +1,11 @@
 """Merkle-tree fingerprints of texts. Built from DataFrame operations only.
 
-A text is cut into paragraphs, each of at most ``LONGEST`` characters and ending at a line end or the end of a sentence
-where there is one. Paragraphs get a digest each and form sections; a section ends after a paragraph whose digest says
-so, which keeps sections in step on both sides of an edit. A section's digest is made from its paragraphs', the root from the sections'.
-Equal roots mean equal texts; where roots differ, ``differing`` goes down the branches that differ.
+A text is cut into pieces that end at a line end or the end of a sentence, each of at most ``LONGEST`` characters, the leaves. A section is a
+line of the text; a long line is cut further after leaves whose digest says so, which keeps sections in step on both sides of an edit. All
+digests are SHA-256: a leaf's of its characters, a section's of its leaves' digests, the root's of the sections'. Equal roots mean
+equal texts; where roots differ, ``differing`` goes down the branches that differ. Likeness is taken from two fingerprints alone.
 
-A fingerprint is the text ``root:section=leaf,leaf;section=leaf,...`` in hexadecimal digits.
+A fingerprint is the text ``root:section=leaf,leaf;section=leaf,...`` in hexadecimal digits, the root whole, sections and leaves cut.
 """
 
 from __future__ import annotations
@@ -17,51 +17,52 @@ from tablelift.llm.text import only, whole_text
 
 LONGEST = 64
 PARAGRAPH = rf"(?s).{{1,{LONGEST}}}?(?:[.!?,;|]\s|\n|$)|.{{1,{LONGEST}}}"
-#: A section has so many paragraphs on average.
-SECTION = 8
+#: First digits of the digests of leaves that end a section: one leaf in eight.
+ENDING = ("0", "8")
+#: Hexadecimal digits of a section and a leaf in a fingerprint.
+SECTION_DIGITS, LEAF_DIGITS = 16, 10
 #: Rows that are put in order by one task, and ranges at most (their limits go to the driver, 8 bytes each).
 RANGE_ROWS, MOST_RANGES = 1000, 10_000
 LEAST_ID = -(1 << 63)
 
 
-def leaves(text: Column) -> Column:
-    """The digests of the paragraphs, in order."""
-    return F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda p: F.xxhash64(p))
-
-
-def section_ends(leaf: Column) -> Column:
-    """The number of the last paragraph of each section, counted from 1."""
-    number = F.sequence(F.lit(1), F.size(leaf))
-    ends = F.filter(number, lambda k: (k == F.size(leaf)) | (F.pmod(F.get(leaf, k - 1), F.lit(SECTION)) == 0))
-    return F.when(F.size(leaf) > 0, ends).otherwise(F.array().cast("array<int>"))
-
-
-def short(digest: Column) -> Column:
-    return F.lower(F.substring(F.lpad(F.hex(digest), 16, "0"), 9, 8))
-
-
-def with_tree(df: DataFrame, text: str, prefix: str) -> DataFrame:
-    """``df`` with the columns ``<prefix>leaves`` and ``<prefix>fingerprint`` of the text column."""
-    leaf, ends, tree = f"{prefix}leaves", f"{prefix}ends", f"{prefix}sections"
-    df = df.withColumn(leaf, leaves(F.col(text))).withColumn(ends, section_ends(F.col(leaf)))
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the fingerprint of the text column as the column ``name``."""
+    pieces, leaf, ends, tree, digests = (f"{name}_{k}" for k in ("pieces", "leaves", "ends", "sections", "digests"))
+    df = df.withColumn(pieces, F.regexp_extract_all(F.col(text), F.lit(PARAGRAPH), F.lit(0)))
+    df = df.withColumn(leaf, F.transform(F.col(pieces), lambda p: F.sha2(p, 256)))
+    number = F.filter(
+        F.sequence(F.lit(1), F.size(leaf)),
+        lambda k: (k == F.size(leaf)) | F.substring(F.get(F.col(leaf), k - 1), 1, 1).isin(*ENDING) | F.endswith(F.get(F.col(pieces), k - 1), F.lit("\n")),
+    )
+    df = df.withColumn(ends, F.when(F.size(leaf) > 0, number).otherwise(F.array().cast("array<int>")))
 
     def own(end, k):
         start = F.when(k == 0, F.lit(1)).otherwise(F.get(F.col(ends), k - 1) + 1)
         return F.slice(F.col(leaf), start, end - start + 1)
 
     df = df.withColumn(tree, F.transform(F.col(ends), own))
-    digests = F.transform(F.col(tree), lambda s: F.lower(F.lpad(F.hex(F.xxhash64(s)), 16, "0")))
+    df = df.withColumn(digests, F.transform(F.col(tree), lambda s: F.sha2(F.array_join(s, ","), 256)))
     written = F.zip_with(
-        digests, F.col(tree), lambda d, s: F.concat(d, F.lit("="), F.array_join(F.transform(s, short), ","))
+        F.col(digests), F.col(tree),
+        lambda d, s: F.concat(
+            F.substring(d, 1, SECTION_DIGITS), F.lit("="), F.array_join(F.transform(s, lambda x: F.substring(x, 1, LEAF_DIGITS)), ",")
+        ),
     )
-    root = F.sha2(F.array_join(digests, ","), 256)
-    df = df.withColumn(f"{prefix}fingerprint", F.concat(root, F.lit(":"), F.array_join(written, ";")))
-    return df.drop(ends, tree)
+    root = F.sha2(F.array_join(F.col(digests), ","), 256)
+    whole = F.concat(root, F.lit(":"), F.array_join(written, ";"))
+    return df.withColumn(name, whole).drop(pieces, leaf, ends, tree, digests)
+
+
+def leaves_of(fingerprint: Column) -> Column:
+    """The different leaves that a fingerprint tells."""
+    told = F.regexp_replace(F.element_at(F.split(fingerprint, ":"), 2), "[0-9a-f]*=", "")
+    return F.array_distinct(F.filter(F.split(told, "[,;]"), lambda x: x != ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the paragraph digests in both, over the number in each; 1 if both have none."""
-    one, two = F.array_distinct(a), F.array_distinct(b)
+    """Of two fingerprints: twice the leaves in both, over the number in each; 1 if both have none."""
+    one, two = leaves_of(a), leaves_of(b)
     total = F.size(one) + F.size(two)
     return F.when(total == 0, F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(one, two)) / total)
 
@@ -86,9 +87,9 @@ def differing(a: Column, b: Column) -> Column:
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, n_chars, fingerprint, leaves`` for every row; a null text counts as empty."""
+    """``doc_id, text, n_chars, fingerprint`` for every row; a null text counts as empty."""
     own = docs.select("doc_id", whole_text().alias("text"))
-    return with_tree(own.withColumn("n_chars", F.length("text").cast("bigint")), "text", "")
+    return with_fingerprint(own.withColumn("n_chars", F.length("text").cast("bigint")), "text", "fingerprint")
 
 
 def position(value: Column, limits: list[int]) -> Column:
@@ -143,18 +144,18 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     the smallest. An empty table gives an empty result.
     """
     dealt, window = with_next(only(docs, "doc_id", whole_text().alias("text")))
-    dealt = with_tree(dealt.withColumn("next_text", F.lag("text").over(window)), "text", "")
-    dealt = dealt.withColumn("next_leaves", F.lag("leaves").over(window)).where("not guest")
+    dealt = with_fingerprint(dealt.withColumn("next_text", F.lag("text").over(window)), "text", "fingerprint")
+    dealt = dealt.withColumn("next_fingerprint", F.lag("fingerprint").over(window)).where("not guest")
     n = F.length("text")
     dealt = dealt.withColumn("n_chars", n.cast("bigint")).withColumn("half", F.floor(n / 2).cast("int"))
     kept = F.expr("substring(text, 1, n_chars - half)")
     dealt = dealt.withColumn("edited_text", F.concat(kept, F.expr("substring(next_text, 1, half)")))
-    return with_tree(dealt, "edited_text", "edited_").select(
+    return with_fingerprint(dealt, "edited_text", "edited_fingerprint").select(
         "doc_id",
         "n_chars",
         "edited_text",
         "fingerprint",
         "edited_fingerprint",
-        likeness(F.col("leaves"), F.col("edited_leaves")).alias("near_edited"),
-        likeness(F.col("leaves"), F.col("next_leaves")).alias("near_next"),
+        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
     )

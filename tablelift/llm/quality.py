@@ -26,6 +26,8 @@ FEATURES = (
     "non_ascii", "repeated_pairs", "short_words", "log_longest",
 )
 SMALLEST = 1e-3
+#: Bytes of text worked on at a time in a task, about; each takes some 100 bytes of memory.
+RUN = 1 << 18
 
 
 def logit(share):
@@ -53,7 +55,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     """One row of transformed statistics for each text; a text without words gets those of zero counts."""
     words, kinds = Words(lower=False), byte_kinds()
     out = np.zeros((len(column), len(FEATURES)))
-    for first, data, offsets in runs_of_rows(column):
+    for first, data, offsets in runs_of_rows(column, RUN):
         starts, ends, hashes, place = words.of(data, offsets)
         sizes = ends - starts
         running = {k: np.concatenate([[0], np.cumsum(table[data])]) for k, table in kinds.items()}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablelift.llm import language_id, quality
 from tablelift.llm.centroids import centroid_clusters, clusters_sql
-from tablelift.llm.encode import encode
+from tablelift.llm.encode import encode, with_token_counts
 from tablelift.llm.exact_dedup import exact_duplicates
 from tablelift.llm.filter_audit import AUDIT_SQL, audit_filters
 from tablelift.llm.fingerprints import edited_fingerprints
@@ -70,54 +70,72 @@ def fingerprints_query(spark, folder):
     return found.withColumn("edited_text", F.sha2("edited_text", 256)).withColumnRenamed("edited_text", "edited_sha256")
 
 
-ROLLUP_SQL = r"""
-WITH counted AS (
-    SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
-           octet_length(encode(coalesce(text, ''))) AS bytes
-    FROM documents
-),
-rows AS (
-    SELECT source, lang, 'words-1' AS version, words AS tokens FROM counted WHERE doc_id % 10 <> 3
-    UNION ALL
-    SELECT source, lang, 'bytes-4' AS version, (bytes + 3) // 4 AS tokens FROM counted
-)
-SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL
-"""
+def by_four(n):
+    return F.floor((n + 3) / 4).cast("bigint")
+
+
+def change(kind, version, tokens, old=None):
+    """Columns of a batch of changes from counted documents."""
+    old = F.col(old) if old else F.lit(None).cast("bigint")
+    return ["source", "lang", F.lit(kind).alias("change"), F.lit(version).alias("version"), F.col(tokens).alias("tokens"), old.alias("old_tokens")]
+
+
+def rolled_up(spark, counted: DataFrame, version: str, exact: str) -> DataFrame:
+    """Totals after four batches: words, a first estimate of ``version``, its revision, and words of every tenth document removed; one sent twice."""
+    rollup = TokenRollup(spark, new_folder(spark, "rollup"))
+    revision = counted.select(*change("revise", version, exact, "rough"))
+    rollup.apply("1-words", counted.select(*change("insert", "words-1", "words")))
+    rollup.apply("2-rough", counted.select(*change("insert", version, "rough")))
+    rollup.apply("3-revised", revision)
+    rollup.apply("4-removed", counted.where("doc_id % 10 = 3").select(*change("delete", "words-1", "words")))
+    rollup.apply("3-revised", revision)
+    return rollup.totals()
 
 
-@query("op7_token_counts", ROLLUP_SQL)
+@query("op7_token_counts")
 def token_counts_query(spark, folder):
-    """Four batches over all documents: counts of two tokenizer versions, a revision of one, a removal; one sent twice.
+    """Token totals of all documents by source, language and version: the words, and the tokenizer's ids with the end id.
 
-    The first counts of ``bytes-4`` are those of characters; the revision replaces them. The removal takes every tenth document out of ``words-1``.
+    A token for every four bytes is the tokenizer's first estimate, which the revision replaces. A null text has no words and the end id
+    alone; a null ``doc_id`` is no tenth document; null sources and languages are groups of their own. No documents give no rows.
     """
-    docs = table(spark, folder, "documents")
-    words = word_count()
-    by_four = lambda n: F.floor((n + 3) / 4).cast("bigint")
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", "lang", "text", word_count().alias("words"), by_four(F.octet_length(whole_text())).alias("rough")
+    )
+    counted = stage(with_token_counts(docs, ["doc_id", "source", "lang", "words", "rough"]), "counted")
+    return rolled_up(spark, counted, "word_bpe_49k", "n_tokens")
+
+
+@query(
+    "token_counts_plain",
+    r"""
+    WITH counted AS (
+        SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+               octet_length(encode(coalesce(text, ''))) AS bytes
+        FROM documents
+    ),
+    rows AS (
+        SELECT source, lang, 'words-1' AS version, words AS tokens FROM counted WHERE doc_id IS NULL OR doc_id % 10 <> 3
+        UNION ALL
+        SELECT source, lang, 'bytes-4' AS version, (bytes + 3) // 4 AS tokens FROM counted
+    )
+    SELECT source, lang, version, count(*) AS docs, CAST(sum(tokens) AS BIGINT) AS tokens FROM rows GROUP BY ALL
+    """,
+)
+def token_counts_plain_query(spark, folder):
+    """The same rollup with counts that SQL can express: a token for every four bytes, estimated from the characters first."""
     counted = stage(
-        docs.select(
+        table(spark, folder, "documents").select(
             "doc_id",
             "source",
             "lang",
-            words.alias("words"),
+            word_count().alias("words"),
             by_four(F.length(whole_text())).alias("rough"),
             by_four(F.octet_length(whole_text())).alias("fine"),
         ),
         "counted",
     )
-
-    def change(kind, version, tokens, old=None):
-        old = F.col(old) if old else F.lit(None).cast("bigint")
-        return ["source", "lang", F.lit(kind).alias("change"), F.lit(version).alias("version"), F.col(tokens).alias("tokens"), old.alias("old_tokens")]
-
-    rollup = TokenRollup(spark, new_folder(spark, "rollup"))
-    revision = counted.select(*change("revise", "bytes-4", "fine", "rough"))
-    rollup.apply("1-words", counted.select(*change("insert", "words-1", "words")))
-    rollup.apply("2-bytes", counted.select(*change("insert", "bytes-4", "rough")))
-    rollup.apply("3-revised", revision)
-    rollup.apply("4-removed", counted.where("doc_id % 10 = 3").select(*change("delete", "words-1", "words")))
-    rollup.apply("3-revised", revision)
-    return rollup.totals()
+    return rolled_up(spark, counted, "bytes-4", "fine")
 
 
 @query("op3_packing")
@@ -140,8 +158,8 @@ def substring_dedup_query(spark, folder):
 
 
 def remainder(n: int):
-    """crc32 of the doc_id as text, modulo n."""
-    return F.crc32(F.col("doc_id").cast("string")) % n
+    """crc32 of the doc_id as text, modulo n; -1 without a doc_id, so that such a row is learnt from and never held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1).cast("bigint"))
 
 
 @query("op6_language_id")

@@ -4,9 +4,11 @@ from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tablelift.llm import fingerprints, mixing
+from tablelift.llm.encode import encode, tokenizer_path
 from tablelift.llm.fingerprints import differing, document_fingerprints, edited_fingerprints
 from tablelift.llm.mixing import mix
 from tablelift.llm.queries import QUERIES, SQL
@@ -40,6 +42,38 @@ def test_edits_take_the_next_document(docs_of, range_rows, monkeypatch):
     assert len(found) == len(rows)
 
 
+def plain_tree(text):
+    """Root, printed form and printed leaves of a text."""
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    sections, own = [], []
+    for piece in re.findall(fingerprints.PARAGRAPH, text):
+        own.append(sha(piece))
+        if own[-1][0] in fingerprints.ENDING or piece.endswith("\n"):
+            sections.append(own)
+            own = []
+    sections += [own] if own else []
+    digests = [sha(",".join(s)) for s in sections]
+    printed = [f"{d[:16]}=" + ",".join(x[:10] for x in s) for d, s in zip(digests, sections, strict=True)]
+    return f"{sha(','.join(digests))}:{';'.join(printed)}", {x[:10] for s in sections for x in s}
+
+
+def plain_likeness(one, two):
+    return 2 * len(one & two) / (len(one) + len(two)) if one or two else 1.0
+
+
+def test_tree_and_likeness_by_a_plain_version(spark, small, odd):
+    texts = [r.text for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    rows = [(k, t) for k, t in enumerate([*texts, "", None, "\n", "one line\nand another\n", "a, b; c | d"])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(edited_fingerprints(docs).collect(), key=lambda r: -r.doc_id)
+    for k, r in enumerate(found):
+        own, following = (plain_tree(rows[found[j % len(found)].doc_id][1] or "") for j in (k, k + 1))
+        edited = plain_tree(r.edited_text)
+        assert (r.fingerprint, r.edited_fingerprint) == (own[0], edited[0])
+        assert r.near_edited == pytest.approx(plain_likeness(own[1], edited[1]))
+        assert r.near_next == pytest.approx(plain_likeness(own[1], following[1]))
+
+
 def test_fingerprints_of_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
@@ -83,6 +117,37 @@ def test_fingerprints_of_odd_and_no_rows(odd, none, docs_of):
     assert only.edited_text == "just onjust o" and only.near_next == 1.0
 
 
+# Token counts
+
+
+def test_token_counts_by_a_plain_version(spark, odd, none, tmp_path):
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    for number, docs in enumerate((odd, none)):
+        docs.write.parquet(f"{tmp_path}/{number}/documents.parquet")
+        expected = defaultdict(lambda: [0, 0])
+        for r in docs.collect():
+            text = r.text or ""
+            counts = {"word_bpe_49k": len(tokenizer.encode(text, add_special_tokens=False).ids) + 1}
+            if r.doc_id is None or r.doc_id % 10 != 3:
+                counts["words-1"] = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+            for version, n in counts.items():
+                total = expected[r.source, r.lang, version]
+                total[0] += 1
+                total[1] += n
+        found = QUERIES["op7_token_counts"](spark, f"{tmp_path}/{number}").collect()
+        assert {(r.source, r.lang, r.version): [r.docs, r.tokens] for r in found} == dict(expected)
+
+
+def test_held_out_is_never_null(spark, odd, small, tmp_path):
+    odd.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars").write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op6_language_id", "op10_quality"):
+        found = QUERIES[name](spark, str(tmp_path))
+        assert found.where("held_out is null or score is null").count() == 0
+        assert {r.held_out for r in found.where("doc_id is null").collect()} == {False}
+
+
 # Mixing
 
 
@@ -184,7 +249,8 @@ def test_query_agrees_with_sql(spark, small, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    numbers = [re.match(r"op(\d+)_", n) for n in QUERIES]
+    assert sorted(int(n[1]) for n in numbers if n) == list(range(1, 14))
 
 
 def test_pipeline_stage_by_stage(spark, small):
@@ -241,6 +307,39 @@ def test_pipeline_stage_by_stage(spark, small):
 
 
 def test_pipeline_stages_take_odd_and_no_rows(spark, odd, none, small):
-    for docs in (odd, none):
-        for _name, function in corpus_pipeline.STAGES:
-            assert function(spark, docs, small).count() >= 0
+    texts = {(r.doc_id, r.text) for r in odd.collect()}
+    for name, function in corpus_pipeline.STAGES:
+        assert function(spark, none, small).count() == 0
+        found = function(spark, odd, small)
+        if name == "packing":
+            assert found.agg(F.sum("length")).first()[0] == encode(odd).agg(F.sum("n_tokens")).first()[0]
+            continue
+        kept = [(r.doc_id, r.text) for r in found.collect()]
+        assert found.columns == odd.columns and set(kept) <= texts
+        if name == "exact_dedup":
+            assert sorted(norm(t) for _, t in kept) == sorted({norm(t) for _, t in texts})
+
+
+def test_the_whole_pipeline(spark, small):
+    """Each stage by a plain version of its rule, on what the one before it kept."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.good_quality(spark, docs, small).collect()}
+    first = {}
+    for doc in sorted(kept):
+        first.setdefault(norm(kept[doc]), doc)
+    unique = sorted(first.values())
+    alone = [doc for doc, _, component in brute([(doc, kept[doc]) for doc in unique]) if component == doc]
+    pieces = corpus_pipeline.run(spark, small).collect()
+    assert 0 < len(alone) < len(unique) < len(kept) and {p.doc_id for p in pieces} <= set(alone)
+    by_source = {r.doc_id: r.source for r in docs.collect()}
+    assert {by_source[p.doc_id] for p in pieces} == {by_source[doc] for doc in alone}
+    ends = defaultdict(int)
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        assert p.offset == ends[p.sequence_id]
+        ends[p.sequence_id] += p.length
+    assert max(ends.values()) <= 4096
+    whole = {r.doc_id: r.n_tokens for r in encode(docs).collect()}
+    taken = defaultdict(int)
+    for p in pieces:
+        taken[p.doc_id] += p.length
+    assert all(taken[doc] % whole[doc] == 0 and taken[doc] <= 3 * whole[doc] for doc in taken)
