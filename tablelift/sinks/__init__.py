@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
 
 from tablelift.functions.names import clean_name
 from tablelift.operators.columns import (
@@ -20,7 +21,7 @@ from tablelift.operators.columns import (
 from tablelift.operators.upsert import one_per_key, upsert
 from tablelift.plans.settings import as_bool
 from tablelift.session import stage
-from tablelift.sinks.targets import CatalogTarget, FileTarget, JdbcTarget, Target, ViewTarget
+from tablelift.sinks.targets import CatalogTarget, DataSourceTarget, FileTarget, JdbcTarget, Target, ViewTarget
 from tablelift.sinks.versions import Mark
 
 MODES = ("insert", "upsert", "replace")
@@ -37,8 +38,10 @@ _targets: dict[str, Target] = {
 }
 
 
-def register_target(name: str, target: Target) -> None:
-    """Add or replace a target; names are matched without regard to case."""
+def register_target(name: str, target: Target | type[DataSource]) -> None:
+    """Add or replace a target, or a class of Spark's Python data source API; names are matched without regard to case."""
+    if isinstance(target, type) and issubclass(target, DataSource):
+        target = DataSourceTarget(target)
     _targets[name.lower()] = target
 
 

@@ -7,10 +7,12 @@ from dataclasses import replace
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
 from tablelift.operators.upsert import upsert
 from tablelift.session import new_folder
 from tablelift.sinks.versions import Mark, Part, Version, Versions
+from tablelift.sources import options_of
 from tablelift.sources.jdbc import jdbc_options, read_jdbc
 
 DEFAULT_BATCH = 5_000
@@ -242,6 +244,47 @@ class JdbcTarget:
         self._write(df, config, table, "overwrite", truncate="true", **cascade)
 
 
+class DataSourceTarget:
+    """What a class of Spark's Python data source API writes to. Its writer's ``commit`` makes a load count.
+
+    The class may say by a function ``exists(options)`` whether the table is there; otherwise it always is.
+    """
+
+    casts_itself = False
+
+    def __init__(self, kind: type[DataSource]):
+        self.kind = kind
+
+    def _options(self, config, table) -> dict[str, str]:
+        return options_of(config) | {"table": table}
+
+    def exists(self, spark, config, table) -> bool:
+        found = getattr(self.kind, "exists", None)
+        return found(self._options(config, table)) if found else True
+
+    def read(self, spark, config, table) -> DataFrame:
+        spark.dataSource.register(self.kind)
+        return spark.read.format(self.kind.name()).options(**self._options(config, table)).load()
+
+    def _save(self, df, config, table, mode: str) -> None:
+        df.sparkSession.dataSource.register(self.kind)
+        df.write.format(self.kind.name()).options(**self._options(config, table)).mode(mode).save()
+
+    def create(self, df, config, table) -> None:
+        if getattr(self.kind, "exists", None) and self.exists(df.sparkSession, config, table):
+            raise ValueError(f"{table} is there already")
+        self._save(df, config, table, "append")
+
+    def replace(self, df, config, table) -> None:
+        self._save(df, config, table, "overwrite")
+
+    def append(self, df, config, table) -> None:
+        self._save(df, config, table, "append")
+
+    def refill(self, df, config, table) -> None:
+        self._save(df, config, table, "overwrite")
+
+
 class ViewTarget:
     """A temporary view of the session over a written copy in the shared folder."""
 

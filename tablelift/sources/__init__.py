@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Mapping
 from functools import partial
 from pathlib import PurePosixPath
@@ -9,9 +10,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource
 
 from tablelift.sources.jdbc import count_jdbc, read_jdbc
 
+_naming = threading.Lock()
 DATABASES = ("oracle", "postgresql", "jdbc")
 Source = Callable[[SparkSession, Mapping[str, Any], str | None, Mapping[str, Any] | None], DataFrame]
 
@@ -69,8 +72,41 @@ _sources: dict[str, Source] = {
 }
 
 
-def register_source(name: str, source: Source) -> None:
-    """Add or replace a source; names are matched without regard to case."""
+def options_of(config: Mapping[str, Any]) -> dict[str, str]:
+    """A configuration as the options of a Python data source: its plain values, and those under ``options``."""
+    plain = {k: v for k, v in config.items() if isinstance(v, (str, int, float, bool))}
+    return {k: str(v) for k, v in {**plain, **(config.get("options") or {})}.items()}
+
+
+def _read_data_source(kind: type[DataSource], spark, config, query, params) -> DataFrame:
+    """A Python data source; a query sees it as a view named as the configuration or the source says, which is there while it is looked up.
+
+    The class is known to this session alone, so the view cannot be in another; a view of that name that is there already is an error.
+    """
+    spark.dataSource.register(kind)
+    reader = spark.read.format(kind.name()).options(**options_of(config))
+    if config.get("schema"):
+        reader = reader.schema(config["schema"])
+    rows = reader.load()
+    if not query:
+        return rows
+    view = config.get("view") or kind.name()
+    with _naming:
+        rows.createTempView(view)
+        try:
+            return run_query(spark, query, params)
+        finally:
+            spark.catalog.dropTempView(view)
+
+
+def register_source(name: str, source: Source | type[DataSource]) -> None:
+    """Add or replace a source; names are matched without regard to case.
+
+    A source is a function, or a class of Spark's Python data source API, whose reader gives the partitions, takes the filters it can work off
+    itself and yields Arrow batches.
+    """
+    if isinstance(source, type) and issubclass(source, DataSource):
+        source = partial(_read_data_source, source)
     _sources[name.lower()] = source
 
 

@@ -16,6 +16,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource
 
 from tablelift.operators.control import OK, STARTED, ControlTable
 from tablelift.operators.upsert import by_key
@@ -114,6 +115,34 @@ def stream_load(
     return _run_to_end(shaped, write, checkpoint)
 
 
+def stream_into(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | str,
+    kind: type[DataSource],
+    options: Mapping[str, Any],
+    checkpoint: str,
+    config: Mapping[str, Any] | None = None,
+    files_per_batch: int = FILES_PER_BATCH,
+) -> int:
+    """Load all files that are new in ``source`` into a Python data source and stop; returns the rows sent in this run.
+
+    The class's stream writer gets the messages of a batch's tasks with the number of the batch in ``commit``. A batch that broke off is sent
+    again under the same number, by which the writer must know it; see the tests for one that does.
+    """
+    spark.dataSource.register(kind)
+    shaped = shape_for_load(_new_files(spark, source, schema, files_per_batch), config or {})
+    query = (
+        shaped.writeStream.format(kind.name())
+        .options(**{k: str(v) for k, v in options.items()})
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return sum(progress["numInputRows"] for progress in query.recentProgress)
+
+
 def _new_files(spark: SparkSession, source: str, schema: T.StructType | str, files_per_batch: int) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
 
