@@ -100,14 +100,19 @@ def document_frequencies(training: DataFrame) -> np.ndarray:
 
 
 def sample_features(training: DataFrame, counts: dict[str, int], rows: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Class, features and counts of a sample of about ``rows`` rows, as many of each language as far as there are."""
+    """Class, features and counts of a sample of about ``rows`` rows, as many of each language as far as there are.
+
+    Rows are drawn by a hash of ``doc_id`` and text, so equal rows are drawn together; the driver gets ``2 * rows`` rows at most, however
+    often a row repeats.
+    """
     each = max(1, rows // max(1, len(counts)))
     names = sorted(counts)
     share = F.lit(0.0)
     for name in names:
         share = F.when(F.col("lang") == name, min(1.0, each / counts[name])).otherwise(share)
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_000)) / 1_000_000
-    chosen = training.where(draw < share).select("lang", "text", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("turn"))
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1_000_000)) / 1_000_000
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)).alias("turn")
+    chosen = training.where(draw < share).select("lang", "text", turn, (draw / share).alias("place"))
 
     def run(batches):
         for batch in batches:
@@ -117,12 +122,13 @@ def sample_features(training: DataFrame, counts: dict[str, int], rows: int) -> l
                     batch.column(0),
                     pa.array([u.astype(np.uint16).tobytes() for u, _ in found], pa.binary()),
                     pa.array([c.astype(np.uint32).tobytes() for _, c in found], pa.binary()),
-                    batch.column(2),
+                    *batch.columns[2:],
                 ],
-                names=["lang", "used", "counts", "turn"],
+                names=["lang", "used", "counts", "turn", "place"],
             )
 
-    table = chosen.mapInArrow(run, "lang string, used binary, counts binary, turn bigint").toPandas()
+    sampled = chosen.mapInArrow(run, "lang string, used binary, counts binary, turn bigint, place double")
+    table = sampled.orderBy("place", "turn", "lang", "used").limit(2 * rows).toPandas()
     table = table.sort_values(["turn", "lang", "used"])
     out = []
     for lang, used, count in zip(table.lang, table.used, table.counts, strict=True):

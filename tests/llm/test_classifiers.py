@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -104,3 +105,57 @@ def test_quality_of_odd_and_no_rows(odd, none, spark):
     assert quality.learn(stats, labels.limit(0), labels.doc_id >= 0) is None
     assert {r.score for r in quality.score(stats, None).collect()} == {0.5}
     assert quality.keep_good(odd, None).count() == odd.count()
+
+
+def test_follow_the_leader_by_a_plain_version():
+    """The same update, one weight at a time, from the formulas of FTRL-Proximal with elastic net."""
+    rng = np.random.default_rng(4)
+    buckets, classes, alpha, beta, l1, l2 = 12, 3, 0.5, 1.0, 0.02, 0.1
+    idf = np.zeros(language_id.BUCKETS)
+    idf[:buckets] = 1 + rng.random(buckets)
+    rows = []
+    for _ in range(40):
+        used = np.sort(rng.choice(buckets, rng.integers(1, 6), replace=False))
+        rows.append((int(rng.integers(classes)), used, rng.integers(1, 5, len(used)).astype(np.uint32)))
+    z, n = {}, {}
+
+    def weight(f, c):
+        held = z.get((f, c), 0.0)
+        if abs(held) <= l1:
+            return 0.0
+        return -(held - math.copysign(l1, held)) / ((beta + math.sqrt(n.get((f, c), 0.0))) / alpha + l2)
+
+    for _ in range(3):
+        for label, used, counts in rows:
+            values = {int(f): math.log(1 + int(c)) * idf[f] for f, c in zip(used, counts, strict=True)}
+            length = math.sqrt(sum(v * v for v in values.values()))
+            values = {f: v / length for f, v in values.items()} | {"bias": 1.0}
+            w = {(f, c): weight(f, c) for f in values for c in range(classes)}
+            scores = [math.exp(sum(v * w[f, c] for f, v in values.items())) for c in range(classes)]
+            for f, v in values.items():
+                for c in range(classes):
+                    g = v * (scores[c] / sum(scores) - (c == label))
+                    old = n.get((f, c), 0.0)
+                    rise = (math.sqrt(old + g * g) - math.sqrt(old)) / alpha
+                    z[f, c] = z.get((f, c), 0.0) + g - rise * w[f, c]
+                    n[f, c] = old + g * g
+    weights, bias = language_id.follow_the_leader(rows, idf, classes)
+    for c in range(classes):
+        assert bias[c] == pytest.approx(weight("bias", c))
+        for f in range(buckets):
+            assert weights[f, c] == pytest.approx(weight(f, c))
+    assert not weights[buckets:].any()
+
+
+def test_document_frequencies_and_sample_by_plain_versions(spark):
+    rows = [(k % 40, f"some words of text {k % 7} und der", ["en", "de"][k % 2]) for k in range(100)] + [(5, "one hot row", "en")] * 500 + [(6, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    found = language_id.document_frequencies(docs)
+    expected = np.zeros(language_id.BUCKETS, np.int64)
+    for _, text, _ in rows:
+        expected[language_id.ngram_counts(text or "")[0]] += 1
+    assert (found == expected).all()
+    drawn = language_id.sample_features(docs, {"en": 550, "de": 51}, 60)
+    assert 0 < len(drawn) <= 120
+    again = language_id.sample_features(docs.repartition(3), {"en": 550, "de": 51}, 60)
+    assert [(a[0], a[1].tolist(), a[2].tolist()) for a in drawn] == [(a[0], a[1].tolist(), a[2].tolist()) for a in again]
