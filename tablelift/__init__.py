@@ -4,6 +4,7 @@ from tablelift.operators.chunks import (
     assign_chunks,
     chunk_plan,
     find_chunk_limits,
+    key_index,
     page,
     page_by_row_number,
     page_sweep,
@@ -21,12 +22,13 @@ from tablelift.operators.columns import (
     standardize_columns,
 )
 from tablelift.operators.control import ControlTable
+from tablelift.operators.reports import copy_progress
 from tablelift.operators.upsert import upsert
 from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.run import problems, run_config, run_summary
 from tablelift.sinks import load, register_target, supported_targets
 from tablelift.sources import read_source, register_source, row_count, run_query, supported_sources
-from tablelift.streaming import stream_chunks, stream_copy, stream_load
+from tablelift.streaming import stream_chunks, stream_copy, stream_into, stream_load
 
 __all__ = [
     "ControlTable",
@@ -35,9 +37,11 @@ __all__ = [
     "cast_for_target",
     "chunk_plan",
     "copy_in_chunks",
+    "copy_progress",
     "encode_tsv",
     "find_chunk_limits",
     "keep_last_columns",
+    "key_index",
     "load",
     "map_columns",
     "page",
@@ -56,6 +60,7 @@ __all__ = [
     "standardize_columns",
     "stream_chunks",
     "stream_copy",
+    "stream_into",
     "stream_load",
     "supported_sources",
     "supported_targets",

@@ -12,6 +12,10 @@ from tablelift.operators.control import OK, STARTED, ControlTable, latest_run
 from tablelift.session import stage
 
 CHUNKS_PER_BLOCK = 10_000
+PROGRESS = (
+    "run_id string, state string, chunks bigint, chunks_done bigint, rows bigint, percent double, seconds double, "
+    "rows_per_second double, eta_seconds double"
+)
 # Seconds are summed as decimals, so the result does not depend on the order of the rows.
 EXACT_SECONDS = "decimal(20,6)"
 
@@ -71,6 +75,33 @@ def copy_counts(control: ControlTable, name: str) -> DataFrame:
     return done.join(waves, ["began", "ended"]).select("chunk_number", "rows", share.alias("seconds"))
 
 
+def copy_progress(control: ControlTable, name: str) -> DataFrame:
+    """One row on the latest copy of that name, also while it runs: chunks and rows done, seconds so far, rows per second and seconds left.
+
+    The seconds run from the first state to the last; nothing is left of a closed copy. No row if there was none.
+    """
+    latest = control.latest(name)
+    if latest is None:
+        return control.spark.createDataFrame([], PROGRESS)
+    done = F.col("status") == OK
+    seconds = seconds_between(F.min("created_at"), F.max("updated_at"))
+    sums = control.of_run(latest["run_id"], name).agg(
+        F.count_if(done).alias("chunks_done"), F.coalesce(F.sum(F.when(done, F.col("rows_loaded"))), F.lit(0)).alias("rows"), seconds.alias("seconds")
+    )
+    left = F.lit(0.0) if latest["closed"] else F.try_divide(F.col("seconds") * (F.lit(latest["chunks"]) - F.col("chunks_done")), F.col("chunks_done"))
+    return sums.select(
+        F.lit(latest["run_id"]).alias("run_id"),
+        F.lit("closed" if latest["closed"] else "open").alias("state"),
+        F.lit(latest["chunks"]).cast("bigint").alias("chunks"),
+        "chunks_done",
+        "rows",
+        F.round(F.try_divide(F.col("chunks_done") * 100, F.lit(latest["chunks"])), 1).alias("percent"),
+        "seconds",
+        F.try_divide(F.col("rows").cast("double"), F.col("seconds")).alias("rows_per_second"),
+        left.alias("eta_seconds"),
+    )
+
+
 def chunk_report(counts: DataFrame, size: int, by: Sequence[str] = ()) -> DataFrame:
     """Per chunk: rows, chunk size, offset, running total and percent of all rows; ``by`` names the table's columns.
 

@@ -7,15 +7,22 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tablelift.operators import reports
 from tablelift.operators.chunks import assign_chunks
+from tablelift.operators.control import ControlTable
 from tablelift.operators.reports import (
     chunk_counts,
     chunk_eta,
     chunk_report,
+    copy_counts,
+    copy_progress,
     reconcile_counts,
     running_total,
     seconds_between,
     throughput,
 )
+from tablelift.plans.copy import copy_in_chunks
+from tablelift.session import new_folder
+from tablelift.sinks import register_target
+from tablelift.sinks.targets import FileTarget
 
 
 def test_one_chunk_of_a_small_table(spark):
@@ -78,3 +85,35 @@ def test_reconcile_both_sides(spark):
     left = spark.createDataFrame([(1,), (1,), (2,), (4,)], "chunk_number long")
     right = spark.createDataFrame([(1,), (1,), (3,), (4,), (4,)], "chunk_number long")
     assert rows(reconcile_counts(left, right)) == [(1, 2, 2, True), (2, 1, 0, False), (3, 0, 1, False), (4, 1, 2, False)]
+
+
+class Watched(FileTarget):
+    """Looks at the progress of the copy that appends to it."""
+
+    def __init__(self, look):
+        super().__init__("parquet")
+        self.look, self.seen = look, []
+
+    def append(self, df, config, table, **more):
+        self.seen.append(self.look())
+        return super().append(df, config, table, **more)
+
+
+def test_progress_of_a_running_copy(spark, read):
+    place = new_folder(spark, "copy")
+    control = ControlTable(spark, f"{place}/control")
+    assert copy_progress(control, "o").collect() == []
+
+    def look():
+        eta = chunk_eta(chunk_report(copy_counts(control, "o"), 100)).orderBy("chunk_number").collect()
+        return copy_progress(control, "o").first(), eta
+
+    target = Watched(look)
+    register_target("watched", target)
+    copy_in_chunks(read("orders"), "o", "t", ["o_orderkey"], 100, control, "watched", {"path": place}, waves=5)
+    for wave, (now, eta) in enumerate(target.seen):
+        assert (now.state, now.chunks, now.chunks_done, now.rows, now.percent) == ("open", 15, 3 * wave, 300 * wave, 20.0 * wave)
+        assert len(eta) == 3 * wave and (not eta or eta[-1].cumulative == 300 * wave)
+        assert not wave or (now.rows_per_second > 0 and now.eta_seconds > 0)
+    end = copy_progress(control, "o").first()
+    assert (end.state, end.chunks_done, end.rows, end.eta_seconds) == ("closed", 15, 1500, 0.0)
