@@ -11,7 +11,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablelift.operators.control import OK, ControlTable
+from tablelift.operators.control import CHUNK_KEY, OK, ControlTable
 from tablelift.plans.copy import copy_in_chunks
 from tablelift.plans.settings import REPEATED, as_bool, as_size, check_config, expand_settings
 from tablelift.session import shared_folder, stage
@@ -72,7 +72,8 @@ def run_config(
     table in one job, ``chunked`` copies it by :func:`copy_in_chunks` and can be resumed, ``stream`` loads the files of
     a ``parquet`` source that are new by :func:`stream_load`. ``parallel`` (default true) submits the jobs of several
     extractions at the same time, so that a small table does not wait for the last task of a large one; a number says
-    how many. ``${NAME}`` is filled from ``values``, by default the environment.
+    how many. ``control_target`` (target, table, config) names a copy of the control table that is brought up to date at the end of a
+    chunked or streamed run. ``${NAME}`` is filled from ``values``, by default the environment.
 
     Two extractions of one name are an error before anything runs; all other problems that ``problems`` would list
     fail or skip their own step.
@@ -104,9 +105,21 @@ def run_config(
     with ThreadPoolExecutor(_side_by_side(config.get("parallel", True))) as pool:
         for rows in pool.map(work, extractions):
             steps.rows += rows
+    where = config.get("control_target")
+    if where and mode != "batch":
+        control = ControlTable(spark, _control_path(spark, config))
+        steps.run("control", where["table"], "control", where["table"], lambda: publish_control(control, **where))
     return spark.createDataFrame(steps.rows, STEP_SCHEMA)
 
 
+def publish_control(control: ControlTable, target: str, table: str, config: Mapping[str, Any] | None = None) -> int:
+    """Bring a copy of the control table in a target up to date, a row for each run, extraction and chunk; returns the rows of the control table.
+
+    So the states can be looked up beside the loaded tables, in a database for instance. Resuming does not read the copy.
+    """
+    return load(control.current(), target, table, {**(config or {}), "keys": CHUNK_KEY, "clean_names": False}, mode="upsert")
+
+
 def _side_by_side(parallel: Any) -> int:
     """A flag, or a number of extractions."""
     if not isinstance(parallel, bool) and str(parallel).strip().isdigit() and int(parallel) > 1:

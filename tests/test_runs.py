@@ -335,3 +335,19 @@ def test_a_query_is_staged(spark, small):
     assert ControlTable(spark, f"{place}/control").latest("orders_load")["staged"]
     copied = find_target("parquet").read(spark, {"path": place}, "orders")
     assert (copied.count(), copied.select("o_orderkey").distinct().count()) == (1500, 1500)
+
+
+def test_control_table_beside_the_target(spark, small):
+    place = new_folder(spark, "r")
+    copy = {"target": "parquet", "table": "etl_control", "config": {"path": f"{place}/db"}}
+    config = config_for(small, place, "customer", "part", mode="chunked", control_path=f"{place}/control", control_target=copy)
+    for entry, key in zip(config["loads"], ("c_custkey", "p_partkey"), strict=True):
+        entry["config"] |= {"chunk_key": key, "truncate_before_load": True}
+    for extraction in config["extractions"]:
+        extraction["config"]["batch_size"] = 40
+    for _ in range(2):  # the second run adds its own rows and leaves the first one's
+        steps = run_config(spark, config).collect()
+        assert [(r.name, r.status) for r in steps if r.step == "control"] == [("etl_control", "OK")]
+    states = ControlTable(spark, f"{place}/control").current().drop("created_at", "updated_at")
+    found = find_target("parquet").read(spark, {"path": f"{place}/db"}, "etl_control")
+    assert rows(found.drop("created_at", "updated_at")) == rows(states) and found.select("run_id").distinct().count() == 4
