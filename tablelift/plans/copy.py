@@ -99,14 +99,15 @@ def copy_in_chunks(
     shaped = shape_for_load(df, config)
     if there:
         shaped = fit_to(shaped, place.read(spark, config, table), cast=not place.casts_itself)
-    held = _held_rows(control, name, shaped) if staged else None
+    source, held = shaped, _held_rows(control, name, shaped) if staged else None
     if staged:
-        shaped = held or stage(shaped, "copied")
+        shaped = held if held is not None else stage(source, "copied")
     plan = _plan_waves(shaped, key, size, waves, commit_rows)
     run_id, done = _open_run(control, name, plan)
     resumed, run_id = run_id is not None, run_id or uuid.uuid4().hex
-    if held is not None and not resumed:  # the rows of a finished run
-        raise RuntimeError(f"{name} was finished meanwhile")
+    if held is not None and not resumed:  # the held rows had all been copied, only the run was not closed
+        shaped = stage(source, "copied")
+        plan = _plan_waves(shaped, key, size, waves, commit_rows)
     laid = _lay_out(shaped, plan) if staged else None
     if not resumed:
         control.begin(run_id, name, size, plan.chunks, _folder_of(shaped) if staged else None)
@@ -230,7 +231,8 @@ def _open_run(control: ControlTable, name: str, plan: _Waves) -> tuple[str | Non
     states = control.of_run(latest["run_id"], name)
     wave = (whole_part(F.col("chunk_number") - 1, plan.per_wave) + 1).alias("wave")
     counts = states.groupBy(wave).agg(F.count_if(F.col("status") == OK).alias("good")).collect()
-    if sum(row["good"] for row in counts) == plan.chunks:
+    if sum(row["good"] for row in counts) >= latest["chunks"]:
+        control.finish(latest["run_id"])  # it broke off before that
         return None, set()
     if latest["size"] != plan.size:
         raise ValueError(f"{name} has an open run with chunks of {latest['size']} rows; it cannot go on with {plan.size}")

@@ -100,7 +100,7 @@ class Folder:
 
     def move(self, name: str, to: str) -> bool:
         """Rename a file, never over another; whether it was done."""
-        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.path().toUri(), self._settings)
+        context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.system.getUri(), self._settings)
         options = self._jvm.java.lang.reflect.Array.newInstance(self._jvm.org.apache.hadoop.fs.Options.Rename.NONE.getClass(), 0)
         try:
             context.rename(self.path(name), self.path(to), options)

@@ -87,7 +87,7 @@ class FileTarget:
         return Versions(spark, self.folder(config, table), self.format)
 
     def exists(self, spark, config, table) -> bool:
-        return self.versions(spark, config, table).found() is not None
+        return self.versions(spark, config, table).there()
 
     def read(self, spark, config, table) -> DataFrame:
         versions = self.versions(spark, config, table)
@@ -164,9 +164,9 @@ class FileTarget:
                 if published is None or part not in published.parts:
                     versions.drop(part)
 
-    def clean(self, spark, config, table, keep: int = 1) -> int:
-        """Remove the files that none of the last ``keep`` versions holds; returns how many."""
-        return self.versions(spark, config, table).clean(keep)
+    def clean(self, spark, config, table, keep: int = 1, unnamed_after_hours: float | None = None) -> int:
+        """Remove the files that none of the last ``keep`` versions holds, and those that a lost load has left; returns how many."""
+        return self.versions(spark, config, table).clean(keep, unnamed_after_hours)
 
 
 class CatalogTarget:

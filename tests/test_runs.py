@@ -351,3 +351,17 @@ def test_control_table_beside_the_target(spark, small):
     states = ControlTable(spark, f"{place}/control").current().drop("created_at", "updated_at")
     found = find_target("parquet").read(spark, {"path": f"{place}/db"}, "etl_control")
     assert rows(found.drop("created_at", "updated_at")) == rows(states) and found.select("run_id").distinct().count() == 4
+
+
+@pytest.mark.parametrize("staged", [False, True])
+def test_a_run_that_broke_off_before_it_was_closed(spark, read, staged):
+    place = new_folder(spark, "copy")
+    control, config = ControlTable(spark, f"{place}/control"), {"path": place, "truncate_before_load": True}
+    copy = dict(name="c", table="t", key=["c_custkey"], size=40, control=control, config=config, staged=staged)
+    first = copy_in_chunks(read("customer"), **copy)
+    control.files.delete(f"{control._run(first.run_id)}/_closed")
+    assert not control.latest("c")["closed"]
+    changed = read("customer").filter("c_custkey < 100")
+    second = copy_in_chunks(changed, **copy)
+    assert not second.resumed and second.rows == changed.count() and control.latest("c")["closed"]
+    assert rows(find_target("parquet").read(spark, config, "t")) == rows(changed)

@@ -175,6 +175,16 @@ def test_cleaning_removes_what_only_old_versions_hold(spark, config):
     assert has_files(spark, f"{config['path']}/t/_data") and content(spark, config) == {0: 0, 1: 1}
 
 
+def test_what_a_lost_load_has_left(spark, config):
+    load(pairs(spark, 0, 10), "parquet", "t", config)
+    versions = PLACE.versions(spark, config, "t")
+    lost = versions.write(pairs(spark, 10, 20).coalesce(1), {})
+    assert PLACE.clean(spark, config, "t") == PLACE.clean(spark, config, "t", unnamed_after_hours=1) == 0
+    assert versions.names(lost)
+    assert PLACE.clean(spark, config, "t", unnamed_after_hours=0) == 1
+    assert not versions.names(lost) and content(spark, config) == {k: k for k in range(10)}
+
+
 class Breaks(FileTarget):
     """Breaks at the given append, before its files or after its version."""
 
