@@ -198,12 +198,23 @@ class ControlTable:
         rows: int | None = None,
     ) -> None:
         """Append one state for the chunks ``first`` to ``last`` of a table of ``total`` rows."""
-        state = {
-            "run_id": run_id, "extraction_name": extraction, "table_name": table, "first_chunk": first, "last_chunk": last,
-            "chunk_size": size, "total_rows": total, "rows": rows, "status": status, "at": time.time_ns() // 1000,
-        }
+        self.save_ranges(run_id, extraction, table, [(first, last)], size, total, status, rows)
+
+    def save_ranges(
+        self, run_id: str, extraction: str, table: str, ranges: list[tuple[int, int]], size: int, total: int, status: str = OK,
+        rows: int | None = None,
+    ) -> None:
+        """Append one state, in one file, for each of several ranges of chunks."""
+        at = time.time_ns() // 1000
+        states = [
+            {
+                "run_id": run_id, "extraction_name": extraction, "table_name": table, "first_chunk": first, "last_chunk": last,
+                "chunk_size": size, "total_rows": total, "rows": rows, "status": status, "at": at,
+            }
+            for first, last in ranges
+        ]
         folder = self._run(run_id)
-        self.files.put(f"{folder}/{state['at']:020d}-{uuid.uuid4().hex}.json", json.dumps(state))
+        self.files.put(f"{folder}/{at:020d}-{uuid.uuid4().hex}.json", "\n".join(map(json.dumps, states)))
         if folder not in self._saved:
             self._saved[folder] = len(self.files.names(folder))
         self._saved[folder] += 1

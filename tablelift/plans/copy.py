@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -18,13 +18,15 @@ from tablelift.operators.upsert import by_key
 from tablelift.plans.ranges import find_ranges
 from tablelift.plans.settings import as_bool
 from tablelift.session import has_files, new_folder, stage
-from tablelift.sinks import checked_append, counted_write, find_target, fit_to, keeps_marks, shape_for_load
+from tablelift.sinks import checked_append, counted_write, find_target, fit_to, keeps_marks, shape_for_load, takes_waves
 from tablelift.sinks.versions import Mark
 
 # Rows that are committed together, unless told otherwise.
 COMMIT_ROWS = 10_000_000
 # Rows of a wave that one task lays out, about.
 ROWS_PER_TASK = 1_000_000
+# Small neighbouring waves that are written together: their rows and their number, at most.
+GROUP_ROWS, GROUP_WAVES = 1_000_000, 1_000
 WAVE = "_wave"
 
 
@@ -83,6 +85,10 @@ def copy_in_chunks(
     ``commit_rows`` rows (one at least), or, with ``waves``, an equal share of the chunks. The driver holds the limits
     of the waves.
 
+    Small neighbouring waves, of ``GROUP_ROWS`` rows together at most, go in one job to a target that takes several: file targets, which commit
+    each wave by itself, from a folder of its own (one shuffle brings its rows there), and catalog tables, where the waves of a job
+    arrive together. After a break all of them are in question, each for itself.
+
     A source that is dear to work out, or whose files are not laid out by the key, can be ``staged``: it is worked out once, the keys of the
     staged rows give the limits, and one shuffle puts the rows of each wave in a folder of their own. A resumed copy goes on with the
     staged rows, whatever has become of the source.
@@ -121,18 +127,33 @@ def copy_in_chunks(
         _make_room(shaped, key, place, config, table)
     if not there:
         place.create(shaped.limit(0), config, table)
-    skipped = 0
+    skipped, left = 0, []
     for wave in range(1, plan.limits.chunks + 1):
-        rows = laid.read(wave) if laid else shaped.filter(plan.limits.within(wave, wave))
-        expected = plan.limits.rows_in(wave)
-        if wave in done and arrived.get(wave, 0) == expected:
+        if wave in done and arrived.get(wave, 0) == plan.limits.rows_in(wave):
             skipped += len(range(*plan.chunks_of(wave))) + 1
+        else:
+            left.append(wave)
+
+    def save(status: str, waves: list[int]) -> None:
+        if waves:
+            ranges = [plan.chunks_of(wave) for wave in waves]
+            control.save_ranges(run_id, name, table, ranges, plan.size, plan.limits.total, status)
+
+    for group in _groups(plan, left, arrived) if takes_waves(place) else [[wave] for wave in left]:
+        wave, last = group[0], group[-1]
+        rows = laid.read(*group) if laid else shaped.filter(plan.limits.within(wave, last))
+        save(STARTED, group)
+        if wave < last:
+            due = {wave: (plan.limits.rows_in(wave), plan.mark(name, run_id, wave)) for wave in group}
+            by, come = f"{WAVE}_{run_id}", set()
+            try:
+                for arriving in place.append_waves(plan.limits.number(rows, by), config, table, by, due):
+                    come.add(arriving)
+            finally:
+                save(OK, [wave for wave in group if wave in come])
+                save(ERROR, [wave for wave in group if wave not in come])
             continue
-
-        def save(status: str, wave: int = wave) -> None:
-            control.save_range(run_id, name, table, *plan.chunks_of(wave), plan.size, plan.limits.total, status)
-
-        save(STARTED)
+        expected = plan.limits.rows_in(wave)
         try:
             if arrived.get(wave) == expected:
                 pass  # it broke off before the state was saved
@@ -147,13 +168,28 @@ def copy_in_chunks(
                 if appended != expected:
                     raise RuntimeError(f"wave {wave} gave {appended} rows instead of {expected}: the source has changed")
         except Exception:
-            save(ERROR)
+            save(ERROR, group)
             raise
-        save(OK)
+        save(OK, group)
     control.finish(run_id)
     return CopyResult(run_id, resumed, plan.chunks, skipped, plan.limits.total)
 
 
+def _groups(plan: _Waves, left: list[int], arrived: Mapping[int, int]) -> Iterator[list[int]]:
+    """The waves that are left, neighbours of which nothing has arrived together up to ``GROUP_ROWS`` and ``GROUP_WAVES``."""
+    group, rows = [], 0
+    for wave in left:
+        own = plan.limits.rows_in(wave)
+        apart = arrived.get(wave) or arrived.get(wave - 1) or rows + own > GROUP_ROWS or len(group) == GROUP_WAVES
+        if group and (apart or wave != group[-1] + 1):
+            yield group
+            group, rows = [], 0
+        group.append(wave)
+        rows += own
+    if group:
+        yield group
+
+
 def _plan_waves(df: DataFrame, key: Sequence[str], size: int, waves: int | None, commit_rows: int) -> _Waves:
     ranges = find_ranges(df, key)
     chunks = chunk_count(ranges.total, size)
@@ -169,8 +205,8 @@ class _Laid:
     schema: T.StructType
     spark: SparkSession
 
-    def read(self, wave: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/{WAVE}={wave}")
+    def read(self, *waves: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.folder}/{WAVE}={wave}" for wave in waves])
 
 
 def _lay_out(rows: DataFrame, plan: _Waves) -> _Laid:

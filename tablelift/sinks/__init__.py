@@ -128,6 +128,15 @@ def keeps_marks(place: Target) -> bool:
     return hasattr(place, "marks") and ("mark" in taken or any(p.kind is p.VAR_KEYWORD for p in taken.values()))
 
 
+def takes_waves(place: Target) -> bool:
+    """Whether a target takes several waves in one write: by ``append_waves``, unless a subclass has another ``append``."""
+
+    def kind_with(name: str) -> type | None:
+        return next((kind for kind in type(place).__mro__ if name in vars(kind)), None)
+
+    return kind_with("append_waves") is not None and kind_with("append_waves") is kind_with("append")
+
+
 def load(
     df: DataFrame,
     target: str,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import replace
 from typing import Any, Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource
 
 from tablelift.operators.upsert import upsert
@@ -65,6 +66,14 @@ class Target(Protocol):
         """Replace the rows and keep the table's definition."""
 
 
+def check_waves(found: Mapping[int, int], expected: Mapping[int, int]) -> None:
+    """Refuse waves that do not have the rows expected of them."""
+    wrong = sorted(wave for wave in found.keys() | expected.keys() if found.get(wave, 0) != expected.get(wave, 0))
+    if wrong:
+        told = f"wave {wrong[0]} gave {found.get(wrong[0], 0)} rows instead of {expected.get(wrong[0], 0)}"
+        raise RuntimeError(f"{told}: the source has changed")
+
+
 def _writer(df: DataFrame, config: Mapping[str, Any]):
     return df.write.options(**{k: str(v) for k, v in (config.get("options") or {}).items()})
 
@@ -135,6 +144,33 @@ class FileTarget:
         self._load(df, config, table, added, check)
         return True
 
+    def append_waves(self, df, config, table, by: str, waves: Mapping[int, tuple[int, Mark]]) -> Iterator[int]:
+        """Add the rows of several waves, which the column ``by`` numbers, in one write; gives the number of each wave that has arrived.
+
+        ``waves`` has the rows and the mark of each. Every wave becomes a version of its own. Other numbers of rows are refused before any row counts.
+        """
+        versions = self.versions(df.sparkSession, config, table)
+        options = {k: str(v) for k, v in (config.get("options") or {}).items()}
+        rows = df.repartition(min(len(waves), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), by)
+        whole, parts = versions.write_each(rows, by, options)
+        unnamed, known, schema = dict(parts), None, df.drop(by).schema.json()
+        try:
+            check_waves({wave: n for wave, (_, n) in parts.items()}, {wave: n for wave, (n, _) in waves.items()})
+            for wave, (_, mark) in sorted(waves.items()):
+                part = parts[wave][0]
+
+                def added(newest, part=part, mark=mark):
+                    newest = newest or Version(0, schema, ())
+                    return None if mark in newest.marks else newest.with_part(part, mark)
+
+                known = versions.commit(added, known)
+                if known.parts[-1] is part:
+                    del unnamed[wave]
+                yield wave
+        finally:
+            for part in [whole] if len(unnamed) == len(parts) else [part for part, _ in unnamed.values()]:
+                versions.drop(part)
+
     def marks(self, spark, config, table) -> frozenset[Mark]:
         """The marks of the writes that the table holds."""
         known = self.versions(spark, config, table).current()
@@ -192,6 +228,14 @@ class CatalogTarget:
     def append(self, df, config, table) -> None:
         _writer(df, config).insertInto(table)
 
+    def append_waves(self, df, config, table, by: str, waves: Mapping[int, tuple[int, Mark]]) -> Iterator[int]:
+        """Add the rows of several waves in one write; a catalog table keeps no marks."""
+        seen, expected = Observation(), sum(n for n, _ in waves.values())
+        self.append(df.observe(seen, F.count(F.lit(1)).alias("rows")).drop(by), config, table)
+        if seen.get.get("rows", 0) != expected:
+            raise RuntimeError(f"waves {min(waves)} to {max(waves)} gave {seen.get.get('rows', 0)} rows instead of {expected}: the source has changed")
+        yield from sorted(waves)
+
     def refill(self, df, config, table) -> None:
         _writer(df, config).insertInto(table, overwrite=True)
 
